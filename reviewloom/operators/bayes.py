@@ -6,8 +6,9 @@ do not pile up. Scoring adds up log-probabilities per document; texts are always
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,18 +16,19 @@ from pyspark.sql import functions as F
 from reviewloom.functions.labels import argmax
 from reviewloom.functions.tokens import words
 from reviewloom.operators.classification import MetricRegistry, confusion
-from reviewloom.plans.joins import fits_broadcast, skew_join
+from reviewloom.plans.joins import stored_lookup_join
 from reviewloom.plans.storage import materialise
 
 
 @dataclass(frozen=True)
 class NaiveBayes:
-    """counts: (token, idx, cnt), stored. classes: one (idx, n_docs, total) per class, by index.
+    """tokens: one stored row (token, seen) per token, seen listing (idx, cnt) per class.
 
-    A score row has one number per class, so the class list is as small as one row of scores.
+    classes: one (idx, n_docs, total) per class, by index. A score row has one number per class,
+    so the class list is as small as one row of scores.
     """
 
-    counts: DataFrame
+    tokens: DataFrame
     classes: list[tuple[int, int, int]]
     vocabulary: int
     alpha: float = 1.0
@@ -36,13 +38,14 @@ class NaiveBayes:
         return sum(c[1] for c in self.classes)
 
     def with_alpha(self, alpha: float) -> NaiveBayes:
-        return NaiveBayes(self.counts, self.classes, self.vocabulary, alpha)
+        return replace(self, alpha=alpha)
 
     def class_table(self) -> DataFrame:
         """(idx, prior, default_logp): class prior, and the score of a token unseen in the class."""
-        spark = self.counts.sparkSession
+        spark = self.tokens.sparkSession
         return spark.createDataFrame(self.classes, "idx int, n_docs bigint, total bigint").select(
             "idx",
+            "total",
             F.log(F.col("n_docs") / F.lit(self.n_docs)).alias("prior"),
             F.log(self.alpha / (F.col("total") + F.lit(self.alpha * self.vocabulary))).alias(
                 "default_logp"
@@ -51,47 +54,36 @@ class NaiveBayes:
 
     def log_probabilities(self) -> DataFrame:
         """(idx, token, logp) for the pairs seen in training."""
-        totals = self.counts.sparkSession.createDataFrame(
-            self.classes, "idx int, n_docs bigint, total bigint"
-        ).select("idx", "total")
         smoothed = (F.col("cnt") + F.lit(self.alpha)) / (
             F.col("total") + F.lit(self.alpha * self.vocabulary)
         )
-        return self.counts.join(F.broadcast(totals), "idx").select(
+        pairs = self.tokens.select("token", F.explode("seen").alias("s")).select("token", "s.*")
+        return pairs.join(F.broadcast(self.class_table()), "idx").select(
             "idx", "token", F.log(smoothed).alias("logp")
         )
 
 
 def train(df: DataFrame, text: str, label: str, alpha: float = 1.0) -> NaiveBayes:
     """Counts tokens per class; ``label`` is a class index."""
-    pairs = df.select(F.col(label).cast("int").alias("idx"), F.explode(words(F.col(text))).alias("token"))
-    counts = materialise(pairs.groupBy("token", "idx").agg(F.count(F.lit(1)).alias("cnt")))
-    docs = {
-        row["idx"]: row["n"]
-        for row in df.groupBy(F.col(label).cast("int").alias("idx")).agg(F.count(F.lit(1)).alias("n")).collect()
-    }
-    totals = {row["idx"]: row["n"] for row in counts.groupBy("idx").agg(F.sum("cnt").alias("n")).collect()}
-    vocabulary = counts.select("token").distinct().count()
-    classes = [(idx, docs[idx], totals.get(idx, 0)) for idx in sorted(docs)]
-    return NaiveBayes(counts, classes, vocabulary, alpha)
+    idx = F.col(label).cast("int").alias("idx")
+    pairs = df.select(idx, F.explode(words(F.col(text))).alias("token"))
+    counts = pairs.groupBy("token", "idx").agg(F.count(F.lit(1)).alias("cnt"))
+    tokens = materialise(
+        counts.groupBy("token").agg(
+            F.sort_array(F.collect_list(F.struct("idx", "cnt"))).alias("seen")
+        )
+    )
+    docs = {row["idx"]: row["n"] for row in df.groupBy(idx).agg(F.count(F.lit(1)).alias("n")).collect()}
+    flat = tokens.select(F.explode("seen").alias("s")).groupBy("s.idx").agg(F.sum("s.cnt").alias("n"))
+    totals = {row["idx"]: row["n"] for row in flat.collect()}
+    classes = [(i, docs[i], totals.get(i, 0)) for i in sorted(docs)]
+    return NaiveBayes(tokens, classes, tokens.count(), alpha)
 
 
-def _matched(docs: DataFrame, carried: Sequence[str], text: str, per_token: DataFrame) -> DataFrame:
+def _matched(docs: DataFrame, carried: Sequence[str], text: str, stored: DataFrame) -> DataFrame:
     """Every token of every text with its training counts per class, null for unknown tokens."""
     tokens = docs.select(*carried, F.explode_outer(words(F.col(text))).alias("token"))
-    stored = materialise(per_token)
-    if fits_broadcast(stored, "token"):
-        found = tokens.join(F.broadcast(stored), "token", "left")
-    else:
-        found = skew_join(tokens, stored, "token", "left")
-    return found
-
-
-def _per_token(model: NaiveBayes) -> DataFrame:
-    """One row per token; the list has one entry per class the token was seen in."""
-    return model.counts.groupBy("token").agg(
-        F.sort_array(F.collect_list(F.struct("idx", "cnt"))).alias("seen"),
-    )
+    return stored_lookup_join(tokens, stored, "token", "left")
 
 
 def _class_literal(values: Sequence[float]) -> Column:
@@ -125,7 +117,7 @@ def predict(
     sums are nearly complete before the exchange.
     """
     columns = [key, *carried]
-    seen = _matched(docs.select(*columns, text), columns, text, _per_token(model))
+    seen = _matched(docs.select(*columns, text), columns, text, model.tokens)
     known = F.when(F.col("seen").isNotNull(), 1).otherwise(0)
     spread = seen.select(
         *columns, known.alias("known"), F.posexplode_outer("seen").alias("place", "entry")
@@ -150,15 +142,17 @@ def predict(
 
 def _ranked_tokens(model: NaiveBayes, largest: int | None) -> DataFrame:
     """Per token its class counts and its frequency rank, null beyond the largest limit in use."""
-    per_token = _per_token(model)
     if largest is None:
-        return per_token.withColumn("rank", F.lit(None).cast("int"))
-    totals = model.counts.groupBy("token").agg(F.sum("cnt").alias("n"))
+        return model.tokens.withColumn("rank", F.lit(None).cast("int"))
+    total = F.aggregate("seen", F.lit(0).cast("bigint"), lambda acc, s: acc + s["cnt"])
     order = [F.col("n").desc(), F.col("token")]
-    top = totals.orderBy(*order).limit(largest).select(
-        "token", F.row_number().over(Window.orderBy(*order)).alias("rank")
+    top = (
+        model.tokens.select("token", total.alias("n"))
+        .orderBy(*order)
+        .limit(largest)
+        .select("token", F.row_number().over(Window.orderBy(*order)).alias("rank"))
     )
-    return per_token.join(top, "token", "left")
+    return model.tokens.join(top, "token", "left")
 
 
 def score_trials(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.tokens import words
 from reviewloom.operators import bayes
 from reviewloom.operators.classification import MetricRegistry, auc_hard, confusion
+from reviewloom.plans.storage import materialise
 
 HASH_FEATURES = 1 << 16
 
@@ -29,20 +30,33 @@ def with_balance(train: DataFrame, label: str = "label") -> DataFrame:
     return train.withColumn("weight", weight)
 
 
-def fit_text_model(train: DataFrame, family: str, max_iter: int = 20) -> PipelineModel:
-    """``family`` is lr, lr_balanced or svc; ``train`` has words, label and, if balanced, weight."""
+def fit_features(train: DataFrame) -> PipelineModel:
+    """Hashed, weighted token counts; the width is fixed, whatever the vocabulary."""
+    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=HASH_FEATURES)
+    return Pipeline(stages=[hashed, IDF(inputCol="tf", outputCol="features")]).fit(train)
+
+
+def fit_family(train: DataFrame, family: str, max_iter: int = 20):
+    """``family`` is lr, lr_balanced or svc; ``train`` has features, label and, if balanced, weight."""
     if family == "svc":
-        classifier = LinearSVC(maxIter=max_iter, regParam=0.01)
-    else:
-        classifier = LogisticRegression(maxIter=max_iter, regParam=0.01)
+        return LinearSVC(maxIter=max_iter, regParam=0.01).fit(train)
+    classifier = LogisticRegression(maxIter=max_iter, regParam=0.01)
     if family == "lr_balanced":
         classifier = classifier.setWeightCol("weight")
-    features = HashingTF(inputCol="words", outputCol="tf", numFeatures=HASH_FEATURES)
-    return Pipeline(stages=[features, IDF(inputCol="tf", outputCol="features"), classifier]).fit(train)
+    return classifier.fit(train)
+
 
+def featured(train: DataFrame, judged: DataFrame, key: str, text: str, label: str):
+    """Training rows with features and weight, stored for the passes to come, and judged rows."""
+    shown = with_words(train, text, label).select("words", "label")
+    features = fit_features(shown)
+    stored = materialise(features.transform(shown).select("label", "features"))
+    others = features.transform(with_words(judged, text, label).select(key, "words", "label"))
+    return with_balance(stored), others.select(key, "label", "features")
 
-def predict_text(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
-    return model.transform(df).select(
+
+def predictions(model, rows: DataFrame, key: str) -> DataFrame:
+    return model.transform(rows).select(
         key, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred")
     )
 
@@ -50,22 +64,15 @@ def predict_text(model: PipelineModel, df: DataFrame, key: str) -> DataFrame:
 def family_scores(train: DataFrame, judged: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(family, accuracy, f1_weighted, auc_weighted) of every model family on ``judged``."""
     model = bayes.train(train, text, label)
-    outcomes = [
-        bayes.predict(judged, key, text, model, [label]).select(
-            F.lit("naive_bayes").alias("family"), F.col(label).cast("int").alias("label"), "pred"
-        )
-    ]
-    weighted = with_balance(with_words(train, text, label).select(key, "words", "label"))
-    shown = with_words(judged, text, label).select(key, "words", "label")
+    together = bayes.predict(judged, key, text, model, [label]).select(
+        F.lit("naive_bayes").alias("family"), F.col(label).cast("int").alias("label"), "pred"
+    )
+    rows, shown = featured(train, judged, key, text, label)
+    shown = materialise(shown)
     for family in ("lr", "lr_balanced", "svc"):
-        fitted = fit_text_model(weighted, family)
-        outcomes.append(
-            predict_text(fitted, shown, key).select(F.lit(family).alias("family"), "label", "pred")
-        )
-    together = outcomes[0]
-    for other in outcomes[1:]:
-        together = together.unionByName(other)
-    counts = confusion(together, "label", "pred", by=["family"])
+        predicted = predictions(fit_family(rows, family), shown, key)
+        together = together.unionByName(predicted.select(F.lit(family).alias("family"), "label", "pred"))
+    counts = materialise(confusion(together, "label", "pred", by=["family"]))
     metrics = MetricRegistry().compute(counts, ["accuracy", "f1_weighted"], by=["family"])
     area = auc_hard(counts, by=["family"]).select("family", F.col("auc").alias("auc_weighted"))
     return metrics.join(area, "family")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.metric_names import usable
-from reviewloom.plans.joins import lookup_join, skew_join
+from reviewloom.plans.joins import lookup_join, skew_join, stored_lookup_join
 from reviewloom.plans.ordering import competition_rank, running_max, sorted_index
 from reviewloom.plans.storage import materialise
 
@@ -38,7 +38,7 @@ def flatten_runs(runs: DataFrame, max_rounds: int = 30) -> DataFrame:
             F.col("run_id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more")
         )
         moved = materialise(
-            lookup_join(known, ahead, "top").select(
+            stored_lookup_join(known, ahead, "top").select(
                 "run_id", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"),
                 (F.col("more") > 0).alias("moved"),
             )
@@ -54,7 +54,8 @@ def flatten_runs(runs: DataFrame, max_rounds: int = 30) -> DataFrame:
     above = known.select(
         F.col("run_id").alias("parent_id"), F.col("top").alias("root_id"), F.col("depth").alias("up")
     )
-    below = lookup_join(links.filter(F.col("parent_id").isNotNull()), above, "parent_id").select(
+    children = links.filter(F.col("parent_id").isNotNull())
+    below = stored_lookup_join(children, above, "parent_id").select(
         "run_id", "root_id", (F.col("up") + 1).alias("depth")
     )
     return roots.unionByName(below)
@@ -195,7 +196,9 @@ def bandit_stops(
     any run so far. The metric is positive. Both running maxima are scanned in bounded chunks.
     """
     sign = 1.0 if goal == "max" else -1.0
-    signed = curve.select("run_id", "interval_no", (F.lit(sign) * F.col("value")).alias("value"))
+    signed = materialise(
+        curve.select("run_id", "interval_no", (F.lit(sign) * F.col("value")).alias("value"))
+    )
     own = running_max(signed, ["run_id"], "interval_no", "value", "own_best")
     peaks = signed.groupBy("interval_no").agg(F.max("value").alias("value"))
     overall = running_max(peaks, [], "interval_no", "value", "best").select("interval_no", "best")

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
-from reviewloom.plans.joins import local_copy, lookup_join
+from reviewloom.plans.joins import SMALL_ROWS, lookup_join
 from reviewloom.plans.ordering import hash_cuts, hash_ordered_index, rank_distinct, seeded_hash
+from reviewloom.plans.storage import materialise
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -16,10 +20,22 @@ def shuffled(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return hash_ordered_index(df, key, seed)
 
 
+def largest_remainder(sizes: Sequence[int], target: int) -> list[int]:
+    """Shares ``target`` places in proportion to ``sizes``; equal remainders favour the earlier."""
+    total = sum(sizes)
+    if total == 0:
+        return [0 for _ in sizes]
+    shares = [size * target // total for size in sizes]
+    by_remainder = sorted(range(len(sizes)), key=lambda i: (-(sizes[i] * target % total), i))
+    for i in by_remainder[: target - sum(shares)]:
+        shares[i] += 1
+    return shares
+
+
 def allocate(classes: DataFrame, label: str, size: str, target: int, out: str) -> DataFrame:
-    """Shares ``target`` places among classes in proportion to their size, by largest remainder.
+    """:func:`largest_remainder` as a distributed plan, for more classes than the driver takes.
 
-    Equal remainders favour the smaller label. All arithmetic is on integers.
+    Ties go to the smaller label. All arithmetic is on integers.
     """
     total = classes.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     if total == 0:
@@ -36,17 +52,46 @@ def allocate(classes: DataFrame, label: str, size: str, target: int, out: str) -
     return ranked.withColumn(out, F.col("__floor") + extra).select(*classes.columns, out)
 
 
-def _classes(df: DataFrame, label: str) -> DataFrame:
+def _class_sizes(df: DataFrame, label: str) -> tuple[DataFrame, int, list | None]:
+    """Rows per class, their total, and the sorted rows themselves when there are few classes."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    known = local_copy(sizes)
-    classes = sizes if known is None else known
-    if not classes.filter(F.col(label).isNull()).isEmpty():
+    rows = sizes.limit(SMALL_ROWS + 1).collect()
+    if len(rows) > SMALL_ROWS:
+        stored = materialise(sizes)
+        total, missing = stored.agg(F.sum("n"), F.count(F.when(F.col(label).isNull(), 1))).first()
+        rows = None
+    else:
+        stored = sizes
+        total = sum(row["n"] for row in rows)
+        missing = sum(row[label] is None for row in rows)
+    if missing:
         raise ValueError(f"{label} has missing values; drop them first")
-    return classes
+    return stored, total, sorted(rows, key=lambda r: r[label]) if rows is not None else None
 
 
-def _total(classes: DataFrame) -> int:
-    return classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def _split_ranks(df: DataFrame, label: str) -> DataFrame:
+    """(label, train_upto, val_upto): where train and val end in the order of each class."""
+    classes, total, rows = _class_sizes(df, label)
+    hold = (total + 4) // 5
+    n_train, n_val = total - hold, hold - (hold + 1) // 2
+    if rows is None:
+        if not classes.filter(F.col("n") < 2).isEmpty():
+            raise ValueError("a class with fewer than two rows cannot be split")
+        with_train = allocate(classes, label, "n", n_train, "train_upto")
+        rest = with_train.withColumn("left", F.col("n") - F.col("train_upto"))
+        with_val = allocate(rest, label, "left", n_val, "val_n")
+        return with_val.select(
+            label, "train_upto", (F.col("train_upto") + F.col("val_n")).alias("val_upto")
+        )
+    sizes = [row["n"] for row in rows]
+    if any(size < 2 for size in sizes):
+        raise ValueError("a class with fewer than two rows cannot be split")
+    train = largest_remainder(sizes, n_train)
+    val = largest_remainder([size - t for size, t in zip(sizes, train)], n_val)
+    schema = StructType([df.schema[label]]).add("train_upto", LongType()).add("val_upto", LongType())
+    return df.sparkSession.createDataFrame(
+        [(row[label], t, t + v) for row, t, v in zip(rows, train, val)], schema
+    )
 
 
 def stratified_split(df: DataFrame, label: str, key: str, seed: int = 0) -> DataFrame:
@@ -56,17 +101,7 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 0) -> Data
     class, rows go to train, val and test by their seeded hash order. That takes two cut points per
     class, found from narrow counts, so no row has to move: each one is compared with the cuts.
     """
-    classes = _classes(df, label)
-    if not classes.filter(F.col("n") < 2).isEmpty():
-        raise ValueError("a class with fewer than two rows cannot be split")
-    total = _total(classes)
-    hold = (total + 4) // 5
-    with_train = allocate(classes, label, "n", total - hold, "train_upto")
-    rest = with_train.withColumn("left", F.col("n") - F.col("train_upto"))
-    with_val = allocate(rest, label, "left", hold - (hold + 1) // 2, "val_n")
-    ranks = with_val.select(
-        label, "train_upto", (F.col("train_upto") + F.col("val_n")).alias("val_upto")
-    )
+    ranks = _split_ranks(df, label)
     cuts = hash_cuts(df, key, seed, label, ranks, ["train_upto", "val_upto"])
     point = F.struct(seeded_hash(key, seed).alias("hash"), F.col(key).alias("key"))
     return (
@@ -83,10 +118,17 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 0) -> Data
 
 def stratified_sample(df: DataFrame, label: str, key: str, n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows with every class in proportion; all rows when there are no more than that."""
-    classes = _classes(df, label)
-    if _total(classes) <= n:
+    classes, total, rows = _class_sizes(df, label)
+    if total <= n:
         return df
-    ranks = allocate(classes, label, "n", n, "upto")
+    if rows is None:
+        ranks = allocate(classes, label, "n", n, "upto")
+    else:
+        shares = largest_remainder([row["n"] for row in rows], n)
+        ranks = df.sparkSession.createDataFrame(
+            [(row[label], share) for row, share in zip(rows, shares)],
+            StructType([df.schema[label]]).add("upto", LongType()),
+        )
     cuts = hash_cuts(df, key, seed, label, ranks.select(label, "upto"), ["upto"])
     point = F.struct(seeded_hash(key, seed).alias("hash"), F.col(key).alias("key"))
     return lookup_join(df, cuts, label).filter(point <= F.col("upto")).drop("upto")

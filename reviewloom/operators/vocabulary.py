@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.tokens import MAX_LENGTH, SPECIAL_TOKENS, model_input, words
-from reviewloom.plans.joins import fits_broadcast, skew_join
+from reviewloom.plans.joins import stored_lookup_join
 from reviewloom.plans.ordering import hash_ordered_index, sorted_index
 from reviewloom.plans.storage import materialise
 
@@ -63,10 +63,7 @@ def token_ids(
     """
     placed = df.select(key, F.posexplode(model_input(F.col(text), max_length)).alias("pos", "token"))
     stored = materialise(vocabulary.select("token", "id"))
-    if fits_broadcast(stored, "token"):
-        found = placed.join(F.broadcast(stored), "token", "left")
-    else:
-        found = skew_join(placed, stored, "token", "left")
+    found = stored_lookup_join(placed, stored, "token", "left")
     unknown = F.lit(SPECIAL_TOKENS["[UNK]"]).cast("bigint")
     gathered = found.groupBy(key).agg(
         F.sort_array(

@@ -55,3 +55,10 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner") -
     if local is not None:
         return facts.join(F.broadcast(local), on, how)
     return skew_join(facts, dim, on, how)
+
+
+def stored_lookup_join(facts: DataFrame, stored: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """:func:`lookup_join` for a stored, narrow dimension, which is cheap to measure."""
+    if fits_broadcast(stored, on):
+        return facts.join(F.broadcast(stored), on, how)
+    return skew_join(facts, stored, on, how)

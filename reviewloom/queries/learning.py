@@ -311,12 +311,10 @@ def score_batch(spark, sf_dir):
 def lr_train(spark, sf_dir):
     """Balanced logistic regression on hashed token weights: predictions for the test split."""
     split = _split(spark, sf_dir)
-    train = candidates.with_balance(
-        candidates.with_words(_part(spark, sf_dir, split, "train"), "text", "label")
+    rows, test = candidates.featured(
+        _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "test"), "doc_id", "text", "label"
     )
-    model = candidates.fit_text_model(train, "lr_balanced")
-    test = candidates.with_words(_part(spark, sf_dir, split, "test"), "text", "label")
-    return candidates.predict_text(model, test, "doc_id")
+    return candidates.predictions(candidates.fit_family(rows, "lr_balanced"), test, "doc_id")
 
 
 @query("automl_leaderboard")

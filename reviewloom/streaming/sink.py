@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from reviewloom.plans.storage import scratch_path
 
@@ -57,7 +57,7 @@ def run_available(
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(StructType(schema.fields).add("epoch", "int")).parquet(out)
+    return spark.read.schema(StructType(schema.fields).add("epoch", IntegerType())).parquet(out)
 
 
 def newest_rows(written: DataFrame, keys: list[str]) -> DataFrame:
