@@ -65,19 +65,30 @@ class NaiveBayes:
 
 def train(df: DataFrame, text: str, label: str, alpha: float = 1.0) -> NaiveBayes:
     """Counts tokens per class; ``label`` is a class index."""
-    idx = F.col(label).cast("int").alias("idx")
-    pairs = df.select(idx, F.explode(words(F.col(text))).alias("token"))
-    counts = pairs.groupBy("token", "idx").agg(F.count(F.lit(1)).alias("cnt"))
-    tokens = materialise(
+    pairs = df.select(
+        F.col(label).cast("int").alias("idx"),
+        F.posexplode_outer(words(F.col(text))).alias("pos", "token"),
+    )
+    # A document is counted at its first token; one without tokens leaves a row without a token.
+    counts = pairs.groupBy("token", "idx").agg(
+        F.count("token").alias("cnt"),
+        F.count(F.when(F.coalesce("pos", F.lit(0)) == 0, 1)).alias("docs"),
+    )
+    stored = materialise(
         counts.groupBy("token").agg(
-            F.sort_array(F.collect_list(F.struct("idx", "cnt"))).alias("seen")
+            F.sort_array(F.collect_list(F.struct("idx", "cnt"))).alias("seen"),
+            F.collect_list(F.struct("idx", "docs")).alias("starts"),
         )
     )
-    docs = {row["idx"]: row["n"] for row in df.groupBy(idx).agg(F.count(F.lit(1)).alias("n")).collect()}
-    flat = tokens.select(F.explode("seen").alias("s")).groupBy("s.idx").agg(F.sum("s.cnt").alias("n"))
-    totals = {row["idx"]: row["n"] for row in flat.collect()}
-    classes = [(i, docs[i], totals.get(i, 0)) for i in sorted(docs)]
-    return NaiveBayes(tokens, classes, tokens.count(), alpha)
+    classes: dict[int, list[int]] = {}
+    for column, field, place in (("starts", "docs", 0), ("seen", "cnt", 1)):
+        entries = stored.select(F.explode(column).alias("e")).select("e.*")
+        for row in entries.groupBy("idx").agg(F.sum(field).alias("n")).collect():
+            classes.setdefault(row["idx"], [0, 0])[place] = row["n"]
+    tokens = stored.filter(F.col("token").isNotNull()).select("token", "seen")
+    return NaiveBayes(
+        tokens, [(i, *classes[i]) for i in sorted(classes)], tokens.count(), alpha
+    )
 
 
 def _matched(docs: DataFrame, carried: Sequence[str], text: str, stored: DataFrame) -> DataFrame:

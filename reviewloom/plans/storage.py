@@ -1,7 +1,7 @@
 """Where intermediate tables go.
 
-Lineage is cut with reliable checkpoints or written tables in the folder the cluster names in
-``spark.checkpoint.dir``, so a lost executor never loses an intermediate result.
+Lineage is cut with written tables in the folder the cluster names in ``spark.checkpoint.dir``, so
+a lost executor never loses an intermediate result.
 """
 
 from __future__ import annotations
@@ -36,6 +36,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Computes ``df`` once and continues from the stored copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Computes ``df`` once, as a table in the shared folder, and continues from there.
+
+    Unlike a checkpoint the table has a known size and separate columns, so later joins are planned
+    from real sizes and read only what they use.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "stored")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Spreads a table scan with fewer splits than cores over all cores, before heavy row work.
+
+    A large table has enough splits and is left alone, so its rows are not moved.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)

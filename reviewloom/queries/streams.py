@@ -12,15 +12,19 @@ from reviewloom.streaming import jobs
 from reviewloom.streaming.sink import stream_table
 from reviewloom.streaming.utilisation import utilisation_rows
 
+# Values have two decimals, so the SQL rounds exact sums of hundredths, half to even.
 _MEANS = f"""{view_sql("v_samples")},
-means AS (SELECT (epoch(ts)::BIGINT // 5) * 5 AS window_start,
+sums AS (SELECT (epoch(ts)::BIGINT // 5) * 5 AS window_start,
                  CASE WHEN contains(key, 'gpu') THEN regexp_extract(key, '/gpu:\\d+/') ELSE 'host' END AS device,
                  split_part(key, ' ', 1) || CASE WHEN contains(key, '%') THEN ' %' ELSE '' END AS name,
                  CASE WHEN contains(key, '%') THEN 'utilization' WHEN contains(key, 'memory') THEN 'memory'
                       ELSE 'other' END AS family,
-                 coalesce(round_even(avg(value), 2), 0) AS mean, count(*) AS n
+                 sum(round(value * 100)::BIGINT)::BIGINT AS cents, count(*) AS n
           FROM (SELECT * REPLACE (date_trunc('second', ts) AS ts) FROM v_samples)
-          WHERE key NOT LIKE '%fan_speed%' GROUP BY ALL)"""
+          WHERE key NOT LIKE '%fan_speed%' GROUP BY ALL),
+means AS (SELECT window_start, device, name, family, n,
+                 (cents // n + CASE WHEN 2 * (cents % n) > n THEN 1 WHEN 2 * (cents % n) = n THEN (cents // n) % 2
+                                    ELSE 0 END) / 100 AS mean FROM sums)"""
 
 
 def _sample_stream(spark, sf_dir):

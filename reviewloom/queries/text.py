@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators import encoding, vocabulary
 from reviewloom.operators.scoring import map_text
+from reviewloom.plans.storage import spread
 from reviewloom.queries.base import query
-from reviewloom.queries.views import table, tokens_sql, view, view_sql
+from reviewloom.queries.views import documents, table, tokens_sql, view, view_sql
 
 VOCABULARY = 5_000
 BATCH = 8
@@ -32,12 +33,8 @@ def _joined(column):
     return F.md5(F.array_join(F.transform(column, lambda x: x.cast("string")), ","))
 
 
-def _documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
-
-
 def _vocabulary(spark, sf_dir):
-    return vocabulary.build_vocabulary(_documents(spark, sf_dir), "text", VOCABULARY)
+    return vocabulary.build_vocabulary(documents(spark, sf_dir), "text", VOCABULARY)
 
 
 @query(
@@ -46,7 +43,7 @@ def _vocabulary(spark, sf_dir):
     FROM (SELECT doc_id, {_INPUT} AS toks FROM documents)""",
 )
 def tokenize_truncate(spark, sf_dir):
-    return vocabulary.tokenize(_documents(spark, sf_dir), "text").select(
+    return vocabulary.tokenize(documents(spark, sf_dir), "text").select(
         "doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("tokens")
     )
 
@@ -65,7 +62,8 @@ def vocab_build(spark, sf_dir):
     SELECT token, (SELECT max(id) FROM vocab) + row_number() OVER (ORDER BY md5('0:' || token), token) FROM fresh""",
 )
 def vocab_extend(spark, sf_dir):
-    spoken = vocabulary.token_counts(table(spark, sf_dir, "conversations"), "text")
+    turns = spread(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "turn")
+    spoken = vocabulary.token_counts(turns, "text")
     return vocabulary.extend_vocabulary(_vocabulary(spark, sf_dir), spoken)
 
 
@@ -76,7 +74,7 @@ def vocab_extend(spark, sf_dir):
            len(input_ids) AS mask_total FROM ids""",
 )
 def token_ids(spark, sf_dir):
-    ids = vocabulary.token_ids(_documents(spark, sf_dir), "doc_id", "text", _vocabulary(spark, sf_dir))
+    ids = vocabulary.token_ids(documents(spark, sf_dir), "doc_id", "text", _vocabulary(spark, sf_dir))
     total = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return ids.select(
         "doc_id",
@@ -92,7 +90,7 @@ batches AS (SELECT doc_id, row_index, row_index // {BATCH} AS batch_id FROM rows
 
 @query("mini_batches", f"WITH {_BATCHES} SELECT doc_id, row_index, batch_id FROM batches")
 def mini_batches(spark, sf_dir):
-    return vocabulary.mini_batches(_documents(spark, sf_dir).select("doc_id"), "doc_id", BATCH)
+    return vocabulary.mini_batches(documents(spark, sf_dir).select("doc_id"), "doc_id", BATCH)
 
 
 @query(
@@ -104,9 +102,9 @@ def mini_batches(spark, sf_dir):
            md5(array_to_string(list_resize(input_ids, longest, 0::BIGINT), ',')) AS input_ids FROM sized""",
 )
 def pad_batches(spark, sf_dir):
-    documents = _documents(spark, sf_dir)
-    ids = vocabulary.token_ids(documents, "doc_id", "text", _vocabulary(spark, sf_dir))
-    batches = vocabulary.mini_batches(documents.select("doc_id"), "doc_id", BATCH).drop("row_index")
+    texts = documents(spark, sf_dir)
+    ids = vocabulary.token_ids(texts, "doc_id", "text", _vocabulary(spark, sf_dir))
+    batches = vocabulary.mini_batches(texts.select("doc_id"), "doc_id", BATCH).drop("row_index")
     total = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
     return vocabulary.pad_batches(batches.join(ids, "doc_id")).select(
         "doc_id",
@@ -148,4 +146,4 @@ def udf_batched_map(spark, sf_dir):
             n_chars=frame["text"].str.len(), n_words=frame["text"].str.count("[A-Za-z0-9]+")
         )
 
-    return map_text(_documents(spark, sf_dir), count_words, "doc_id bigint, n_chars bigint, n_words bigint")
+    return map_text(documents(spark, sf_dir), count_words, "doc_id bigint, n_chars bigint, n_words bigint")

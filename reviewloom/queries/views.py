@@ -11,6 +11,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.plans.storage import spread
+
 VIEWS = {
     # Star ratings 1..5 with missing texts, missing ratings and NaN ratings mixed in.
     "v_reviews": """
@@ -100,6 +102,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The document texts, ready for row by row work on all cores."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns), "doc_id")
+
+
 def _names(sql: str) -> list[str]:
     return sorted({field for _, field, _, _ in string.Formatter().parse(sql) if field})
 
@@ -132,7 +139,7 @@ REQUEST_SIZE = 8
 
 def request_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as the texts of scoring requests; some texts are missing."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.floor(F.col("doc_id") / REQUEST_SIZE).cast("bigint").alias("request_id"),
         "doc_id",
         F.when(F.col("doc_id") % 97 != 0, F.col("text")).alias("text"),
@@ -176,7 +183,7 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_text(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Attaches the document texts, after the narrow work on the keys is done."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text").join(rows, "doc_id")
+    return documents(spark, sf_dir).join(rows, "doc_id")
 
 
 QUALITY_SQL = "SELECT doc_id, quality AS label FROM labels"
