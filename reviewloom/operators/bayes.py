@@ -114,7 +114,7 @@ def _scores(model: NaiveBayes, gains: Column, known: Column, alpha: float, vocab
         F.arrays_zip(spots.alias("idx"), _class_literal(priors).alias("prior"),
                      _class_literal(defaults).alias("default_logp")),
         lambda c: c["prior"] + known * c["default_logp"] + F.coalesce(
-            F.element_at(F.filter(gains, lambda g: g["idx"] == c["idx"]), 1)["gain"], F.lit(0.0)
+            F.get(F.filter(gains, lambda g: g["idx"] == c["idx"]), F.lit(0))["gain"], F.lit(0.0)
         ),
     )
 

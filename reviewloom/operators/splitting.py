@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
-from reviewloom.plans.joins import SMALL_ROWS, lookup_join
+from reviewloom.plans.joins import lookup_join, small_rows
 from reviewloom.plans.ordering import hash_cuts, hash_ordered_index, rank_distinct, seeded_hash
 from reviewloom.plans.storage import materialise
 
@@ -55,11 +55,10 @@ def allocate(classes: DataFrame, label: str, size: str, target: int, out: str) -
 def _class_sizes(df: DataFrame, label: str) -> tuple[DataFrame, int, list | None]:
     """Rows per class, their total, and the sorted rows themselves when there are few classes."""
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = sizes.limit(SMALL_ROWS + 1).collect()
-    if len(rows) > SMALL_ROWS:
+    rows = small_rows(sizes)
+    if rows is None:
         stored = materialise(sizes)
         total, missing = stored.agg(F.sum("n"), F.count(F.when(F.col(label).isNull(), 1))).first()
-        rows = None
     else:
         stored = sizes
         total = sum(row["n"] for row in rows)

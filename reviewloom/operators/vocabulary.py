@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.functions.tokens import MAX_LENGTH, SPECIAL_TOKENS, model_input, words
+from reviewloom.plans import limits
 from reviewloom.plans.joins import stored_lookup_join
 from reviewloom.plans.ordering import hash_ordered_index, sorted_index
 from reviewloom.plans.storage import materialise
 
-# Up to this size a vocabulary is numbered by one window.
-WINDOW_VOCABULARY = 200_000
-
-
 def tokenize(df: DataFrame, text: str, max_length: int | None = MAX_LENGTH) -> DataFrame:
     return df.withColumn("tokens", model_input(F.col(text), max_length))
 
@@ -31,7 +28,7 @@ def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
     order = [F.col("n").desc(), F.col("token")]
     first = len(SPECIAL_TOKENS)
     frequent = token_counts(df, text).orderBy(*order).limit(size)
-    if size <= WINDOW_VOCABULARY:
+    if size <= limits.WINDOW_VOCABULARY:
         numbered = frequent.withColumn("place", F.row_number().over(Window.orderBy(*order)) - 1)
     else:
         numbered = sorted_index(frequent, [], order, "place")

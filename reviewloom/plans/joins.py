@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from reviewloom.plans import limits
 from reviewloom.plans.storage import materialise
 
-# A table is held on the driver only up to this many rows, and broadcast only up to the second bound.
-SMALL_ROWS = 5_000
-BROADCAST_ROWS = 500_000
-BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-# A key is hot from one part in HOT_SHARE of the rows on, so there are at most HOT_SHARE hot keys.
-HOT_SHARE = 1_000
 
+def small_rows(df: DataFrame) -> list[Row] | None:
+    """The rows of ``df``, or None when there are more than the driver should hold."""
+    rows = df.limit(limits.SMALL_ROWS + 1).collect()
+    return None if len(rows) > limits.SMALL_ROWS else rows
 
-def local_copy(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
-    """``df`` as a local relation, or None when it has more than ``max_rows`` rows."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+
+def local_copy(df: DataFrame) -> DataFrame | None:
+    """``df`` as a local relation, or None when it has too many rows."""
+    rows = small_rows(df)
+    if rows is None:
         return None
     return df.sparkSession.createDataFrame(rows, df.schema)
 
@@ -28,7 +28,7 @@ def fits_broadcast(stored: DataFrame, key: str) -> bool:
     rows, key_bytes = stored.agg(
         F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))
     ).first()
-    return rows <= BROADCAST_ROWS and key_bytes <= BROADCAST_KEY_BYTES
+    return rows <= limits.BROADCAST_ROWS and key_bytes <= limits.BROADCAST_KEY_BYTES
 
 
 def skew_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -40,8 +40,8 @@ def skew_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner") ->
     """
     counts = materialise(facts.groupBy(on).count())
     total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    hot = counts.filter(F.col(on).isNotNull() & (F.col("count") * HOT_SHARE >= F.lit(total)))
-    hot_keys = [row[0] for row in hot.select(on).limit(HOT_SHARE).collect()]
+    hot = counts.filter(F.col(on).isNotNull() & (F.col("count") * limits.HOT_SHARE >= F.lit(total)))
+    hot_keys = [row[0] for row in hot.select(on).limit(limits.HOT_SHARE).collect()]
     keyless = F.col(on).isNull()
     is_hot = F.col(on).isin(hot_keys) if hot_keys else F.lit(False)
     hot_part = facts.filter(keyless | is_hot).join(F.broadcast(dim.filter(is_hot)), on, how)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.plans.joins import SMALL_ROWS, local_copy
+from reviewloom.plans.joins import local_copy
 from reviewloom.plans.storage import materialise
 
 # Leading hex digits of the hash that name a bucket: 65,536 even buckets in hash order.
@@ -137,7 +137,7 @@ def rank_distinct(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame
 
     A checked small table is ranked by one window; a larger one by :func:`sorted_index`.
     """
-    local = local_copy(df, SMALL_ROWS)
+    local = local_copy(df)
     if local is None:
         return sorted_index(df, [], order, out)
     return local.withColumn(out, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
