@@ -189,10 +189,10 @@ def evaluate(
     counts = counts if known is None else known
     names = MetricRegistry().names()
     row = MetricRegistry().compute(counts)
-    area = auc_hard(counts).select(F.col("auc"), F.col("auc").alias("auc_weighted"))
-    if aliases:
-        area = area.select("auc", "auc_weighted", *[F.col(k).alias(v) for k, v in ALIASES.items()])
-    rows = row.unpivot([], names, "name", "value").unionByName(
-        area.unpivot([], area.columns, "name", "value")
+    # Column names ignore case, so both spellings are only ever values.
+    areas = [*ALIASES, *ALIASES.values()] if aliases else list(ALIASES)
+    area = auc_hard(counts).select(
+        F.explode(F.array(*[F.lit(name) for name in areas])).alias("name"), F.col("auc").alias("value")
     )
+    rows = row.unpivot([], names, "name", "value").unionByName(area)
     return rows.select(prefixed(F.col("name"), prefix).alias("name"), "value")
