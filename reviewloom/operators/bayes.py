@@ -16,13 +16,13 @@ from pyspark.sql import functions as F
 from reviewloom.functions.labels import argmax
 from reviewloom.functions.tokens import words
 from reviewloom.operators.classification import MetricRegistry, confusion
-from reviewloom.plans.joins import stored_lookup_join
+from reviewloom.plans.joins import frequency_join
 from reviewloom.plans.storage import materialise
 
 
 @dataclass(frozen=True)
 class NaiveBayes:
-    """tokens: one stored row (token, seen) per token, seen listing (idx, cnt) per class.
+    """tokens: one stored row (token, n, seen) per token, seen listing (idx, cnt) per class.
 
     classes: one (idx, n_docs, total) per class, by index. A score row has one number per class,
     so the class list is as small as one row of scores.
@@ -76,6 +76,7 @@ def train(df: DataFrame, text: str, label: str, alpha: float = 1.0) -> NaiveBaye
     )
     stored = materialise(
         counts.groupBy("token").agg(
+            F.sum("cnt").alias("n"),
             F.sort_array(F.collect_list(F.struct("idx", "cnt"))).alias("seen"),
             F.collect_list(F.struct("idx", "docs")).alias("starts"),
         )
@@ -85,7 +86,7 @@ def train(df: DataFrame, text: str, label: str, alpha: float = 1.0) -> NaiveBaye
         entries = stored.select(F.explode(column).alias("e")).select("e.*")
         for row in entries.groupBy("idx").agg(F.sum(field).alias("n")).collect():
             classes.setdefault(row["idx"], [0, 0])[place] = row["n"]
-    tokens = stored.filter(F.col("token").isNotNull()).select("token", "seen")
+    tokens = stored.filter(F.col("token").isNotNull()).select("token", "n", "seen")
     return NaiveBayes(
         tokens, [(i, *classes[i]) for i in sorted(classes)], tokens.count(), alpha
     )
@@ -94,7 +95,7 @@ def train(df: DataFrame, text: str, label: str, alpha: float = 1.0) -> NaiveBaye
 def _matched(docs: DataFrame, carried: Sequence[str], text: str, stored: DataFrame) -> DataFrame:
     """Every token of every text with its training counts per class, null for unknown tokens."""
     tokens = docs.select(*carried, F.explode_outer(words(F.col(text))).alias("token"))
-    return stored_lookup_join(tokens, stored, "token", "left")
+    return frequency_join(tokens, stored, "token", F.col("n"))
 
 
 def _class_literal(values: Sequence[float]) -> Column:
@@ -104,8 +105,6 @@ def _class_literal(values: Sequence[float]) -> Column:
 def _scores(model: NaiveBayes, gains: Column, known: Column, alpha: float, vocabulary: int,
             totals: Sequence[int], uniform_prior: bool = False) -> Column:
     """Scores by class: prior + known tokens x default + gains over the default."""
-    import math
-
     n = model.n_docs
     priors = [0.0 if uniform_prior else math.log(docs / n) for _, docs, _ in model.classes]
     defaults = [math.log(alpha / (total + alpha * vocabulary)) for total in totals]
@@ -155,10 +154,9 @@ def _ranked_tokens(model: NaiveBayes, largest: int | None) -> DataFrame:
     """Per token its class counts and its frequency rank, null beyond the largest limit in use."""
     if largest is None:
         return model.tokens.withColumn("rank", F.lit(None).cast("int"))
-    total = F.aggregate("seen", F.lit(0).cast("bigint"), lambda acc, s: acc + s["cnt"])
     order = [F.col("n").desc(), F.col("token")]
     top = (
-        model.tokens.select("token", total.alias("n"))
+        model.tokens.select("token", "n")
         .orderBy(*order)
         .limit(largest)
         .select("token", F.row_number().over(Window.orderBy(*order)).alias("rank"))

@@ -15,11 +15,13 @@ from reviewloom.sources.requests import parse_requests
 
 def score_texts(texts: DataFrame, model: bayes.NaiveBayes, label_map: DataFrame) -> DataFrame:
     """(request_id, pos, prediction) for parsed requests; a missing text has no prediction."""
-    keyed = texts.withColumn("__key", F.struct("request_id", "pos"))
-    present = keyed.filter(F.col("text").isNotNull())
-    predicted = bayes.predict(present, "__key", "text", model).select("__key", "pred")
-    absent = keyed.filter(F.col("text").isNull()).select("__key", F.lit(None).cast("int").alias("pred"))
-    decoded = decode_labels(predicted.unionByName(absent), label_map, "pred")
+    keyed = texts.select(
+        F.struct("request_id", "pos").alias("__key"), F.col("text").isNotNull().alias("__given"), "text"
+    )
+    predicted = bayes.predict(keyed, "__key", "text", model, ["__given"]).select(
+        "__key", F.when(F.col("__given"), F.col("pred")).alias("pred")
+    )
+    decoded = decode_labels(predicted, label_map, "pred")
     return decoded.select("__key.request_id", "__key.pos", "prediction")
 
 

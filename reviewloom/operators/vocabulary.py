@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.tokens import MAX_LENGTH, SPECIAL_TOKENS, model_input, words
 from reviewloom.plans import limits
-from reviewloom.plans.joins import stored_lookup_join
+from reviewloom.plans.joins import frequency_join
 from reviewloom.plans.ordering import hash_ordered_index, sorted_index
 from reviewloom.plans.storage import materialise
 
@@ -60,7 +60,8 @@ def token_ids(
     """
     placed = df.select(key, F.posexplode(model_input(F.col(text), max_length)).alias("pos", "token"))
     stored = materialise(vocabulary.select("token", "id"))
-    found = stored_lookup_join(placed, stored, "token", "left")
+    # Ids grow as tokens get rarer.
+    found = frequency_join(placed, stored, "token", 1 / (F.col("id") + 1))
     unknown = F.lit(SPECIAL_TOKENS["[UNK]"]).cast("bigint")
     gathered = found.groupBy(key).agg(
         F.sort_array(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from reviewloom.plans import limits
@@ -23,12 +23,12 @@ def local_copy(df: DataFrame) -> DataFrame | None:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
-def fits_broadcast(stored: DataFrame, key: str) -> bool:
-    """Size check for a stored, otherwise narrow table with a text ``key``."""
-    rows, key_bytes = stored.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(key)), F.lit(0))
-    ).first()
-    return rows <= limits.BROADCAST_ROWS and key_bytes <= limits.BROADCAST_KEY_BYTES
+def fits_broadcast(stored: DataFrame) -> bool:
+    """Size check for a stored table: its rows, and if they are few enough their written length."""
+    if stored.count() > limits.BROADCAST_ROWS:
+        return False
+    length = F.octet_length(F.to_json(F.struct(*stored.columns)))
+    return (stored.agg(F.sum(length)).first()[0] or 0) <= limits.BROADCAST_BYTES
 
 
 def skew_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner") -> DataFrame:
@@ -58,7 +58,38 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "inner") -
 
 
 def stored_lookup_join(facts: DataFrame, stored: DataFrame, on: str, how: str = "inner") -> DataFrame:
-    """:func:`lookup_join` for a stored, narrow dimension, which is cheap to measure."""
-    if fits_broadcast(stored, on):
+    """:func:`lookup_join` for a stored dimension, which is cheap to measure."""
+    if fits_broadcast(stored):
         return facts.join(F.broadcast(stored), on, how)
     return skew_join(facts, stored, on, how)
+
+
+def frequency_join(facts: DataFrame, stored: DataFrame, on: str, weight: Column) -> DataFrame:
+    """Left join to a stored dimension, one row per key, whose ``weight`` tells how common a key is.
+
+    The most common keys that fit the broadcast bounds meet nearly all rows where they are; only
+    the rows left over are shuffled, by :func:`skew_join`. Every row is in one of the two parts.
+    """
+    level = F.floor(F.log2(weight))
+    length = F.octet_length(F.to_json(F.struct(*stored.columns)))
+    sizes = stored.groupBy(level.alias("level")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(length).alias("length")
+    )
+    rows = total = 0
+    cut = None
+    # One row per power of two, so there are only a few dozen.
+    by_level = sorted(sizes.collect(), key=lambda r: -r["level"])
+    for size in by_level:
+        rows, total = rows + size["n"], total + size["length"]
+        if rows > limits.BROADCAST_ROWS or total > limits.BROADCAST_BYTES:
+            break
+        cut = size["level"]
+    else:
+        return facts.join(F.broadcast(stored), on, "left")
+    if cut is None:
+        return skew_join(facts, stored, on, "left")
+    common = stored.filter(level >= cut).withColumn("__met", F.lit(True))
+    tried = facts.join(F.broadcast(common), on, "left")
+    met = tried.filter(F.col("__met").isNotNull()).drop("__met")
+    rest = tried.filter(F.col("__met").isNull()).select(*facts.columns)
+    return met.unionByName(skew_join(rest, stored.filter(level < cut), on, "left"))

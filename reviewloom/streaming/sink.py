@@ -15,6 +15,7 @@ from pyspark.sql.types import IntegerType, StructType
 from reviewloom.plans.storage import scratch_path
 
 _STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+_IN_MEMORY = "HDFSBackedStateStoreProvider"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,10 +45,12 @@ def run_available(
 ) -> DataFrame:
     """Processes all present input and returns what was written, with its ``epoch``.
 
-    State may have a key per run or device, so it is kept on disk rather than on the heap.
+    State may have a key per run or device, so it is kept on disk rather than on the heap, unless
+    the session names a state store of its own.
     """
     spark = stream.sparkSession
-    spark.conf.set(_STATE_STORE, _ROCKSDB)
+    if spark.conf.get(_STATE_STORE).endswith(_IN_MEMORY):
+        spark.conf.set(_STATE_STORE, _ROCKSDB)
     out = scratch_path(spark, name)
     query = (
         stream.writeStream.outputMode(mode)
