@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.labels import argmax
 from reviewloom.functions.tokens import words
-from reviewloom.operators.classification import MetricRegistry, confusion
+from reviewloom.operators.classification import MetricRegistry, auc_hard, confusion
 from reviewloom.plans.joins import frequency_join
 from reviewloom.plans.storage import materialise
 
@@ -227,5 +227,6 @@ def score_trials(
             )
         )
     judged = per_doc.select(label, F.explode(F.array(*outcomes)).alias("o")).select(label, "o.*")
-    counts = confusion(judged, label, "pred", by=["trial_id"])
-    return MetricRegistry().compute(counts, by=["trial_id"])
+    counts = materialise(confusion(judged, label, "pred", by=["trial_id"]))
+    area = auc_hard(counts, by=["trial_id"]).select("trial_id", F.col("auc").alias("auc_weighted"))
+    return MetricRegistry().compute(counts, by=["trial_id"]).join(area, "trial_id")

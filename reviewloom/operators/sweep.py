@@ -8,6 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.operators import bayes
+from reviewloom.plans.storage import materialise
+
 # The learning rates searched by default; the repeated one has double weight.
 LEARNING_RATES = (5.5e-5, 5e-5, 4.5e-5, 4e-5, 5.5e-5, 6e-5, 3.5e-5, 6.5e-5)
 DEFAULT_SPACE = {
@@ -79,3 +82,31 @@ def schedule(
     return trials.filter(F.col(trial) < cap).withColumn(
         "wave", F.floor(F.col(trial) / concurrent).cast("int")
     )
+
+
+def search(
+    model: bayes.NaiveBayes,
+    judged: DataFrame,
+    key: str,
+    text: str,
+    label: str,
+    trials: Sequence[dict],
+    metric: str = "auc_weighted",
+    goal: str = "max",
+) -> DataFrame:
+    """Settings, metrics and ``is_best`` of every trial, stored; the earlier trial wins a tie.
+
+    ``judged`` should be the validation split, so that the test split stays unseen. The trials run
+    together in one pass over its texts, not one after the other.
+    """
+    scores = bayes.score_trials(judged, key, text, label, model, trials)
+    settings = judged.sparkSession.createDataFrame(
+        [(t["trial_id"], t["alpha"], t["vocab_size"], t["uniform_prior"]) for t in trials],
+        "trial_id int, alpha double, vocab_size int, uniform_prior int",
+    )
+    # A sweep has a handful of trials.
+    stored = materialise(settings.join(scores, "trial_id"))
+    value = F.round(metric, 9)
+    order = value.desc_nulls_last() if goal == "max" else value.asc_nulls_last()
+    best = stored.orderBy(order, "trial_id").first()["trial_id"]
+    return stored.withColumn("is_best", F.col("trial_id") == best)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.encoding import fit_label_map
 from reviewloom.operators.splitting import stratified_split
-from reviewloom.plans.storage import scratch_path
+from reviewloom.plans.storage import scratch_path, spread
 from reviewloom.queries.base import query
 from reviewloom.queries.views import (
     QUALITY_SQL,
@@ -42,7 +42,7 @@ from reviewloom.sources.splits import (
 def src_reviews_json(spark, sf_dir):
     path = scratch_path(spark, "reviews")
     write_reviews(
-        view(spark, sf_dir, "v_reviews").select(
+        spread(view(spark, sf_dir, "v_reviews"), "review_id").select(
             F.col("reviewer").alias("reviewerID"),
             "asin",
             F.col("review_text").alias("reviewText"),

@@ -8,7 +8,7 @@ from reviewloom.operators import bayes, candidates, centroids, encoding, splitti
 from reviewloom.operators import classification as cl
 from reviewloom.operators.runs import best_child
 from reviewloom.operators.scoring import score_requests
-from reviewloom.plans.storage import materialise
+from reviewloom.plans.storage import materialise, scratch_path
 from reviewloom.queries.base import query
 from reviewloom.queries.metrics import PER_CLASS_SQL
 from reviewloom.queries.views import (
@@ -21,6 +21,7 @@ from reviewloom.queries.views import (
     tokens_sql,
     with_text,
 )
+from reviewloom.sources.metric_log import append_metrics, read_metrics
 from reviewloom.sources.requests import responses
 
 TOKENS = f"""{split_sql(QUALITY_SQL, 'doc_id')},
@@ -132,9 +133,6 @@ _TRAIN_SCORES = scores_sql(
 )
 def test_model(spark, sf_dir):
     """Predicts the training rows themselves and logs the metrics under the train prefix."""
-    from reviewloom.plans.storage import scratch_path
-    from reviewloom.sources.metric_log import append_metrics, read_metrics
-
     train = _part(spark, sf_dir, _split(spark, sf_dir), "train")
     model = bayes.train(train, "text", "label")
     judged = bayes.predict(train, "doc_id", "text", model, ["label"])
@@ -197,7 +195,7 @@ tbest AS (SELECT trial_id, doc_id, label, arg_max(idx, (score, -idx)) AS pred FR
 tcls AS (SELECT trial_id, c AS cls, count(*) FILTER (label = c) AS support, count(*) FILTER (pred = c) AS predicted,
                 count(*) FILTER (label = c AND pred = c) AS hits
          FROM tbest, (SELECT idx AS c FROM classes) GROUP BY ALL),
-tmet AS (SELECT trial_id, sum(hits) / sum(support) AS accuracy,
+tmet AS (SELECT trial_id, sum(hits) / sum(support) AS accuracy, avg(hits / support) AS auc_weighted,
                 sum(support * (CASE WHEN support + predicted = 0 THEN 0 ELSE 2 * hits / (support + predicted) END)) / sum(support) AS f1_weighted
          FROM tcls GROUP BY trial_id)"""
 
@@ -210,22 +208,16 @@ def sampled_trials(spark):
 
 
 def _sweep(spark, sf_dir, split, model, part="val"):
-    """Scores of all trials on ``part``, stored, with their settings."""
-    trials = sampled_trials(spark)
+    """Scores of all trials on ``part``."""
     judged = _part(spark, sf_dir, split, part)
-    scores = bayes.score_trials(judged, "doc_id", "text", "label", model, trials)
-    settings = spark.createDataFrame(trials).select(
-        F.col("trial_id").cast("int").alias("trial_id"), "alpha",
-        F.col("vocab_size").cast("int").alias("vocab_size"),
-        F.col("uniform_prior").cast("int").alias("uniform_prior"),
-    )
-    return materialise(scores.join(F.broadcast(settings), "trial_id"))
+    return sweep.search(model, judged, "doc_id", "text", "label", sampled_trials(spark), "f1_weighted")
 
 
 @query(
     "sweep_run",
     f"""WITH {_sweep_scores_sql('val')}
     SELECT trial_id, alpha, vocab_size, uniform_prior, round(accuracy, 6) AS accuracy, round(f1_weighted, 6) AS f1_weighted,
+           round(auc_weighted, 6) AS auc_weighted,
            row_number() OVER (ORDER BY round(f1_weighted, 9) DESC, trial_id) = 1 AS is_best
     FROM trials JOIN tmet USING (trial_id)""",
 )
@@ -233,12 +225,9 @@ def sweep_run(spark, sf_dir):
     """Random search on the validation split; all trials share one pass over its texts."""
     split = _split(spark, sf_dir)
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
-    scores = _sweep(spark, sf_dir, split, model)
-    best = scores.orderBy(F.round("f1_weighted", 9).desc(), "trial_id").first()["trial_id"]
-    return scores.select(
-        "trial_id", "alpha", "vocab_size", "uniform_prior",
-        F.round("accuracy", 6).alias("accuracy"), F.round("f1_weighted", 6).alias("f1_weighted"),
-        (F.col("trial_id") == best).alias("is_best"),
+    shown = [F.round(c, 6).alias(c) for c in ("accuracy", "f1_weighted", "auc_weighted")]
+    return _sweep(spark, sf_dir, split, model).select(
+        "trial_id", "alpha", "vocab_size", "uniform_prior", *shown, "is_best"
     )
 
 
@@ -295,10 +284,10 @@ replies AS (SELECT request_id, '[' || string_agg(coalesce(pred::VARCHAR, 'null')
 
 def trained_on_labels(spark, sf_dir):
     """A model on the training split, and its label map."""
-    train = _part(spark, sf_dir, _split(spark, sf_dir), "train")
-    label_map = materialise(encoding.fit_label_map(train, "label"))
-    encoded = encoding.encode_labels(train, label_map, "label")
-    return bayes.train(encoded, "text", "labels"), label_map
+    rows = _split(spark, sf_dir).filter("split = 'train'").select("doc_id", "label")
+    label_map = materialise(encoding.fit_label_map(rows, "label"))
+    encoded = encoding.encode_labels(rows, label_map, "label")
+    return bayes.train(with_text(encoded, spark, sf_dir), "text", "labels"), label_map
 
 
 @query("score_batch", f"WITH {MODEL}, {_ALL_SCORES} SELECT request_id, response, n_items FROM replies")

@@ -9,7 +9,7 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
 from reviewloom.functions.tokens import words
-from reviewloom.operators import bayes, centroids, vocabulary
+from reviewloom.operators import bayes, centroids, sweep, vocabulary
 from reviewloom.operators.scoring import map_text
 
 WORDS = ["good", "bad", "fine", "poor", "the", "a", "!", "café", "naïve", "x1"]
@@ -84,6 +84,17 @@ def test_one_pass_trials_match_single_models(spark):
     assert math.isclose(rows[2]["accuracy"], right / 50)
 
 
+def test_search_marks_the_earliest_best_trial(spark):
+    train, val = _frame(spark, _texts(100)), _frame(spark, _texts(50, 2))
+    trials = [{"trial_id": i, "alpha": a, "vocab_size": 0, "uniform_prior": 0} for i, a in enumerate((50.0, 0.5, 0.5))]
+    model = bayes.train(train, "text", "y")
+    rows = sweep.search(model, val, "k", "text", "y", trials, "accuracy").orderBy("trial_id").collect()
+    best = max(r["accuracy"] for r in rows)
+    assert [r["is_best"] for r in rows].index(True) == [r["accuracy"] for r in rows].index(best)
+    assert sum(r["is_best"] for r in rows) == 1
+    assert all(math.isclose(r["recall"], r["auc_weighted"]) for r in rows)
+
+
 @pytest.mark.parametrize("large", [False, True])
 def test_token_ids_keep_whole_rows(spark, large, request):
     if large:
