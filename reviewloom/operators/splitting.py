@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from reviewloom.plans.joins import lookup_join, small_rows
-from reviewloom.plans.ordering import hash_cuts, hash_ordered_index, rank_distinct, seeded_hash
-from reviewloom.plans.storage import materialise
+from reviewloom.plans.ordering import (
+    bucket_sizes,
+    hash_cuts,
+    hash_ordered_index,
+    rank_distinct,
+    seeded_hash,
+)
 
 TRAIN, VAL, TEST = "train", "val", "test"
 
@@ -52,25 +57,23 @@ def allocate(classes: DataFrame, label: str, size: str, target: int, out: str) -
     return ranked.withColumn(out, F.col("__floor") + extra).select(*classes.columns, out)
 
 
-def _class_sizes(df: DataFrame, label: str) -> tuple[DataFrame, int, list | None]:
+def _class_sizes(sizes: DataFrame, label: str) -> tuple[DataFrame, int, list | None]:
     """Rows per class, their total, and the sorted rows themselves when there are few classes."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    rows = small_rows(sizes)
+    classes = sizes.groupBy(label).agg(F.sum("__size").alias("n"))
+    rows = small_rows(classes)
     if rows is None:
-        stored = materialise(sizes)
-        total, missing = stored.agg(F.sum("n"), F.count(F.when(F.col(label).isNull(), 1))).first()
+        total, missing = classes.agg(F.sum("n"), F.count(F.when(F.col(label).isNull(), 1))).first()
     else:
-        stored = sizes
         total = sum(row["n"] for row in rows)
         missing = sum(row[label] is None for row in rows)
     if missing:
         raise ValueError(f"{label} has missing values; drop them first")
-    return stored, total, sorted(rows, key=lambda r: r[label]) if rows is not None else None
+    return classes, total, sorted(rows, key=lambda r: r[label]) if rows is not None else None
 
 
-def _split_ranks(df: DataFrame, label: str) -> DataFrame:
+def _split_ranks(sizes: DataFrame, label: str) -> DataFrame:
     """(label, train_upto, val_upto): where train and val end in the order of each class."""
-    classes, total, rows = _class_sizes(df, label)
+    classes, total, rows = _class_sizes(sizes, label)
     hold = (total + 4) // 5
     n_train, n_val = total - hold, hold - (hold + 1) // 2
     if rows is None:
@@ -82,13 +85,13 @@ def _split_ranks(df: DataFrame, label: str) -> DataFrame:
         return with_val.select(
             label, "train_upto", (F.col("train_upto") + F.col("val_n")).alias("val_upto")
         )
-    sizes = [row["n"] for row in rows]
-    if any(size < 2 for size in sizes):
+    counts = [row["n"] for row in rows]
+    if any(count < 2 for count in counts):
         raise ValueError("a class with fewer than two rows cannot be split")
-    train = largest_remainder(sizes, n_train)
-    val = largest_remainder([size - t for size, t in zip(sizes, train)], n_val)
-    schema = StructType([df.schema[label]]).add("train_upto", LongType()).add("val_upto", LongType())
-    return df.sparkSession.createDataFrame(
+    train = largest_remainder(counts, n_train)
+    val = largest_remainder([count - t for count, t in zip(counts, train)], n_val)
+    schema = StructType([sizes.schema[label]]).add("train_upto", LongType()).add("val_upto", LongType())
+    return sizes.sparkSession.createDataFrame(
         [(row[label], t, t + v) for row, t, v in zip(rows, train, val)], schema
     )
 
@@ -100,8 +103,8 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 0) -> Data
     class, rows go to train, val and test by their seeded hash order. That takes two cut points per
     class, found from narrow counts, so no row has to move: each one is compared with the cuts.
     """
-    ranks = _split_ranks(df, label)
-    cuts = hash_cuts(df, key, seed, label, ranks, ["train_upto", "val_upto"])
+    sizes = bucket_sizes(df, key, seed, label)
+    cuts = hash_cuts(df, key, seed, label, sizes, _split_ranks(sizes, label), ["train_upto", "val_upto"])
     point = F.struct(seeded_hash(key, seed).alias("hash"), F.col(key).alias("key"))
     return (
         lookup_join(df, cuts, label, "left")
@@ -117,7 +120,8 @@ def stratified_split(df: DataFrame, label: str, key: str, seed: int = 0) -> Data
 
 def stratified_sample(df: DataFrame, label: str, key: str, n: int, seed: int = 0) -> DataFrame:
     """Exactly ``n`` rows with every class in proportion; all rows when there are no more than that."""
-    classes, total, rows = _class_sizes(df, label)
+    sizes = bucket_sizes(df, key, seed, label)
+    classes, total, rows = _class_sizes(sizes, label)
     if total <= n:
         return df
     if rows is None:
@@ -128,7 +132,7 @@ def stratified_sample(df: DataFrame, label: str, key: str, n: int, seed: int = 0
             [(row[label], share) for row, share in zip(rows, shares)],
             StructType([df.schema[label]]).add("upto", LongType()),
         )
-    cuts = hash_cuts(df, key, seed, label, ranks.select(label, "upto"), ["upto"])
+    cuts = hash_cuts(df, key, seed, label, sizes, ranks.select(label, "upto"), ["upto"])
     point = F.struct(seeded_hash(key, seed).alias("hash"), F.col(key).alias("key"))
     return lookup_join(df, cuts, label).filter(point <= F.col("upto")).drop("upto")
 

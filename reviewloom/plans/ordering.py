@@ -167,21 +167,30 @@ def running_max(
     )
 
 
+def bucket_sizes(df: DataFrame, key: str, seed: int | str, group: str) -> DataFrame:
+    """Stored rows per group and hash bucket: all that class sizes and cuts need of most rows."""
+    bucket = F.substring(seeded_hash(key, seed), 1, BUCKET_DIGITS).alias("__bucket")
+    return materialise(
+        df.select(F.col(group), bucket).groupBy(group, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
+    )
+
+
 def hash_cuts(
-    df: DataFrame, key: str, seed: int | str, group: str, ranks: DataFrame, cuts: Sequence[str]
+    df: DataFrame,
+    key: str,
+    seed: int | str,
+    group: str,
+    sizes: DataFrame,
+    ranks: DataFrame,
+    cuts: Sequence[str],
 ) -> DataFrame:
     """The (hash, key) pair found at given 1-based ranks of each group's seeded hash order.
 
-    ``ranks`` has one row per group with a rank per column in ``cuts``. Only the rows of the few
-    buckets that hold a cut are ranked, so finding the cuts moves counts, not rows. The result has
-    one row per group with a struct column per cut, null where the rank is 0.
+    ``sizes`` comes from :func:`bucket_sizes`; ``ranks`` has one row per group with a rank per column
+    in ``cuts``. Only the rows of the few buckets that hold a cut are ranked, so finding the cuts
+    moves counts, not rows. The result has one row per group with a struct column per cut, null
+    where the rank is 0.
     """
-    keyed = (
-        df.select(F.col(group), F.col(key))
-        .withColumn("__hash", seeded_hash(key, seed))
-        .withColumn("__bucket", F.substring("__hash", 1, BUCKET_DIGITS))
-    )
-    sizes = keyed.groupBy(group, "__bucket").agg(F.count(F.lit(1)).alias("__size"))
     running = Window.partitionBy(group).orderBy("__bucket")
     spans = sizes.withColumn("__upto", F.sum("__size").over(running))
     wanted = ranks.select(
@@ -190,18 +199,22 @@ def hash_cuts(
             F.array(*[F.struct(F.lit(c).alias("cut"), F.col(c).alias("rank")) for c in cuts])
         ).alias("__w"),
     ).select(group, "__w.cut", "__w.rank")
+    before = F.col("__upto") - F.col("__size")
     holders = (
         spans.join(wanted, group)
-        .filter((F.col("rank") > F.col("__upto") - F.col("__size")) & (F.col("rank") <= F.col("__upto")))
-        .select(
-            group, "__bucket", "cut", (F.col("rank") - F.col("__upto") + F.col("__size")).alias("__local")
-        )
+        .filter((F.col("rank") > before) & (F.col("rank") <= F.col("__upto")))
+        .select(group, "__bucket", "cut", (F.col("rank") - before).alias("__local"))
     )
     known = local_copy(holders)
     holders = holders if known is None else F.broadcast(known)
     buckets = holders.select(group, "__bucket").distinct()
     if known is not None:
         buckets = F.broadcast(buckets)
+    keyed = (
+        df.select(F.col(group), F.col(key))
+        .withColumn("__hash", seeded_hash(key, seed))
+        .withColumn("__bucket", F.substring("__hash", 1, BUCKET_DIGITS))
+    )
     inside = Window.partitionBy(group, "__bucket").orderBy("__hash", key)
     candidates = keyed.join(buckets, [group, "__bucket"]).withColumn(
         "__rank", F.row_number().over(inside)

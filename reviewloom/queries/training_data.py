@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from reviewloom.functions.labels import argmax
 from reviewloom.operators import encoding, preparation, splitting, sweep
 from reviewloom.queries.base import query
 from reviewloom.queries.views import (
+    LOGITS_SQL,
     QUALITY_SQL,
     logits,
-    LOGITS_SQL,
     quality,
     split_sql,
     table,
     view,
     view_sql,
 )
-from reviewloom.functions.labels import argmax
 
 _SENTIMENT = """CASE WHEN overall IS NULL OR isnan(overall) THEN NULL
                      WHEN overall >= 4 THEN 1.0::DOUBLE WHEN overall < 3 THEN 0.0::DOUBLE END"""
