@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from pyspark.ml.classification import NaiveBayes as ReferenceBayes
+from pyspark.ml.classification import NaiveBayes as LibraryBayes
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ def test_naive_bayes_matches_the_library(spark, large, request):
     got = bayes.predict(test, "k", "text", bayes.train(train, "text", "y", 0.5)).collect()
     counted = lambda df: df.withColumn("w", words(F.col("text")))
     vectors = CountVectorizer(inputCol="w", outputCol="features").fit(counted(train))
-    model = ReferenceBayes(smoothing=0.5, labelCol="y").fit(vectors.transform(counted(train)))
+    model = LibraryBayes(smoothing=0.5, labelCol="y").fit(vectors.transform(counted(train)))
     want = {r["k"]: r for r in model.transform(vectors.transform(counted(test))).collect()}
     assert len(got) == 40
     for row in got:
