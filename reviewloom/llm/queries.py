@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, chat, chunk_dedup, language_id, packing, topk
+from reviewloom.llm import bpe, chat, chunk_dedup, language_id, packing, token_file, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +36,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@_query()
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    manifest = token_file.write_documents(docs, tokenizer_path(TOKENIZER_FILE))
+    return token_file.read_documents(manifest).select(
+        "doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
+
+
 @_query()
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
@@ -50,6 +59,23 @@ def op5_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_crc32(packing.pack_documents(docs, tokenizer_path(TOKENIZER_FILE)))
 
 
+@_query("""
+WITH p AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest FROM pages
+), f AS (
+    SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM p
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f
+""")
+def op6_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages", "page_id", "url", "html")
+    index = warc.write_archive(pages)
+    return warc.look_up(warc.capture_keys(pages), index)
+
+
 @_query("""
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
