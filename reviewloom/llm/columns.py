@@ -26,12 +26,3 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Arra
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """Spreads 64-bit values so that every bit depends on every other (in place)."""
-    for _ in range(2):
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-    x ^= x >> np.uint64(32)
-    return x

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, chat, chunk_dedup, language_id, packing, suffix_dedup, token_file, topk, warc
+from reviewloom.llm import bpe, chat, chunk_dedup, jaccard_join, language_id, packing, suffix_dedup, token_file, topk, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+@_query()
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 @_query()
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")

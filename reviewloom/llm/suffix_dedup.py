@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import mix, utf8
+from reviewloom.llm.columns import utf8
+from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.induced import suffix_order
 from reviewloom.plans.storage import materialise
 
@@ -38,43 +39,9 @@ SEGMENT_WINDOWS = 1 << 22
 SHARD_BYTES = 1 << 23
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
-_BASE = 0x9E3779B97F4A7C15
 _PLACE_BITS = 24
 
 
-class _Powers:
-    """Powers of the base and of its inverse modulo 2**64, as far as needed."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            inverse = pow(_BASE, -1, 1 << 64)
-            for name, base in (("up", _BASE), ("down", inverse)):
-                row = np.full(n, base, np.uint64)
-                row[0] = 1
-                setattr(self, name, np.multiply.accumulate(row))
-        return self.up, self.down
-
-
-_powers = _Powers()
-
-
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
-    """n + 1 running sums from which ``span_hashes`` takes the hash of any span."""
-    up, _ = _powers.get(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return sums
-
-
-def span_hashes(sums: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    _, down = _powers.get(len(sums))
-    return mix((sums[stop] - sums[start]) * down[start])
-
-
 def contexts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram: int = GRAM):
     """(document row, anchor hash, context hash, first window, last window, anchor) of all contexts.
 
@@ -85,8 +52,7 @@ def contexts(data: np.ndarray, offsets: np.ndarray, window: int = WINDOW, gram:
         return tuple(np.zeros(0, np.int64) for _ in range(6))
     sums = prefix_hashes(data)
     at = np.arange(len(data) - gram + 1)
-    _, down = _powers.get(len(sums))
-    grams = mix((sums[gram:] - sums[:-gram]) * down[: len(at)])
+    grams = span_hashes(sums, slice(0, len(at)), slice(gram, None))
     least = (grams >> np.uint64(_PLACE_BITS)) << np.uint64(_PLACE_BITS) | at.astype(np.uint64)
     span, width = window - gram + 1, 1
     while 2 * width <= span:
