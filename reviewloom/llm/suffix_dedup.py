@@ -23,9 +23,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from reviewloom.llm.columns import utf8
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
@@ -366,18 +368,17 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
+@F.pandas_udf(StringType())
+def _as_text(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
+
+
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of the texts; characters cut in half are dropped.
 
     Every row stays. ``n_chars``, where present, follows the new text. A null text becomes empty.
     """
-    import pandas as pd
-
-    @F.pandas_udf("string")
-    def as_text(kept: pd.Series) -> pd.Series:
-        return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    done = remove_repeats(docs).withColumn("text", as_text("kept"))
+    done = remove_repeats(docs).withColumn("text", _as_text("kept"))
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done.select(*docs.columns)
