@@ -38,7 +38,7 @@ WINDOW = 100
 GRAM = 24
 CHUNK_BYTES = 1 << 17
 SEGMENT_WINDOWS = 1 << 22
-SHARD_BYTES = 1 << 23
+SHARD_BYTES = 1 << 21
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
 _PLACE_BITS = 24
