@@ -40,7 +40,7 @@ PERCENT = 75
 # the order of elements. The order decides on speed alone.
 COMMON_IN_BATCH = 4
 COMMON_ELEMENTS = 100_000
-FAMILY_KEYS = 3
+PAIRS_AT_ONCE = 1 << 20
 _KEYS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _CHUNK_BYTES = 1 << 17
 
@@ -143,13 +143,19 @@ def _profile_batch(doc_ids, n, digests, keys, bitmaps, h, df) -> pa.RecordBatch:
 
 
 def family_candidates(reps: DataFrame) -> DataFrame:
-    """(a, b): each set with a smaller-numbered one that shares one of its keys and may link with it.
+    """(a, b): each set with a leader that shares one of its keys and may link with it.
 
-    Of up to three such leaders the one with the least bound on the difference is taken.
+    The leader of a key is the set whose keys most others share, so it stands in the middle of its neighbours. Of
+    up to three leaders the one with the least bound on the difference is taken.
     """
     keyed = reps.select("rep", F.posexplode("keys").alias("kind", "key"))
-    leaders = keyed.groupBy("kind", "key").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = keyed.join(leaders, ["kind", "key"]).where("rep <> leader").select(
+    shared = keyed.groupBy("kind", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = materialise(keyed.join(shared, ["kind", "key"]))
+    central = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
+    leaders = shared.join(central, "rep").groupBy("kind", "key").agg(
+        F.max_by("rep", F.struct("weight", -F.col("rep"))).alias("leader")
+    )
+    pairs = shared.join(leaders, ["kind", "key"]).where("rep <> leader").select(
         F.col("leader").alias("a"), F.col("rep").alias("b")
     )
     bounded = _bounded(pairs.distinct(), reps).where("low <= most")
@@ -312,6 +318,7 @@ def index_pairs(entries: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        found: list[np.ndarray] = []
         for batch in batches:
             rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
             rows = [np.concatenate([k, r]) for k, r in zip(kept, rows)]
@@ -321,16 +328,22 @@ def index_pairs(entries: DataFrame) -> DataFrame:
             head = rows[0] >> 24
             cut = int(np.searchsorted(head, head[-1]))
             kept = [r[cut:] for r in rows]
-            yield _pair_batch(rows[0][:cut], rows[1][:cut])
+            if cut:
+                found.append(list_pairs(rows[0][:cut], rows[1][:cut]))
+            if sum(map(len, found)) >= PAIRS_AT_ONCE:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                if len(found[0]) >= PAIRS_AT_ONCE // 2:
+                    yield _pair_batch(found.pop())
         if len(kept[0]):
-            yield _pair_batch(*kept)
+            found.append(list_pairs(*kept))
+        if found:
+            yield _pair_batch(np.unique(np.concatenate(found), axis=0))
 
     ordered = entries.repartition(F.shiftright("entry", 24)).sortWithinPartitions("entry")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def _pair_batch(entries: np.ndarray, leaders: np.ndarray) -> pa.RecordBatch:
-    pairs = list_pairs(entries, leaders) if len(entries) else np.zeros((0, 2), np.int64)
+def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
 
