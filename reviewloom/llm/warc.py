@@ -323,7 +323,9 @@ def look_up(keys: DataFrame, index: list[IndexFile]) -> DataFrame:
             )
 
     # Sorted keys meet each block of the index once.
-    ordered = keys.select("key").repartitionByRange("key").sortWithinPartitions("key")
+    # Keys are small and the records behind them are not, so partitions are not merged by size.
+    parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = keys.select("key").repartitionByRange(parts, "key").sortWithinPartitions("key")
     return ordered.mapInArrow(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
