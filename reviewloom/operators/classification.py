@@ -136,7 +136,11 @@ def _area(scored: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def auc_hard(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """AUC with the predicted class itself as score; the greater of two true classes is positive."""
+    """AUC with the predicted class itself as score; the greater of two true classes is positive.
+
+    Rows without a truth are left out.
+    """
+    counts = counts.filter(F.col("label").isNotNull())
     truth = counts.groupBy(*by).agg(
         F.max("label").alias("positive"), F.count_distinct("label").alias("n_classes")
     )
@@ -160,11 +164,12 @@ def auc_hard(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact, tie-aware AUC of a score column: equal scores count half.
+    """Exact, tie-aware AUC of a score column: equal scores count half. Rows without a truth are left out.
 
     Rows are counted per distinct score first; the running count of negatives over the scores is
     spread over range partitions.
     """
+    df = df.filter(F.col(label).isNotNull())
     truth = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
     positive, n_classes = truth.agg(F.max("label"), F.count(F.lit(1))).first()
     is_positive = F.col(label) == F.lit(positive)

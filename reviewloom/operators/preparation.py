@@ -75,11 +75,8 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
         )
         for c in columns
     ]
-    values = (
-        df.select(F.explode(F.array(*entries)).alias("entry"))
-        .select("entry.*")
-        .filter(F.col("value").isNotNull())
-    )
+    # Missing values stay until the aggregates, so a column without any value keeps its row.
+    values = df.select(F.explode(F.array(*entries)).alias("entry")).select("entry.*")
     base = [
         F.count("value").alias("n"),
         F.avg("value").alias("mean"),
@@ -99,7 +96,8 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
             )
         )
     summary = values.groupBy("column_name").agg(*base)
-    counted = values.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("copies"))
+    present = values.filter(F.col("value").isNotNull())
+    counted = present.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("copies"))
     running = sum_before(counted, ["column_name"], [F.col("value")], "copies", "before")
     # One row per described column, so the summary is as small as the column list.
     ranked = running.join(F.broadcast(summary.select("column_name", "n")), "column_name")
@@ -117,7 +115,7 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
             value_at(F.least(low + 1, F.col("n") - 1)).alias(f"{name}_high"),
         ]
     found = ranked.groupBy("column_name").agg(*picks)
-    joined = summary.join(F.broadcast(found), "column_name")
+    joined = summary.join(F.broadcast(found), "column_name", "left")
     quantiles = []
     for name, q in zip(names, QUARTILES):
         place = F.lit(q) * (F.col("n") - 1)

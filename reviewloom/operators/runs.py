@@ -72,7 +72,13 @@ def run_by_id_part(runs: DataFrame, part: str) -> DataFrame:
 
 
 def run_by_name(runs: DataFrame, name: str) -> DataFrame:
-    """The earliest run of exactly this name."""
+    """The earliest run of exactly this name; reading it fails if there is none."""
+    found = _earliest(runs, name).agg(F.first(F.struct(*runs.columns)).alias("run"))
+    missing = F.raise_error(F.lit(f"no run is named {name}"))
+    return found.select(F.when(F.col("run").isNull(), missing).otherwise(F.col("run")).alias("run")).select("run.*")
+
+
+def _earliest(runs: DataFrame, name: str) -> DataFrame:
     return runs.filter(F.col("name") == name).orderBy("seq").limit(1)
 
 
@@ -82,14 +88,19 @@ def with_family(runs: DataFrame) -> DataFrame:
 
 
 def redirect_family(winner: DataFrame, runs: DataFrame) -> DataFrame:
-    """A winner of the second family stands for that family's search step."""
-    step = run_by_name(runs, FAMILY_STEP).select(
+    """A winner of the second family stands for that family's search step, which must exist."""
+    step = _earliest(runs, FAMILY_STEP).select(
         F.lit(True).alias("is_automl"), F.col("run_id").alias("step_id")
     )
     return (
         with_family(winner)
         .join(F.broadcast(step), "is_automl", "left")
-        .withColumn("source_run_id", F.coalesce("step_id", "run_id"))
+        .withColumn(
+            "source_run_id",
+            F.when(~F.col("is_automl"), F.col("run_id"))
+            .when(F.col("step_id").isNull(), F.raise_error(F.lit(f"no run is named {FAMILY_STEP}")))
+            .otherwise(F.col("step_id")),
+        )
         .drop("step_id")
     )
 

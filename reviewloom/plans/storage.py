@@ -6,14 +6,13 @@ a lost executor never loses an intermediate result.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach; a local session without one gets a temporary folder."""
+    """The folder all executors can reach, as the session names it."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
@@ -23,11 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if current is not None:
         return current
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="reviewloom-")
-    context.setCheckpointDir(folder)
-    return folder
+    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

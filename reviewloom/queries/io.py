@@ -143,7 +143,7 @@ def sink_metric_rows(spark, sf_dir):
 @query(
     "src_score_request",
     f"""WITH {REQUEST_TEXTS_SQL}
-    SELECT request_id, pos, text, 1.0::DOUBLE AS global_parameter FROM v_request_texts""",
+    SELECT request_id, pos, text, 1.0::DOUBLE AS global_parameter, CAST(NULL AS VARCHAR) AS error FROM v_request_texts""",
 )
 def src_score_request(spark, sf_dir):
     return parse_requests(requests(spark, sf_dir))

@@ -52,11 +52,12 @@ VIEWS = {
         FROM {lineitem}""",
     # Metric values of the trials; some trials log several, some none, some are not numbers.
     "v_run_metrics": """
-        SELECT concat('t', l_orderkey, '_', l_linenumber) AS run_id, 'test_auc_weighted' AS name,
+        SELECT concat('t', l_orderkey, '_', l_linenumber) AS run_id,
+               CASE WHEN l_orderkey % 4 = 3 THEN 'val_auc_weighted' ELSE 'test_auc_weighted' END AS name,
                l_partkey * 100000000 + l_suppkey * 100 + CAST(l_quantity AS BIGINT) AS seq,
                CASE WHEN l_partkey % 97 = 0 THEN CAST('NaN' AS DOUBLE)
                     WHEN l_partkey % 89 = 0 THEN NULL ELSE l_discount END AS value
-        FROM {lineitem} WHERE l_orderkey % 4 <> 3""",
+        FROM {lineitem}""",
     # Flat metric log.
     "v_metrics": """
         SELECT user_id AS run_id, concat('test_', event_type) AS name, event_id AS seq, ts, value

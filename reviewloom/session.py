@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("reviewloom")
         .config("spark.ui.enabled", "false")
@@ -18,3 +20,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+    if session.conf.get("spark.checkpoint.dir", None) is None and session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="reviewloom-"))
+    return session

@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 PLAIN_REQUEST = "data array<struct<text:string>>"
 NESTED_REQUEST = "Inputs struct<data:array<struct<reviewText:string>>>, GlobalParameters double"
 
+UNREADABLE = "unreadable request"
+
 
 def parse_requests(requests: DataFrame, raw: str = "raw", key: str = "request_id") -> DataFrame:
-    """One row per text with its position; takes both shapes."""
+    """One row per text with its position; takes both shapes.
+
+    A request without texts is one row without a position; ``error`` says so if its body is unreadable.
+    """
     plain = F.from_json(F.col(raw), PLAIN_REQUEST)
     nested = F.from_json(F.col(raw), NESTED_REQUEST)
     texts = F.coalesce(
@@ -21,19 +26,21 @@ def parse_requests(requests: DataFrame, raw: str = "raw", key: str = "request_id
     return requests.select(
         key,
         F.coalesce(nested["GlobalParameters"], F.lit(1.0)).alias("global_parameter"),
-        F.posexplode(texts).alias("pos", "text"),
+        F.when(texts.isNull(), F.lit(UNREADABLE)).alias("error"),
+        F.posexplode_outer(texts).alias("pos", "text"),
     )
 
 
 def _replies(scored: DataFrame, value: Column, key: str) -> Column:
+    placed = F.when(F.col("pos").isNotNull(), F.struct(F.col("pos"), value.alias("value")))
     return F.transform(
-        F.sort_array(F.collect_list(F.struct(F.col("pos"), value.alias("value")))),
+        F.sort_array(F.collect_list(placed)),
         lambda item: item["value"],
     )
 
 
 def responses(scored: DataFrame, value: str = "prediction", key: str = "request_id") -> DataFrame:
-    """One JSON list per request, in request order, null where there was no text.
+    """One JSON list per request, in request order, null where there was no text; empty without texts.
 
     A request is one input row, so its reply is no longer than that row's list of texts.
     """

@@ -15,7 +15,6 @@ from reviewloom.functions.metric_names import (
 
 # Fixed value: seconds between two samples.
 INTERVAL = "5 seconds"
-LATENESS = "10 minutes"
 
 
 def kept_samples(samples: DataFrame) -> DataFrame:
@@ -29,18 +28,20 @@ def kept_samples(samples: DataFrame) -> DataFrame:
     )
 
 
-def window_means(samples: DataFrame) -> DataFrame:
+def window_means(samples: DataFrame, lateness: str | None = None) -> DataFrame:
     """Mean per 5-second window, device and name, for batch and stream alike.
 
-    Means are built from partial sums, so a busy device is no bottleneck; the watermark lets the
-    stream forget windows that are ten minutes old.
+    Means are built from partial sums, so a busy device is no bottleneck. By default every sample counts, however
+    late, and a stream keeps the sums of all windows. With ``lateness`` (such as ``10 minutes``) it forgets
+    windows that much older than the newest sample, and later samples of these are lost.
     """
     # Partial sums meet in any order: what that adds in the last digits must not decide a tie.
     mean = normal_value(F.round("mean", 9)).alias("mean")
+    kept = kept_samples(samples.withColumn("ts", F.col("ts").cast("timestamp")))
+    if lateness:
+        kept = kept.withWatermark("ts", lateness)
     return (
-        kept_samples(samples.withColumn("ts", F.col("ts").cast("timestamp")))
-        .withWatermark("ts", LATENESS)
-        .groupBy(F.window("ts", INTERVAL), "device", "name", "family")
+        kept.groupBy(F.window("ts", INTERVAL), "device", "name", "family")
         .agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
         .select(
             F.unix_timestamp("window.start").alias("window_start"),

@@ -105,3 +105,13 @@ def test_excluded_class_and_alignment(spark):
     assert [r["k"] for r in cl.exclude_class(df, "y", "OTHER").collect()] == [2]
     preds = spark.createDataFrame([(2, 1), (3, 0)], "k int, pred int")
     assert [tuple(r) for r in cl.align(preds, df, "k").collect()] == [(2, 1, "a")]
+
+
+def test_areas_leave_out_rows_without_truth(spark):
+    rows = [(k % 2, 0.3 * (k % 2) + 0.01 * k, k % 2) for k in range(8)]
+    schema = "label int, score double, pred int"
+    plain = spark.createDataFrame(rows, schema)
+    more = plain.unionByName(spark.createDataFrame([(None, 0.5, k % 2) for k in range(10)], schema))
+    for df in (plain, more):
+        assert cl.auc_hard(cl.confusion(df, "label", "pred")).first()["auc"] == 1.0
+        assert cl.auc_rank(df, "label", "score").first()["auc"] == 1.0

@@ -102,3 +102,10 @@ def test_target_list_is_first_seen(spark):
     df = spark.createDataFrame([(3, "b"), (1, "c"), (2, "b"), (4, "a")], "i int, y string")
     rows = encoding.target_list(df, "y", "i").orderBy("position").collect()
     assert [r["label"] for r in rows] == ["c", "b", "a"]
+
+
+def test_describe_keeps_columns_without_values(spark):
+    df = spark.createDataFrame([(1.0, None, float("nan")), (3.0, None, None)], "a double, b double, c double")
+    rows = {r["column_name"]: r for r in preparation.describe(df, ["a", "b", "c"]).collect()}
+    assert {c: r["n"] for c, r in rows.items()} == {"a": 2, "b": 0, "c": 0}
+    assert rows["a"]["p50"] == 2.0 and rows["b"]["p50"] is None and rows["c"]["max"] is None

@@ -67,7 +67,8 @@ def test_lookups(spark, family):
     assert ra.run_by_id_part(family, "").first()["run_id"] == "a"
     assert ra.run_by_id_part(family, "c").first()["run_id"] == "c"
     assert ra.run_by_name(family, "D").first()["run_id"] == "d"
-    assert ra.run_by_name(family, "none").collect() == []
+    with pytest.raises(Exception, match="no run is named none"):
+        ra.run_by_name(family, "none").collect()
 
 
 def test_family_winner_is_redirected(spark):

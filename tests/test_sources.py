@@ -74,7 +74,13 @@ def test_both_request_shapes(spark):
     nested = json.dumps({"Inputs": {"data": [{"reviewText": "x"}]}, "GlobalParameters": 2.0})
     df = spark.createDataFrame([(1, plain), (2, nested), (3, '{"data": []}'), (4, "junk")], "request_id int, raw string")
     rows = requests.parse_requests(df).orderBy("request_id", "pos").collect()
-    assert [tuple(r) for r in rows] == [(1, 1.0, 0, "one"), (1, 1.0, 1, None), (1, 1.0, 2, "three"), (2, 2.0, 0, "x")]
+    assert [tuple(r) for r in rows] == [
+        (1, 1.0, None, 0, "one"), (1, 1.0, None, 1, None), (1, 1.0, None, 2, "three"), (2, 2.0, None, 0, "x"),
+        (3, 1.0, None, None, None), (4, 1.0, requests.UNREADABLE, None, None),
+    ]
+    scored = requests.parse_requests(df).selectExpr("request_id", "pos", "length(text) AS prediction")
+    replies = {r["request_id"]: (r["response"], r["n_items"]) for r in requests.responses(scored).collect()}
+    assert replies == {1: ("[3,null,5]", 3), 2: ("[1]", 1), 3: ("[]", 0), 4: ("[]", 0)}
 
 
 def test_reply_keeps_positions(spark):

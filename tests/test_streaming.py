@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 from pyspark.sql import functions as F
 
@@ -77,3 +78,16 @@ def test_key_functions(spark):
     assert [tuple(r) for r in rows] == [("a/gpu:12/util %", "/gpu:12/"), ("gpu", "host"), ("b/host/x", "host")]
     values = spark.createDataFrame([(0.125,), (2.5,), (None,), (0.0,)], "v double")
     assert [r[0] for r in values.select(normal_value(F.col("v"))).collect()] == [0.12, 2.5, 0.0, 0.0]
+
+
+def test_late_files_count(spark, tmp_path):
+    for hours in (4, 2, 0):  # the newest first
+        start = START + dt.timedelta(hours=hours)
+        rows = [(start + dt.timedelta(seconds=i), "m/gpu:0/util (%)/mean", float(i)) for i in range(50)]
+        part = spark.createDataFrame(rows, "ts timestamp, key string, value double").coalesce(1)
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+        time.sleep(1.1)  # files are taken by modification time
+    got = jobs.stream_window_means(stream_table(spark, str(tmp_path / "in"), files_per_trigger=1))
+    want = window_means(spark.read.parquet(str(tmp_path / "in")))
+    assert sorted(got.select(want.columns).collect()) == sorted(want.collect())
+    assert got.agg({"n": "sum"}).first()[0] == 150
