@@ -186,8 +186,9 @@ def read_documents(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield _as_batch(rows)
 
-    # A file a task: the reading of a file is a task's work, a row of the manifest is not.
-    spread = manifest.select("path", "start").repartition(F.col("path"))
+    # A file a task: a row of the manifest is small, what it stands for is not, so rows are not merged by size.
+    spread = manifest.select("path", "start")
+    spread = spread.repartition(max(1, manifest.count()))
     return spread.mapInArrow(run, "doc_id long, start long, ids binary")
 
 
