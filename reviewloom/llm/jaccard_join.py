@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.llm.columns import lists
 from reviewloom.llm.components import components
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.suffix_dedup import compressed
@@ -340,11 +341,17 @@ def index_pairs(entries: DataFrame) -> DataFrame:
             yield _pair_batch(np.unique(np.concatenate(found), axis=0))
 
     ordered = entries.repartition(F.shiftright("entry", 24)).sortWithinPartitions("entry")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    # Near sets meet in many lists, hence in many tasks: partners travel as one list a leader and task.
+    met = ordered.mapInArrow(run, "a long, others array<long>").groupBy("a").agg(F.collect_list("others").alias("lists"))
+    return met.select("a", F.explode(F.array_distinct(F.flatten("lists"))).alias("b"))
 
 
 def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+    starts = np.flatnonzero(np.append(True, pairs[1:, 0] != pairs[:-1, 0])) if len(pairs) else np.zeros(0, np.int64)
+    sizes = np.diff(np.append(starts, len(pairs)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(pairs[starts, 0]), lists(pairs[:, 1], sizes, pa.int64())], names=["a", "others"]
+    )
 
 
 def similar_components(docs: DataFrame) -> DataFrame:
