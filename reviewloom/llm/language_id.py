@@ -29,7 +29,7 @@ SAMPLE_DOCUMENTS = 3_000
 MAX_LANGUAGES = 256
 WORD_ENTRIES, GRAM_ENTRIES = 160_000, 80_000
 GRAM_SIZES = (4, 3, 2, 1)
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")

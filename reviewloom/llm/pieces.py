@@ -13,7 +13,7 @@ import numpy as np
 
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
-CACHED_PIECES = 400_000
+CACHED_PIECES = 200_000
 # Documents are split together up to so many bytes, which stay in a core's own cache.
 CHUNK_BYTES = 1 << 18
 
