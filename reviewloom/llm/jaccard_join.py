@@ -7,6 +7,8 @@ elements. So sets are indexed by these elements, rare ones first. Two relations
   compared with the leader; if they link, it follows the leader in the index. A list of the index holds a family
   once, whatever its size, with the range of its sizes. Lists are sorted by size, and what lies beyond the sizes
   that can reach the threshold, or too far behind in its sets by position, is skipped as a block.
+* Neighbours in a list are compared first. What their links connect is one part; only pairs of families between
+  parts follow, so a large group of near copies costs few pairs.
 * The answer of a family is derived from its leader's: the symmetric difference of two members lies within that of
   the leaders and the two members' own. Parity bitmaps bound differences from below. Family pairs that cannot hold
   a link are done; leaders that link join their families; only pairs of families between are opened.
@@ -42,6 +44,8 @@ PERCENT = 75
 COMMON_IN_BATCH = 4
 COMMON_ELEMENTS = 100_000
 PAIRS_AT_ONCE = 1 << 20
+# So many next places of a list count as neighbours: a set that links with none must not part a large group.
+NEIGHBOURS = 4
 _KEYS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _CHUNK_BYTES = 1 << 17
 
@@ -255,7 +259,7 @@ _LARGE = (1 << 16) - 1
 
 
 def index_entries(indexed: DataFrame) -> DataFrame:
-    """(entry, leader) for each indexing element of each set (leader, n, elements)."""
+    """(entry, leader, part) for each indexing element of each set (leader, n, elements, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,31 +273,42 @@ def index_entries(indexed: DataFrame) -> DataFrame:
             part = (place * 1024 // many).clip(max=255).astype(np.uint64)
             entry = (np.concatenate(rows) >> np.uint64(24)) << np.uint64(24)
             entry |= (many.clip(max=_LARGE).astype(np.uint64) << np.uint64(8)) | part
+            row = pa.array(np.repeat(np.arange(len(n)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(entry.view(np.int64)), batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), sizes)))],
-                names=["entry", "leader"],
+                [pa.array(entry.view(np.int64)), batch.column(0).take(row), batch.column(3).take(row)],
+                names=["entry", "leader", "part"],
             )
 
-    return indexed.select("leader", "n", "elements").mapInArrow(run, "entry long, leader long")
+    return indexed.select("leader", "n", "elements", "part").mapInArrow(run, "entry long, leader long, part long")
 
 
-def list_pairs(entries: np.ndarray, leaders: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Distinct (a, b), a < b, of leaders that some list brings together. Entries are sorted."""
+def list_pairs(
+    entries: np.ndarray, leaders: np.ndarray, parts: np.ndarray, nearest: bool = False, percent: int = PERCENT
+) -> np.ndarray:
+    """Distinct (a, b), a < b, of leaders of different parts that some list brings together. Entries are sorted.
+
+    With ``nearest`` only neighbours in a list.
+    """
     element = entries.astype(np.uint64) >> np.uint64(24)
     n = (entries >> 8) & _LARGE
-    part = entries & 255
+    place = entries & 255
     # One entry for a leader in a list: the range of its sizes and the earliest place.
     order = np.lexsort((leaders, element))
-    element, leaders, n, part = element[order], leaders[order], n[order], part[order]
+    element, leaders, parts, n, place = (x[order] for x in (element, leaders, parts, n, place))
     starts = np.flatnonzero(np.append(True, (element[1:] != element[:-1]) | (leaders[1:] != leaders[:-1])))
     low, high = np.minimum.reduceat(n, starts), np.maximum.reduceat(n, starts)
     high = np.where(high == _LARGE, 1 << 40, high)
-    part = np.minimum.reduceat(part, starts)
-    element, leaders = element[starts], leaders[starts]
-    order = np.lexsort((low, element))
-    element, leaders, low, high, part = (x[order] for x in (element, leaders, low, high, part))
+    place = np.minimum.reduceat(place, starts)
+    element, leaders, parts = element[starts], leaders[starts], parts[starts]
+    # A list within one part brings nothing.
+    heads = np.flatnonzero(np.append(True, element[1:] != element[:-1]))
+    mixed = np.minimum.reduceat(parts, heads) != np.maximum.reduceat(parts, heads)
+    mixed = np.repeat(mixed, np.diff(np.append(heads, len(element))))
+    element, leaders, parts, low, high, place = (x[mixed] for x in (element, leaders, parts, low, high, place))
+    order = np.lexsort((leaders, low, element))
+    element, leaders, parts, low, high, place = (x[order] for x in (element, leaders, parts, low, high, place))
     # At most so many elements of a set are left from its place in the list on.
-    rest = high - part * low // 1024
+    rest = high - place * low // 1024
     found = []
     active = np.arange(len(element))
     step = 1
@@ -304,24 +319,29 @@ def list_pairs(entries: np.ndarray, leaders: np.ndarray, percent: int = PERCENT)
         near = (element[active] == element[other]) & (percent * low[other] <= 100 * high[active])
         active, other = active[near], other[near]
         need = -(-percent * (low[active] + low[other]) // (100 + percent))
-        close = np.minimum(rest[active], rest[other]) >= need
+        close = (np.minimum(rest[active], rest[other]) >= need) & (parts[active] != parts[other])
         a, b = leaders[active[close]], leaders[other[close]]
         if len(a):
             found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
+        if nearest and step == NEIGHBOURS:
+            break
         step += 1
     if not found:
         return np.zeros((0, 2), np.int64)
     return np.unique(np.concatenate(found), axis=0)
 
 
-def index_pairs(entries: DataFrame) -> DataFrame:
-    """(a, b) of leaders whose families may hold a link; reads the lists of a partition one after the other."""
+def index_pairs(entries: DataFrame, nearest: bool = False) -> DataFrame:
+    """(a, b) of leaders of different parts whose families may hold a link, or of neighbours in the lists only.
+
+    Reads the lists of a partition one after the other.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        kept = [np.zeros(0, np.int64)] * 3
         found: list[np.ndarray] = []
         for batch in batches:
-            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
             rows = [np.concatenate([k, r]) for k, r in zip(kept, rows)]
             if not len(rows[0]):
                 continue
@@ -330,13 +350,13 @@ def index_pairs(entries: DataFrame) -> DataFrame:
             cut = int(np.searchsorted(head, head[-1]))
             kept = [r[cut:] for r in rows]
             if cut:
-                found.append(list_pairs(rows[0][:cut], rows[1][:cut]))
+                found.append(list_pairs(*(r[:cut] for r in rows), nearest))
             if sum(map(len, found)) >= PAIRS_AT_ONCE:
                 found = [np.unique(np.concatenate(found), axis=0)]
                 if len(found[0]) >= PAIRS_AT_ONCE // 2:
                     yield _pair_batch(found.pop())
         if len(kept[0]):
-            found.append(list_pairs(*kept))
+            found.append(list_pairs(*kept, nearest))
         if found:
             yield _pair_batch(np.unique(np.concatenate(found), axis=0))
 
@@ -377,13 +397,24 @@ def similar_components(docs: DataFrame) -> DataFrame:
     sets = materialise(
         sets.select("rep", "n", F.coalesce("a", "rep").alias("leader"), F.coalesce("differ", F.lit(0)).alias("differ"))
     )
-    indexed = prefixes(docs, [(r["h"], r["df"]) for r in common]).join(
-        sets.select(F.col("rep").alias("doc_id"), "leader"), "doc_id"
+    indexed = materialise(
+        prefixes(docs, [(r["h"], r["df"]) for r in common]).join(
+            sets.select(F.col("rep").alias("doc_id"), "leader"), "doc_id"
+        )
     )
-    pairs = materialise(index_pairs(index_entries(indexed)))
+    # Neighbours in the lists first: they connect a large group of near copies with few pairs. What is connected
+    # by then is one part, and only pairs between parts follow.
+    beside = index_pairs(index_entries(indexed.withColumn("part", F.col("leader"))), nearest=True)
+    beside = materialise(_bounded(beside, reps).where("low <= most").select("a", "b"))
+    beside = compare(beside, docs)
+    known = materialise(followers.select("a", "b").unionByName(beside.where("linked").select("a", "b")))
+    parts = components(known).select(F.col("id").alias("doc_id"), "component")
+    parted = indexed.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component", "leader"))
+    pairs = materialise(index_pairs(index_entries(parted)))
     near = _open_pairs(pairs, sets, reps)
-    judged = compare(near.where("low <= most").select("a", "b"), docs)
-    known = followers.select("a", "b").unionByName(judged.where("linked").select("a", "b"))
+    judged = near.where("low <= most").join(beside.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
+    judged = compare(materialise(judged), docs)
+    known = known.unionByName(judged.where("linked").select("a", "b"))
     more = _members_links(near, known, sets, reps, docs)
     edges = known if more is None else known.unionByName(more)
     groups = components(edges)
