@@ -11,7 +11,8 @@ elements. So sets are indexed by these elements, rare ones first. Two relations
   parts follow, so a large group of near copies costs few pairs.
 * The answer of a family is derived from its leader's: the symmetric difference of two members lies within that of
   the leaders and the two members' own. Parity bitmaps bound differences from below. Family pairs that cannot hold
-  a link are done; leaders that link join their families; only pairs of families between are opened.
+  a link are done; leaders that link join their families; only pairs of families between are opened. The bounds
+  are first tried within the lists, on folded bitmaps, before any pair is written.
 
 Every comparison that decides is exact, on the sets of the two whole texts (elements by 64-bit hashes).
 
@@ -46,6 +47,8 @@ COMMON_ELEMENTS = 100_000
 PAIRS_AT_ONCE = 1 << 20
 # So many next places of a list count as neighbours: a set that links with none must not part a large group.
 NEIGHBOURS = 4
+# Bitmaps travel to the lists folded to this size at most; a fold bounds differences as well, only less closely.
+FOLDED_BYTES = 512
 _KEYS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _CHUNK_BYTES = 1 << 17
 
@@ -103,6 +106,33 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def folded(bitmap: bytes, most: int = FOLDED_BYTES) -> bytes:
+    """The bitmap of the same set in at most ``most`` bytes; both sizes are powers of two."""
+    if len(bitmap) <= most:
+        return bitmap
+    return np.bitwise_xor.reduce(np.frombuffer(bitmap, "<u8").reshape(-1, most // 8), axis=0).tobytes()
+
+
+def least_differences(bitmaps: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``least_difference`` of many pairs of places in ``bitmaps``."""
+    words = np.array([len(b) // 8 for b in bitmaps], np.int64)
+    row = np.zeros(len(words), np.int64)
+    tables = {}
+    for w in np.unique(words).tolist():
+        own = np.flatnonzero(words == w)
+        row[own] = np.arange(len(own))
+        tables[w] = np.frombuffer(b"".join(bitmaps[k] for k in own.tolist()), "<u8").reshape(-1, w)
+    low = np.zeros(len(i), np.int64)
+    for w, v in np.unique(np.stack([words[i], words[j]], axis=1), axis=0).tolist():
+        at = np.flatnonzero((words[i] == w) & (words[j] == v))
+        x, y = (
+            np.bitwise_xor.reduce(tables[own][row[k[at]]].reshape(len(at), -1, min(w, v)), axis=1)
+            for own, k in ((w, i), (v, j))
+        )
+        low[at] = np.bitwise_count(x ^ y).sum(axis=1)
+    return low
+
+
 def most_difference(n: int, m: int, percent: int = PERCENT) -> int:
     """The largest symmetric difference of linked sets of n and m elements."""
     return (100 - percent) * (n + m) // (100 + percent)
@@ -282,17 +312,14 @@ def index_entries(indexed: DataFrame) -> DataFrame:
     return indexed.select("leader", "n", "elements", "part").mapInArrow(run, "entry long, leader long, part long")
 
 
-def list_pairs(
-    entries: np.ndarray, leaders: np.ndarray, parts: np.ndarray, nearest: bool = False, percent: int = PERCENT
-) -> np.ndarray:
-    """Distinct (a, b), a < b, of leaders of different parts that some list brings together. Entries are sorted.
+def list_members(entries: np.ndarray, leaders: np.ndarray, parts: np.ndarray) -> list[np.ndarray]:
+    """element, leader, part, low, high, place of lists that hold several parts, by element, low and leader.
 
-    With ``nearest`` only neighbours in a list.
+    One row for a leader in a list: the range of its sizes and the earliest place. Entries are sorted.
     """
     element = entries.astype(np.uint64) >> np.uint64(24)
     n = (entries >> 8) & _LARGE
     place = entries & 255
-    # One entry for a leader in a list: the range of its sizes and the earliest place.
     order = np.lexsort((leaders, element))
     element, leaders, parts, n, place = (x[order] for x in (element, leaders, parts, n, place))
     starts = np.flatnonzero(np.append(True, (element[1:] != element[:-1]) | (leaders[1:] != leaders[:-1])))
@@ -304,12 +331,21 @@ def list_pairs(
     heads = np.flatnonzero(np.append(True, element[1:] != element[:-1]))
     mixed = np.minimum.reduceat(parts, heads) != np.maximum.reduceat(parts, heads)
     mixed = np.repeat(mixed, np.diff(np.append(heads, len(element))))
-    element, leaders, parts, low, high, place = (x[mixed] for x in (element, leaders, parts, low, high, place))
-    order = np.lexsort((leaders, low, element))
-    element, leaders, parts, low, high, place = (x[order] for x in (element, leaders, parts, low, high, place))
+    members = [x[mixed] for x in (element.view(np.int64), leaders, parts, low, high, place)]
+    order = np.lexsort((members[1], members[3], members[0]))
+    return [x[order] for x in members]
+
+
+def close_places(
+    element: np.ndarray, parts: np.ndarray, low: np.ndarray, high: np.ndarray, place: np.ndarray,
+    nearest: bool = False, percent: int = PERCENT,
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of members of one list, of different parts, that sizes and places let link.
+
+    With ``nearest`` only neighbours in a list.
+    """
     # At most so many elements of a set are left from its place in the list on.
     rest = high - place * low // 1024
-    found = []
     active = np.arange(len(element))
     step = 1
     while len(active):
@@ -320,50 +356,119 @@ def list_pairs(
         active, other = active[near], other[near]
         need = -(-percent * (low[active] + low[other]) // (100 + percent))
         close = (np.minimum(rest[active], rest[other]) >= need) & (parts[active] != parts[other])
-        a, b = leaders[active[close]], leaders[other[close]]
-        if len(a):
-            found.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0))
+        if close.any():
+            yield active[close], other[close]
         if nearest and step == NEIGHBOURS:
             break
         step += 1
-    if not found:
-        return np.zeros((0, 2), np.int64)
-    return np.unique(np.concatenate(found), axis=0)
 
 
-def index_pairs(entries: DataFrame, nearest: bool = False) -> DataFrame:
-    """(a, b) of leaders of different parts whose families may hold a link, or of neighbours in the lists only.
+def distinct_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
 
-    Reads the lists of a partition one after the other.
-    """
+
+def _joined(found: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+
+
+def _whole_lists(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches that end with a list; the first column without its last ``bits`` names the list."""
+    kept: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        head = batch.column(0).to_numpy(zero_copy_only=False) >> bits
+        cut = int(np.flatnonzero(head != head[-1])[-1]) + 1 if head[0] != head[-1] else 0
+        # The list held back may have ended before this batch.
+        if kept and (cut or (kept[-1].column(0)[-1].as_py() >> bits) != head[-1]):
+            yield from pa.Table.from_batches([*kept, batch.slice(0, cut)]).combine_chunks().to_batches()
+            kept = []
+        elif cut:
+            yield batch.slice(0, cut)
+        kept.append(batch.slice(cut))
+    if kept:
+        yield from pa.Table.from_batches(kept).combine_chunks().to_batches()
+
+
+def _pair_batches(found: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """Partners by leader, distinct among up to PAIRS_AT_ONCE pairs."""
+    held: list[np.ndarray] = []
+    for pairs in found:
+        held.append(pairs)
+        if sum(map(len, held)) >= PAIRS_AT_ONCE:
+            held = [_joined(held)]
+            if len(held[0]) >= PAIRS_AT_ONCE // 2:
+                yield _pair_batch(held.pop())
+    if held:
+        yield _pair_batch(_joined(held))
+
+
+def _exploded(met: DataFrame) -> DataFrame:
+    # Near sets meet in many lists, hence in many tasks: partners travel as one list a leader and task.
+    lists_of = met.groupBy("a").agg(F.collect_list("others").alias("lists"))
+    return lists_of.select("a", F.explode(F.array_distinct(F.flatten("lists"))).alias("b"))
+
+
+def neighbour_pairs(entries: DataFrame) -> DataFrame:
+    """(a, b) of leaders of different parts that are neighbours in a list and that their sizes let link."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in _whole_lists(batches, 24):
+            element, leaders, *rest = list_members(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+            yield _joined([distinct_pairs(leaders[i], leaders[j]) for i, j in close_places(element, *rest, nearest=True)])
+
+    return _exploded(_by_list(entries).mapInArrow(lambda batches: _pair_batches(pairs(batches)), "a long, others array<long>"))
+
+
+def _by_list(entries: DataFrame) -> DataFrame:
+    return entries.repartition(F.shiftright("entry", 24)).sortWithinPartitions("entry")
+
+
+def meeting_members(entries: DataFrame) -> DataFrame:
+    """(element, leader, part, low, high, place) of the members of lists that are close to one of another part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = [np.zeros(0, np.int64)] * 3
-        found: list[np.ndarray] = []
+        names = ["element", "leader", "part", "low", "high", "place"]
+        for batch in _whole_lists(batches, 24):
+            members = list_members(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
+            meets = np.zeros(len(members[0]), bool)
+            for i, j in close_places(members[0], *members[2:]):
+                meets[i] = meets[j] = True
+            yield pa.RecordBatch.from_arrays([pa.array(x[meets].astype(np.int64)) for x in members], names=names)
+
+    return _by_list(entries).mapInArrow(run, "element long, leader long, part long, low long, high long, place long")
+
+
+def family_pairs(members: DataFrame, families: DataFrame) -> DataFrame:
+    """(a, b) of leaders of different parts whose families may hold a link by sizes, places and bitmaps.
+
+    ``families`` are (leader, bitmap, spread, largest). A link of two members needs a difference of their leaders
+    within what the largest members may differ by and both spreads.
+    """
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)]
-            rows = [np.concatenate([k, r]) for k, r in zip(kept, rows)]
-            if not len(rows[0]):
-                continue
-            # The last list may go on in the next batch.
-            head = rows[0] >> 24
-            cut = int(np.searchsorted(head, head[-1]))
-            kept = [r[cut:] for r in rows]
-            if cut:
-                found.append(list_pairs(*(r[:cut] for r in rows), nearest))
-            if sum(map(len, found)) >= PAIRS_AT_ONCE:
-                found = [np.unique(np.concatenate(found), axis=0)]
-                if len(found[0]) >= PAIRS_AT_ONCE // 2:
-                    yield _pair_batch(found.pop())
-        if len(kept[0]):
-            found.append(list_pairs(*kept, nearest))
-        if found:
-            yield _pair_batch(np.unique(np.concatenate(found), axis=0))
-
-    ordered = entries.repartition(F.shiftright("entry", 24)).sortWithinPartitions("entry")
-    # Near sets meet in many lists, hence in many tasks: partners travel as one list a leader and task.
-    met = ordered.mapInArrow(run, "a long, others array<long>").groupBy("a").agg(F.collect_list("others").alias("lists"))
-    return met.select("a", F.explode(F.array_distinct(F.flatten("lists"))).alias("b"))
+            bitmaps = pa.array([folded(b) for b in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), bitmaps, *batch.columns[2:]], names=batch.schema.names)
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in _whole_lists(batches, 0):
+            element, low, leaders, parts, high, place, spread, largest = (
+                c.to_numpy(zero_copy_only=False) for c in batch.columns[:8]
+            )
+            bitmaps = batch.column(8).to_pylist()
+            found = []
+            for i, j in close_places(element, parts, low, high, place):
+                widest = (largest[i] + largest[j]) * (100 - PERCENT) // (100 + PERCENT) + spread[i] + spread[j]
+                may = least_differences(bitmaps, i, j) <= widest
+                found.append(distinct_pairs(leaders[i[may]], leaders[j[may]]))
+            yield _joined(found)
+
+    small = families.select("leader", "bitmap", F.col("spread").cast("long"), F.col("largest").cast("long"))
+    small = small.mapInArrow(fold, "leader long, bitmap binary, spread long, largest long")
+    rows = members.join(small, "leader").select("element", "low", "leader", "part", "high", "place", "spread", "largest", "bitmap")
+    ordered = rows.repartition("element").sortWithinPartitions("element", "low", "leader")
+    return _exploded(ordered.mapInArrow(lambda batches: _pair_batches(pairs(batches)), "a long, others array<long>"))
 
 
 def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
@@ -404,14 +509,17 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     # Neighbours in the lists first: they connect a large group of near copies with few pairs. What is connected
     # by then is one part, and only pairs between parts follow.
-    beside = index_pairs(index_entries(indexed.withColumn("part", F.col("leader"))), nearest=True)
+    beside = neighbour_pairs(index_entries(indexed.withColumn("part", F.col("leader"))))
     beside = materialise(_bounded(beside, reps).where("low <= most").select("a", "b"))
     beside = compare(beside, docs)
     known = materialise(followers.select("a", "b").unionByName(beside.where("linked").select("a", "b")))
     parts = components(known).select(F.col("id").alias("doc_id"), "component")
     parted = indexed.join(parts, "doc_id", "left").withColumn("part", F.coalesce("component", "leader"))
-    pairs = materialise(index_pairs(index_entries(parted)))
-    near = _open_pairs(pairs, sets, reps)
+    families = sets.groupBy("leader").agg(F.max("differ").alias("spread"), F.max("n").alias("largest"))
+    families = materialise(families.join(reps.select(F.col("rep").alias("leader"), "bitmap"), "leader"))
+    members = materialise(meeting_members(index_entries(parted)))
+    pairs = materialise(family_pairs(members, families))
+    near = _open_pairs(pairs, families, reps)
     judged = near.where("low <= most").join(beside.select("a", "b"), ["a", "b"], "left_anti").select("a", "b")
     judged = compare(materialise(judged), docs)
     known = known.unionByName(judged.where("linked").select("a", "b"))
@@ -426,12 +534,11 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(pairs: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFrame:
+def _open_pairs(pairs: DataFrame, families: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs of leaders that their bitmaps and their families' spread do not rule out.
 
     Columns: a, b, low and most (of the leaders), spread (of both families), widest (what members may differ by).
     """
-    families = sets.groupBy("leader").agg(F.max("differ").alias("spread"), F.max("n").alias("largest"))
     bounded = _bounded(pairs, reps)
     for c in "ab":
         side = families.select(F.col("leader").alias(c), F.col("spread").alias(f"spread_{c}"), F.col("largest").alias(f"largest_{c}"))

@@ -6,6 +6,7 @@ from collections import Counter
 from hashlib import sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import public_tokenizers as tokens
 
@@ -134,6 +135,31 @@ def test_bounds_of_the_join_hold():
             assert set(a[: jaccard_join.prefix_size(np.int64(len(a)))].tolist()) & set(b[: jaccard_join.prefix_size(np.int64(len(b)))].tolist())
 
 
+def test_folded_bitmaps_bound_differences():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)) for n in (1, 5, 90, 130, 260, 3000, 3000)]
+    sets += [np.union1d(sets[3][7:], sets[0]), np.union1d(sets[5][40:], sets[2])]
+    whole = [jaccard_join.parity_bitmap(s) for s in sets]
+    small = [jaccard_join.folded(b) for b in whole]
+    assert max(map(len, small)) <= jaccard_join.FOLDED_BYTES < max(map(len, whole))
+    i, j = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    for bitmaps in (whole, small):
+        low = jaccard_join.least_differences(bitmaps, i, j)
+        for a, b, bound in zip(i.tolist(), j.tolist(), low.tolist()):
+            assert bound == jaccard_join.least_difference(bitmaps[a], bitmaps[b])
+            assert bound <= len(np.setxor1d(sets[a], sets[b]))
+
+
+def test_lists_across_batches_stay_whole():
+    heads = np.sort(np.random.default_rng(5).integers(0, 9, 60)) << 24
+    rows = pa.RecordBatch.from_arrays([pa.array(heads + np.arange(60)), pa.array(np.arange(60))], names=["entry", "leader"])
+    for size in (1, 2, 7, 60):
+        parts = list(jaccard_join._whole_lists((rows.slice(k, size) for k in range(0, 60, size)), 24))
+        assert [x for p in parts for x in p.column(1).to_pylist()] == list(range(60))
+        ends = [(p.column(0)[0].as_py() >> 24, p.column(0)[-1].as_py() >> 24) for p in parts if p.num_rows]
+        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+
+
 @pytest.mark.parametrize("largest", [1, 16, 50_257, 2**32 - 1])
 def test_range_coder_round_trip(largest):
     rng = np.random.default_rng(3)
