@@ -49,6 +49,8 @@ PAIRS_AT_ONCE = 1 << 20
 NEIGHBOURS = 4
 # Bitmaps travel to the lists folded to this size at most; a fold bounds differences as well, only less closely.
 FOLDED_BYTES = 512
+# About so many members of a family travel in one row when families are opened.
+BLOCK_MEMBERS = 32
 _KEYS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _CHUNK_BYTES = 1 << 17
 
@@ -439,6 +441,17 @@ def meeting_members(entries: DataFrame) -> DataFrame:
     return _by_list(entries).mapInArrow(run, "element long, leader long, part long, low long, high long, place long")
 
 
+def _folded_bitmaps(rows: DataFrame) -> DataFrame:
+    """``rows`` (a key, bitmap, more columns) with the bitmaps folded."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bitmaps = pa.array([folded(b) for b in batch.column(1).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), bitmaps, *batch.columns[2:]], names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def family_pairs(members: DataFrame, families: DataFrame) -> DataFrame:
     """(a, b) of leaders of different parts whose families may hold a link by sizes, places and bitmaps.
 
@@ -446,11 +459,6 @@ def family_pairs(members: DataFrame, families: DataFrame) -> DataFrame:
     within what the largest members may differ by and both spreads.
     """
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bitmaps = pa.array([folded(b) for b in batch.column(1).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), bitmaps, *batch.columns[2:]], names=batch.schema.names)
-
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in _whole_lists(batches, 0):
             element, low, leaders, parts, high, place, spread, largest = (
@@ -465,8 +473,7 @@ def family_pairs(members: DataFrame, families: DataFrame) -> DataFrame:
             yield _joined(found)
 
     small = families.select("leader", "bitmap", F.col("spread").cast("long"), F.col("largest").cast("long"))
-    small = small.mapInArrow(fold, "leader long, bitmap binary, spread long, largest long")
-    rows = members.join(small, "leader").select("element", "low", "leader", "part", "high", "place", "spread", "largest", "bitmap")
+    rows = members.join(_folded_bitmaps(small), "leader").select("element", "low", "leader", "part", "high", "place", "spread", "largest", "bitmap")
     ordered = rows.repartition("element").sortWithinPartitions("element", "low", "leader")
     return _exploded(ordered.mapInArrow(lambda batches: _pair_batches(pairs(batches)), "a long, others array<long>"))
 
@@ -564,12 +571,43 @@ def _members_links(near: DataFrame, known: DataFrame, sets: DataFrame, reps: Dat
     )
     if apart.isEmpty():
         return None
-    sides = [sets.select(F.col("leader").alias(f"l{c}"), F.col("rep").alias(c)) for c in "ab"]
-    opened = apart.join(sides[0], "la").join(sides[1], "lb").select("a", "b").where("a <> b")
-    judged = compare(materialise(_bounded(opened.distinct(), reps).where("low <= most").select("a", "b")), docs)
+    opened = materialise(member_pairs(apart, sets, reps).distinct())
+    judged = compare(materialise(_bounded(opened, reps).where("low <= most").select("a", "b")), docs)
     return judged.where("linked").select("a", "b")
 
 
+def member_pairs(apart: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a, b) of the members of two families (la, lb) that sizes and folded bitmaps let link.
+
+    Members travel in blocks, so a large family beside many others costs a row a block and not one a pair.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                i, j = (k.ravel() for k in np.indices((len(x), len(y))))
+                j = j + len(x)
+                ids, n = (np.array([m[k] for m in x + y], np.int64) for k in ("rep", "n"))
+                low = least_differences([m["bitmap"] for m in x + y], i, j)
+                may = (low <= (100 - PERCENT) * (n[i] + n[j]) // (100 + PERCENT)) & (ids[i] != ids[j])
+                found.append(distinct_pairs(ids[i[may]], ids[j[may]]))
+            pairs = _joined(found)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    wanted = apart.select(F.col("la").alias("leader")).unionByName(apart.select(F.col("lb").alias("leader"))).distinct()
+    members = sets.select("rep", "leader").join(wanted, "leader", "left_semi")
+    sizes = members.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK_MEMBERS).alias("blocks"))
+    members = members.join(sizes, "leader").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    members = members.join(_folded_bitmaps(reps.select("rep", "bitmap", "n")), "rep")
+    blocks = materialise(
+        members.groupBy("leader", "block").agg(F.collect_list(F.struct("rep", "n", "bitmap")).alias("members"))
+    )
+    sides = [blocks.select(F.col("leader").alias(f"l{c}"), F.col("members").alias(f"members_{c}")) for c in "ab"]
+    rows = apart.join(sides[0], "la").join(sides[1], "lb").select("members_a", "members_b")
+    return rows.mapInArrow(run, "a long, b long")
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component: that with the smallest doc_id; null ids stay."""
     found = similar_components(docs.select("doc_id", "text"))
