@@ -7,7 +7,7 @@ do not pile up. Scoring adds up log-probabilities per document; texts are always
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,6 +32,7 @@ class NaiveBayes:
     classes: list[tuple[int, int, int]]
     vocabulary: int
     alpha: float = 1.0
+    uniform_prior: bool = False
 
     @property
     def n_docs(self) -> int:
@@ -40,13 +41,18 @@ class NaiveBayes:
     def with_alpha(self, alpha: float) -> NaiveBayes:
         return replace(self, alpha=alpha)
 
+    def configured(self, trial: Mapping) -> NaiveBayes:
+        """This model with a trial's ``alpha``, ``vocab_size`` (0 for all tokens) and ``uniform_prior``."""
+        model = _limited(self, trial["vocab_size"]) if trial["vocab_size"] else self
+        return replace(model, alpha=trial["alpha"], uniform_prior=bool(trial["uniform_prior"]))
+
     def class_table(self) -> DataFrame:
         """(idx, prior, default_logp): class prior, and the score of a token unseen in the class."""
         spark = self.tokens.sparkSession
         return spark.createDataFrame(self.classes, "idx int, n_docs bigint, total bigint").select(
             "idx",
             "total",
-            F.log(F.col("n_docs") / F.lit(self.n_docs)).alias("prior"),
+            (F.lit(0.0) if self.uniform_prior else F.log(F.col("n_docs") / F.lit(self.n_docs))).alias("prior"),
             F.log(self.alpha / (F.col("total") + F.lit(self.alpha * self.vocabulary))).alias(
                 "default_logp"
             ),
@@ -142,7 +148,7 @@ def predict(
     )
     scores = _scores(
         model, F.col("gains"), F.col("known"), model.alpha, model.vocabulary,
-        [c[2] for c in model.classes],
+        [c[2] for c in model.classes], model.uniform_prior,
     )
     indices = F.array(*[F.lit(c[0]) for c in model.classes])
     return per_doc.select(*columns, scores.alias("scores")).withColumn(
@@ -164,6 +170,15 @@ def _ranked_tokens(model: NaiveBayes, largest: int | None) -> DataFrame:
     return model.tokens.join(top, "token", "left")
 
 
+def _limited(model: NaiveBayes, size: int) -> NaiveBayes:
+    """The model of its ``size`` most frequent tokens; documents per class stay as they are."""
+    tokens = materialise(_ranked_tokens(model, size).filter("rank IS NOT NULL").drop("rank"))
+    entries = tokens.select(F.explode("seen").alias("e")).select("e.*")
+    totals = {row["idx"]: row["n"] for row in entries.groupBy("idx").agg(F.sum("cnt").alias("n")).collect()}
+    classes = [(idx, docs, totals.get(idx, 0)) for idx, docs, _ in model.classes]
+    return replace(model, tokens=tokens, classes=classes, vocabulary=min(size, model.vocabulary))
+
+
 def score_trials(
     docs: DataFrame, key: str, text: str, label: str, model: NaiveBayes, trials: Sequence[dict]
 ) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators.runs import best_run, lineage, redirect_family
 from reviewloom.plans.joins import lookup_join
+from reviewloom.plans.storage import materialise
 
 
 def latest_versions(registry: DataFrame) -> DataFrame:
@@ -70,11 +71,11 @@ def winner_entry(
     model_name: str,
 ) -> DataFrame:
     """The registry row for the best run over all families, with tags and dataset versions."""
-    winner = redirect_family(best_run(runs, metrics, metric), runs)
+    winner = materialise(redirect_family(best_run(runs, metrics, metric), runs))
     version = next_version(registry, model_name)
-    traced = winner.join(
-        lineage(inputs).withColumnRenamed("run_id", "source_run_id"), "source_run_id", "left"
-    )
+    # One row: only its own inputs are traced.
+    own = inputs.join(F.broadcast(winner.select(F.col("source_run_id").alias("run_id"))), "run_id", "left_semi")
+    traced = winner.join(lineage(own).withColumnRenamed("run_id", "source_run_id"), "source_run_id", "left")
     return traced.select(
         F.lit(model_name).alias("model_name"),
         F.lit(version).cast("bigint").alias("version"),

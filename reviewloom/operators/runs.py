@@ -17,13 +17,14 @@ FAMILY_STEP = "AutoML_Classification"
 ROLES = {"train_set": "train_version", "val_set": "val_version", "test_set": "test_version"}
 
 
-def flatten_runs(runs: DataFrame, max_rounds: int = 30) -> DataFrame:
-    """(run_id, root_id, depth) for every run that a root reaches.
+def flatten_runs(runs: DataFrame) -> DataFrame:
+    """(run_id, root_id, depth) for every run that a root reaches; ``unreached_runs`` are the others.
 
     Most runs are leaves, so only parents are resolved step by step: each round doubles the known
     distance, so a tree of depth d takes log2(d) rounds. Leaves then look up their parent once.
+    A round that brings no run to its root leaves cycles only, which have none.
     """
-    links = runs.select("run_id", "parent_id")
+    links = materialise(runs.select("run_id", "parent_id"))
     parents = links.select(F.col("parent_id").alias("run_id")).filter("run_id IS NOT NULL").distinct()
     inner = links.join(parents, "run_id", "left_semi")
     known = materialise(
@@ -33,7 +34,8 @@ def flatten_runs(runs: DataFrame, max_rounds: int = 30) -> DataFrame:
             F.col("parent_id").isNotNull().cast("int").alias("depth"),
         )
     )
-    for _ in range(max_rounds):
+    waiting = None
+    while True:
         ahead = known.select(
             F.col("run_id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more")
         )
@@ -44,10 +46,10 @@ def flatten_runs(runs: DataFrame, max_rounds: int = 30) -> DataFrame:
             )
         )
         known = moved.drop("moved")
-        if moved.filter("moved").isEmpty():
+        before, waiting = waiting, moved.filter("moved").count()
+        if waiting in (0, before):
             break
-    else:
-        raise ValueError("the run tree has a cycle")
+    known = moved.filter("NOT moved").drop("moved")
     roots = links.filter(F.col("parent_id").isNull()).select(
         "run_id", F.col("run_id").alias("root_id"), F.lit(0).alias("depth")
     )
@@ -61,6 +63,11 @@ def flatten_runs(runs: DataFrame, max_rounds: int = 30) -> DataFrame:
     return roots.unionByName(below)
 
 
+def unreached_runs(runs: DataFrame, flat: DataFrame) -> DataFrame:
+    """Runs that no root reaches: they lie on or below a cycle, or below a run that is missing."""
+    return runs.join(flat.select("run_id"), "run_id", "left_anti")
+
+
 def runs_with_metric(runs: DataFrame, metrics: DataFrame, name: str) -> DataFrame:
     carrying = metrics.filter(F.col("name") == name).select("run_id").distinct()
     return runs.join(carrying, "run_id", "left_semi")

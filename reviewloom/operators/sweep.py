@@ -110,3 +110,8 @@ def search(
     order = value.desc_nulls_last() if goal == "max" else value.asc_nulls_last()
     best = stored.orderBy(order, "trial_id").first()["trial_id"]
     return stored.withColumn("is_best", F.col("trial_id") == best)
+
+
+def best_model(model: bayes.NaiveBayes, scores: DataFrame) -> bayes.NaiveBayes:
+    """``model`` under the settings of the best trial that ``search`` found, ready to predict with."""
+    return model.configured(scores.filter("is_best").first().asDict())

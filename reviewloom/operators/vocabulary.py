@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from reviewloom.functions.tokens import MAX_LENGTH, SPECIAL_TOKENS, model_input, words
 from reviewloom.operators.encoding import encode_labels
-from reviewloom.plans import limits
 from reviewloom.plans.joins import frequency_join
 from reviewloom.plans.ordering import hash_ordered_index, sorted_index
 from reviewloom.plans.storage import materialise
@@ -29,10 +28,7 @@ def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
     order = [F.col("n").desc(), F.col("token")]
     first = len(SPECIAL_TOKENS)
     frequent = token_counts(df, text).orderBy(*order).limit(size)
-    if size <= limits.WINDOW_VOCABULARY:
-        numbered = frequent.withColumn("place", F.row_number().over(Window.orderBy(*order)) - 1)
-    else:
-        numbered = sorted_index(frequent, [], order, "place")
+    numbered = sorted_index(frequent, [], order, "place")
     special = df.sparkSession.createDataFrame(
         list(SPECIAL_TOKENS.items()), "token string, id bigint"
     )
@@ -43,6 +39,7 @@ def build_vocabulary(df: DataFrame, text: str, size: int) -> DataFrame:
 
 def extend_vocabulary(vocabulary: DataFrame, tokens: DataFrame, seed: int = 0) -> DataFrame:
     """Adds the tokens the vocabulary lacks; their ids go on from its largest, in hash order."""
+    vocabulary = materialise(vocabulary)
     new = tokens.select("token").distinct().join(vocabulary, "token", "left_anti")
     largest = vocabulary.agg(F.max("id")).first()[0]
     numbered = hash_ordered_index(new, "token", seed, out="place")

@@ -7,5 +7,3 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 128 * 1024 * 1024
 # A key is hot from one part in HOT_SHARE of the rows on, so there are at most HOT_SHARE hot keys.
 HOT_SHARE = 1_000
-# Up to this size a vocabulary is numbered by one window.
-WINDOW_VOCABULARY = 200_000

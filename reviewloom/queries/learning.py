@@ -234,26 +234,24 @@ def sweep_run(spark, sf_dir):
 @query(
     "test_best_candidate",
     f"""WITH {_sweep_scores_sql('val')},
-    pick AS (SELECT * FROM trials JOIN tmet USING (trial_id) WHERE vocab_size = 0 AND uniform_prior = 0
-             ORDER BY round(f1_weighted, 9) DESC, trial_id LIMIT 1),
-    seen AS (SELECT t.doc_id, c.idx, sum(ln((coalesce(cnt.cnt, 0) + alpha) / (c.total + alpha * dims.v))) AS s
-             FROM (SELECT doc_id, token FROM tok WHERE split = 'test') t JOIN voc USING (token) CROSS JOIN classes c
-             CROSS JOIN dims CROSS JOIN pick LEFT JOIN cnt ON cnt.token = t.token AND cnt.idx = c.idx GROUP BY ALL),
-    odds AS (SELECT d.doc_id, d.label, round(sum(CASE c.idx WHEN 1 THEN 1 ELSE -1 END * (ln(c.n_docs / dims.n) + coalesce(s.s, 0))), 6) AS score
-             FROM (SELECT doc_id, label FROM split WHERE split = 'test') d CROSS JOIN classes c CROSS JOIN dims
+    pick AS (SELECT * FROM trials JOIN tmet USING (trial_id) ORDER BY round(f1_weighted, 9) DESC, trial_id LIMIT 1),
+    seen AS (SELECT t.doc_id, c.idx, sum(ln((coalesce(cnt.cnt, 0) + alpha) / (sized.total + alpha * shape.v))) AS s
+             FROM (SELECT doc_id, token FROM tok WHERE split = 'test') t JOIN ranks USING (token) CROSS JOIN pick CROSS JOIN classes c
+             JOIN sized ON sized.trial_id = pick.trial_id AND sized.idx = c.idx JOIN shape ON shape.trial_id = pick.trial_id
+             LEFT JOIN cnt ON cnt.token = t.token AND cnt.idx = c.idx WHERE vocab_size = 0 OR rank <= vocab_size GROUP BY ALL),
+    odds AS (SELECT d.doc_id, d.label, round(sum(CASE c.idx WHEN 1 THEN 1 ELSE -1 END
+                    * (CASE WHEN uniform_prior = 1 THEN 0 ELSE ln(c.n_docs / dims.n) END + coalesce(s.s, 0))), 6) AS score
+             FROM (SELECT doc_id, label FROM split WHERE split = 'test') d CROSS JOIN classes c CROSS JOIN dims CROSS JOIN pick
              LEFT JOIN seen s ON s.doc_id = d.doc_id AND s.idx = c.idx GROUP BY ALL)
     SELECT 'trial-' || (SELECT trial_id FROM pick) AS run_id, 'test_auc' AS name,
            (SELECT round(sum(CASE WHEN p.score > n.score THEN 1 WHEN p.score = n.score THEN 0.5 ELSE 0 END) / count(*), 6)
             FROM odds p, odds n WHERE p.label = 1 AND n.label = 0) AS value""",
 )
 def test_best_candidate(spark, sf_dir):
-    """The best candidate of the search, tested by the area under the curve of its log-odds.
-
-    Candidates are the trials on the whole vocabulary with the class prior.
-    """
+    """The best candidate of the search, tested by the area under the curve of its log-odds."""
     split = _split(spark, sf_dir)
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
-    scores = _sweep(spark, sf_dir, split, model).filter("vocab_size = 0 AND uniform_prior = 0")
+    scores = _sweep(spark, sf_dir, split, model)
     run_id = F.concat(F.lit("trial-"), F.col("trial_id"))
     runs = scores.select(run_id.alias("run_id"), F.lit("search").alias("parent_id"), F.col("trial_id").alias("seq"))
     logged = scores.select(
@@ -261,10 +259,8 @@ def test_best_candidate(spark, sf_dir):
         F.round("f1_weighted", 9).alias("value"),
     )
     winner = best_child(runs, logged, "val_f1_weighted").first()["run_id"]
-    alpha = scores.filter(run_id == winner).first()["alpha"]
-    judged = bayes.predict(
-        _part(spark, sf_dir, split, "test"), "doc_id", "text", model.with_alpha(alpha), ["label"]
-    )
+    chosen = model.configured(scores.filter(run_id == winner).first().asDict())
+    judged = bayes.predict(_part(spark, sf_dir, split, "test"), "doc_id", "text", chosen, ["label"])
     odds = materialise(
         judged.select("label", F.round(F.col("scores")[1] - F.col("scores")[0], 6).alias("score"))
     )

@@ -19,4 +19,3 @@ def tiny_limits(monkeypatch):
     monkeypatch.setattr(limits, "SMALL_ROWS", 1)
     monkeypatch.setattr(limits, "BROADCAST_ROWS", 1)
     monkeypatch.setattr(limits, "HOT_SHARE", 4)
-    monkeypatch.setattr(limits, "WINDOW_VOCABULARY", 1)

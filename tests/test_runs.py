@@ -58,9 +58,11 @@ def test_deep_and_wide_tree(spark, large, request):
     assert got == want | {"alone": ("alone", 0)}
 
 
-def test_cycle_is_refused(spark):
-    with pytest.raises(ValueError):
-        ra.flatten_runs(_runs(spark, [("a", "b", "A", 1), ("b", "a", "B", 2)]), max_rounds=3)
+def test_cycles_have_no_root(spark):
+    rows = _runs(spark, [("a", "b", "A", 1), ("b", "a", "B", 2), ("c", "a", "C", 3), ("r", None, "R", 4), ("s", "r", "S", 5), ("t", "s", "T", 6)])
+    flat = ra.flatten_runs(rows)
+    assert sorted(map(tuple, flat.collect())) == [("r", "r", 0), ("s", "r", 1), ("t", "r", 2)]
+    assert sorted(r["run_id"] for r in ra.unreached_runs(rows, flat).collect()) == ["a", "b", "c"]
 
 
 def test_lookups(spark, family):
