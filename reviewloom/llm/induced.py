@@ -1,4 +1,4 @@
-"""Suffix sorting by recursive induction, with common-prefix values, in bounded memory.
+"""Suffix sorting by recursive induction, with common-prefix values, of texts that fit into memory.
 
 Suffixes that start a rise after a fall (the seeds) are sorted first: the pieces between seeds are sorted by
 induction from an arbitrary order, named by rank, and the shorter text of names is sorted by recursion (in memory
@@ -6,7 +6,8 @@ once it is small). From the sorted seeds all other suffixes follow: going throug
 suffix that starts one place before it to the queue of its first character. Queues are emptied in the order of
 characters, so they are a monotone priority queue; they carry positions and common-prefix lengths and go to a
 local file when they grow beyond ``memory`` entries. The common prefix of two neighbours in a queue is one more
-than the least common prefix met between those that handed them over.
+than the least common prefix met between those that handed them over. The text, the order and the common prefixes
+are arrays in memory, so callers bound the text.
 """
 
 from __future__ import annotations

@@ -5,12 +5,15 @@
    anchor (its context).
 2. Sorted by anchor, equal contexts are repeats as a whole, whatever their number; only anchors with several
    different contexts go on, with one row a context. Everything else needs no text.
-3. The contexts of these are read from the texts and form shards by anchor. A shard is suffix-sorted by external
-   induction with common-prefix values (``induced``): suffixes that share 100 bytes stand side by side, and all
-   but the earliest are repeats.
-4. The spans found are joined back to the documents and cut out.
+3. An anchor whose contexts exceed a shard is split: its windows are dealt by their place in the context, in ever
+   narrower ranges, and by the bytes that all windows of the range cover, so equal windows still meet. Step 2 is
+   repeated on the pieces. In the narrowest range those are the whole windows, and nothing is left to sort.
+4. The contexts of these are read from the texts and form shards by anchor, each of less than twice the bound. A
+   shard is suffix-sorted by induction with common-prefix values (``induced``): suffixes that share 100 bytes stand
+   side by side, and all but the earliest are repeats.
+5. The spans found are joined back to the documents and cut out.
 
-Equality up to step 2 is that of 64-bit hashes of the anchor and of the context. Texts travel compressed.
+Equality up to step 3 is that of 64-bit hashes of the anchor or the shared bytes and of the context. Texts travel compressed.
 
 A null or empty text has nothing to remove, as has one under 100 bytes. Order is by doc_id (null first), then
 start. Repeated rows of one doc_id and text are one document, which never repeats itself at the same place; each
@@ -39,6 +42,9 @@ GRAM = 24
 CHUNK_BYTES = 1 << 17
 SEGMENT_WINDOWS = 1 << 22
 SHARD_BYTES = 1 << 21
+# Anchors above that are split by ranges of so many places of the anchor in the window, one after the other.
+RANGES = (32, 8, 1)
+CONTEXTS_AT_ONCE = 1 << 13
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
 _PLACE_BITS = 24
@@ -200,36 +206,99 @@ def context_texts(chosen: DataFrame, docs: DataFrame) -> DataFrame:
     """(h, doc_id, place, bytes) of chosen contexts (h, doc_id, place), read from the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
+        for doc_id, h, place, body in _read_contexts(batches):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(h),
+                    pa.array([doc_id] * len(h), pa.int64()),
+                    pa.array(place),
+                    pa.array(body, pa.binary()),
+                ],
+                names=["h", "doc_id", "place", "bytes"],
+            )
+
+    return _with_texts(chosen, docs).mapInArrow(run, "h long, doc_id long, place long, bytes binary")
 
-        unpacker = zstandard.ZstdDecompressor()
-        for batch in batches:
-            wanted = batch.column(1)
-            at = wanted.offsets.to_numpy()
-            flat = wanted.values
-            hs, places = (flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for row, packed in enumerate(batch.column(2).to_pylist()):
-                text = b"" if packed is None else unpacker.decompress(packed)
-                here = slice(int(at[row]), int(at[row + 1]))
-                rows = [
-                    (h, p, text[p >> 14 : (p >> 14) + ((p >> 7) & 127) + WINDOW])
-                    for h, p in zip(hs[here].tolist(), places[here].tolist())
-                ]
-                h, place, body = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(h, pa.int64()),
-                        pa.array([batch.column(0)[row].as_py()] * len(h), pa.int64()),
-                        pa.array(place, pa.int64()),
-                        pa.array(body, pa.binary()),
-                    ],
-                    names=["h", "doc_id", "place", "bytes"],
-                )
 
+def _with_texts(chosen: DataFrame, docs: DataFrame) -> DataFrame:
     by_doc = chosen.groupBy("doc_id").agg(F.collect_list(F.struct("h", "place")).alias("wanted"))
     texts = compressed(docs.select(F.col("doc_id").cast("long").alias("text_id"), "text"))
-    joined = by_doc.join(texts, F.col("doc_id").eqNullSafe(F.col("text_id"))).select("doc_id", "wanted", "packed")
-    return joined.mapInArrow(run, "h long, doc_id long, place long, bytes binary")
+    joined = by_doc.join(texts, F.col("doc_id").eqNullSafe(F.col("text_id")))
+    return joined.select("doc_id", "wanted", "packed")
+
+
+def _read_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | None, np.ndarray, np.ndarray, list[bytes]]]:
+    """(doc_id, h, place, bytes) of contexts of one text, some at a time."""
+    import zstandard
+
+    unpacker = zstandard.ZstdDecompressor()
+    for batch in batches:
+        wanted = batch.column(1)
+        at = wanted.offsets.to_numpy()
+        hs, places = (wanted.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        for row, packed in enumerate(batch.column(2).to_pylist()):
+            text = b"" if packed is None else unpacker.decompress(packed)
+            for start in range(int(at[row]), int(at[row + 1]), CONTEXTS_AT_ONCE):
+                here = slice(start, min(start + CONTEXTS_AT_ONCE, int(at[row + 1])))
+                body = [text[p >> 14 : (p >> 14) + ((p >> 7) & 127) + WINDOW] for p in places[here].tolist()]
+                yield batch.column(0)[row].as_py(), hs[here], places[here], body
+
+
+def pieces(chosen: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(h, ctx, doc_id, place) of pieces of contexts, ``width`` places of the anchor in the window each.
+
+    ``h`` is the hash of the former one, the range of places and the bytes that all windows of the range cover.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_id, h, place, body in _read_contexts(batches):
+            h, ctx, place = cut_contexts(h, place, body, width)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(ctx), pa.array([doc_id] * len(h), pa.int64()), pa.array(place)],
+                names=["h", "ctx", "doc_id", "place"],
+            )
+
+    return _with_texts(chosen, docs).mapInArrow(run, "h long, ctx long, doc_id long, place long")
+
+
+def cut_contexts(h: np.ndarray, place: np.ndarray, bodies: list[bytes], width: int):
+    """(h, ctx, place) of the pieces of contexts."""
+    sizes = np.array([len(b) for b in bodies], np.int64)
+    offsets = np.cumsum(sizes) - sizes
+    sums = prefix_hashes(np.frombuffer(b"".join(bodies), np.uint8))
+    first, more, inner = place >> 14, (place >> 7) & 127, place & 127
+    found = []
+    for low in range(0, WINDOW - GRAM + 1, width):
+        high = min(low + width, WINDOW - GRAM + 1) - 1
+        # Windows from ``a`` to ``b`` of the context have their anchor ``high`` to ``low`` bytes behind their start.
+        a, b = np.maximum(inner - high, 0), np.minimum(inner - low, more)
+        # Of several texts under one doc_id a shorter one may end before.
+        here = np.flatnonzero((a <= b) & (sizes >= b + WINDOW))
+        a, b, at = a[here], b[here], offsets[here]
+        shared = span_hashes(sums, at + inner[here] - low, at + inner[here] - high + WINDOW)
+        key = mix(h[here].astype(np.uint64) + mix(shared + np.uint64(low)))
+        ctx = span_hashes(sums, at + a, at + b + WINDOW)
+        ctx = mix(ctx + ((inner[here] - a) * 1000 + b - a).astype(np.uint64))
+        found.append((key.view(np.int64), ctx.view(np.int64), ((first[here] + a) << 14) | ((b - a) << 7) | (inner[here] - a)))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def split_large(found: DataFrame, docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+    """Of ``repeats``, contexts to be sorted (h, doc_id, place), at most a shard an anchor, and spans of repeats."""
+    done = found.where(F.col("place").isNull()).select("doc_id", "start", "stop")
+    chosen = found.where(F.col("place").isNotNull()).select("h", "doc_id", "place")
+    kept = None
+    size = F.shiftright("place", 7).bitwiseAND(127) + WINDOW
+    for width in RANGES:
+        large = materialise(chosen.groupBy("h").agg(F.sum(size).alias("size")).where(F.col("size") > shard_bytes).select("h"))
+        if large.isEmpty():
+            break
+        small = chosen.join(large, "h", "left_anti")
+        kept = small if kept is None else kept.unionByName(small)
+        cut = materialise(repeats(pieces(chosen.join(large, "h", "left_semi"), docs, width)))
+        done = done.unionByName(cut.where(F.col("place").isNull()).select("doc_id", "start", "stop"))
+        chosen = cut.where(F.col("place").isNotNull()).select("h", "doc_id", "place")
+    return chosen if kept is None else kept.unionByName(chosen), done
 
 
 def shard_repeats(doc: np.ndarray, first: np.ndarray, windows: np.ndarray, bodies: list[bytes]) -> np.ndarray:
@@ -300,12 +369,10 @@ def sorted_repeats(texts: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFram
     return ordered.mapInArrow(run, "doc_id long, start long, stop long")
 
 
-def find_spans(docs: DataFrame) -> DataFrame:
+def find_spans(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, start, stop), in bytes, of spans to remove; they overlap."""
-    found = materialise(repeats(anchors(docs)))
-    chosen = found.where(F.col("place").isNotNull()).select("h", "doc_id", "place")
-    partly = sorted_repeats(context_texts(chosen, docs))
-    return found.where(F.col("place").isNull()).select("doc_id", "start", "stop").unionByName(partly)
+    chosen, done = split_large(materialise(repeats(anchors(docs))), docs, shard_bytes)
+    return done.unionByName(sorted_repeats(context_texts(chosen, docs), shard_bytes))
 
 
 def merged(starts: np.ndarray, stops: np.ndarray, size: int) -> list[tuple[int, int]]:

@@ -89,6 +89,30 @@ def test_shard_limits_do_not_matter(odd_documents, monkeypatch):
     assert len(want) == len(rows)
 
 
+@pytest.mark.parametrize("bound", [150, 500, 4000])
+def test_large_anchors_are_split(spark, bound):
+    rng = np.random.default_rng(8)
+    line = "a line that stands in every one of the texts, between other words that mostly differ but not always."
+    sides = ["".join(rng.choice(list("xyz "), 60)) for _ in range(6)]
+    rows = [(k, sides[rng.integers(6)][rng.integers(50) :] + line + sides[rng.integers(6)][: rng.integers(60)]) for k in range(150)]
+    rows += [(k, "".join(rng.choice(list("xy"), 60)) + line[:50] + "".join(rng.choice(list("xy"), 60))) for k in range(150, 300)]
+    rows += [(7, rows[7][1]), (None, rows[8][1]), (400, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = suffix_dedup.repeats(suffix_dedup.anchors(docs))
+    chosen, done = suffix_dedup.split_large(found, docs, bound)
+    held = Counter()
+    for r in chosen.collect():
+        held[r.h] += (r.place >> 7 & 127) + 100
+    assert max(held.values(), default=0) <= bound
+    spans = done.unionByName(suffix_dedup.sorted_repeats(suffix_dedup.context_texts(chosen, docs), bound))
+    by_id = {}
+    for r in spans.collect():
+        by_id.setdefault(r.doc_id, []).append((r.start, r.stop))
+    for doc_id, (n_bytes, n_removed, n_spans, _) in brute_repeats(rows).items():
+        runs = suffix_dedup.merged(*np.array(by_id.get(doc_id, []), np.int64).reshape(-1, 2).T, n_bytes)
+        assert (sum(b - a for a, b in runs), len(runs)) == (n_removed, n_spans), doc_id
+
+
 def brute_components(rows):
     word = re.compile(rb"[^\x20\x09-\x0D]+")
     sets = []
