@@ -21,7 +21,7 @@ from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
-from urllib.parse import quote, urlsplit
+from urllib.parse import quote, unquote, urlsplit
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -39,17 +39,19 @@ _RECORD = "urn:x-page:"
 
 
 def url_key(url: str | None) -> str:
-    """The URL with its host reversed: ``com,example,www)/path?query``."""
+    """The URL with its host reversed: ``com,example,www)/path?query``; the same for its form in a header."""
     if not url:
         return "-"
+    url = _header(url)
     try:
         parts = urlsplit(url)
-        host, port = parts.hostname or "", parts.port
+        host, port = unquote(parts.hostname or "", errors="surrogateescape").lower(), parts.port
     except ValueError:
         return quote(url, safe="%/:?=&;+,()[]@!$'*~#")
     if not host:
         return quote(url, safe="%/:?=&;+,()[]@!$'*~#")
-    key = ",".join(reversed(host.removeprefix("www.").split("."))) + (f":{port}" if port else "") + ")"
+    host = quote(host.removeprefix("www."), safe="!$&'()*+,;=:[]~", errors="surrogateescape")
+    key = ",".join(reversed(host.split("."))) + (f":{port}" if port else "") + ")"
     rest = (parts.path or "/") + (f"?{parts.query}" if parts.query else "")
     return key + quote(rest, safe="%/:?=&;+,()[]@!$'*~")
 

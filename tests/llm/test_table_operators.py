@@ -35,6 +35,20 @@ def test_archive(spark):
     assert empty == [] and warc.look_up(warc.capture_keys(pages), empty).collect() == []
 
 
+def test_revisits_to_odd_urls(spark):
+    odd = ["http://münchen.de/", "http://WWW.MÜNCHEN.de/ä?ö", " http://a.example.com/b", "http://a.example.com/b\tc", "http://a.example.com/b\r\nc: d", "http://a b.example.com/\u00a0", "http://%C3%BC%FF.de/%41%", "x y\n", "http://a.example.com:99999/ü", "http://[::1]:80/ü", ""]
+    rows = [(10 * k + n, url if n == 0 else "http://b.example.com/", f"{k} " * 100) for k, url in enumerate(odd) for n in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = Counter(map(tuple, warc.look_up(warc.capture_keys(pages), warc.write_archive(pages)).collect()))
+    want = Counter()
+    for page_id, _, html in rows:
+        first = page_id - page_id % 10
+        again = page_id != first
+        want[page_id, len(html), sha256(html.encode()).hexdigest(), "revisit" if again else "response", first if again else None] += 1
+    assert got == want
+    assert warc.url_key(odd[0]) == "de,m%C3%BCnchen)/" and warc.url_key(odd[1]).startswith("de,m%C3%BCnchen)/%C3%A4?")
+
+
 def test_archive_members_are_standalone_and_blocks_sparse(spark, monkeypatch):
     import gzip
 
