@@ -14,6 +14,9 @@ elements. So sets are indexed by these elements, rare ones first. Two relations
   a link are done; leaders that link join their families; only pairs of families between are opened. The bounds
   are first tried within the lists, on folded bitmaps, before any pair is written.
 
+``similar_components`` gives the components only and leaves out pairs that are connected already; ``similar_links``
+gives every link.
+
 Every comparison that decides is exact, on the sets of the two whole texts (elements by 64-bit hashes).
 
 Words are runs without ASCII white space, A-Z lower-cased. With fewer than five words the whole sequence is the
@@ -486,8 +489,8 @@ def _pair_batch(pairs: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def similar_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame, list[tuple[int, int]]]:
+    """Profiles of all rows, classes of equal sets (rep, digest, n, keys, bitmap), and the common elements."""
     found = materialise(profiles(docs))
     rows = found.where(F.col("n").isNotNull()).drop("h", "df")
     common = (
@@ -503,14 +506,19 @@ def similar_components(docs: DataFrame) -> DataFrame:
         .groupBy("digest")
         .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bitmap").alias("bitmap"))
     )
-    reps = materialise(classes)
+    return rows, materialise(classes), [(r["h"], r["df"]) for r in common]
+
+
+def similar_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row of ``docs``."""
+    rows, reps, common = _classes(docs)
     followers = compare(family_candidates(reps), docs).where("linked")
     sets = reps.select("rep", "n").join(followers.select(F.col("b").alias("rep"), "a", "differ"), "rep", "left")
     sets = materialise(
         sets.select("rep", "n", F.coalesce("a", "rep").alias("leader"), F.coalesce("differ", F.lit(0)).alias("differ"))
     )
     indexed = materialise(
-        prefixes(docs, [(r["h"], r["df"]) for r in common]).join(
+        prefixes(docs, common).join(
             sets.select(F.col("rep").alias("doc_id"), "leader"), "doc_id"
         )
     )
@@ -608,6 +616,111 @@ def member_pairs(apart: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFram
     return rows.mapInArrow(run, "a long, b long")
 
 
+def similar_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Every link: members (doc_id, class_id) of the classes of equal sets, and links between different classes.
+
+    Links are (a, b, shared, total): class ids, a < b, with the sizes of the intersection and of the union. Members
+    of one class link with each other. Rows without an element or a doc_id are in no class. Lists are cut into
+    blocks by size and place, pairs of blocks are dealt to tasks, and those that cannot hold a link are skipped.
+    """
+    rows, reps, common = _classes(docs)
+    own = rows.where("n > 0 AND doc_id IS NOT NULL").select("doc_id", "digest")
+    members = own.join(reps.select("digest", F.col("rep").alias("class_id")), "digest").select("doc_id", "class_id")
+    # Rows of other texts under the id of a representative do not speak for its class.
+    indexed = prefixes(docs, common).join(reps.select(F.col("rep").alias("doc_id"), "n"), ["doc_id", "n"])
+    indexed = indexed.select(F.col("doc_id").alias("leader"), "n", "elements", F.lit(0).cast("long").alias("part"))
+    met = materialise(block_pairs(list_blocks(index_entries(indexed))))
+    near = materialise(_bounded(met, reps).where("low <= most").select("a", "b"))
+    links_of = compare(near, docs).where("linked")
+    for c in "ab":
+        links_of = links_of.join(reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}")), c)
+    shared = ((F.col("n_a") + F.col("n_b") - F.col("differ")) / 2).cast("long")
+    return members, links_of.select("a", "b", shared.alias("shared"), (shared + F.col("differ")).alias("total"))
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_links) of every row in a class: the rows that it links with, other than itself."""
+    members, links_of = similar_links(docs)
+    members = materialise(members)
+    sizes = members.groupBy("class_id").agg(F.count(F.lit(1)).alias("size"))
+    both = links_of.select("a", "b").unionByName(links_of.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    beside = both.join(sizes.withColumnRenamed("class_id", "b"), "b").groupBy("a").agg(F.sum("size").alias("others"))
+    counts = sizes.join(beside.withColumnRenamed("a", "class_id"), "class_id", "left")
+    counts = counts.select("class_id", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return members.join(counts, "class_id").select("doc_id", "n_links")
+
+
+# Linked sets are of one band of sizes or of two neighbouring ones: the ratio of a band is above 100 / PERCENT.
+_BAND = 1.34
+# So many members of a list are in a block, about, and so many blocks of a list are compared by one task.
+LIST_BLOCK, BLOCKS_AT_ONCE = 32, 64
+
+
+def list_blocks(entries: DataFrame) -> DataFrame:
+    """(element, band, near, block, low, high, rest, members) of lists with more than one member.
+
+    Members are (rep, low, high, rest): the bounds of the size, and how many elements are left from the place on.
+    """
+    n, place = F.shiftright("entry", 8).bitwiseAND(_LARGE), F.col("entry").bitwiseAND(255)
+    rows = entries.select(
+        F.shiftright("entry", 24).alias("element"), F.col("leader").alias("rep"), n.alias("low"), place.alias("place")
+    ).distinct()
+    rows = rows.withColumn("high", F.when(F.col("low") == _LARGE, F.lit(1 << 40)).otherwise(F.col("low")))
+    rows = rows.withColumn("rest", F.col("high") - F.floor(F.col("place") * F.col("low") / 1024))
+    rows = rows.withColumn("band", F.floor(F.log("low") / float(np.log(_BAND)))).withColumn("near", F.shiftright("place", 4))
+    rows = materialise(rows.select("element", "band", "near", "rep", "low", "high", "rest"))
+    cells = rows.groupBy("element", "band", "near").agg(F.count(F.lit(1)).alias("n"))
+    cells = cells.select("element", "band", "near", F.ceil(F.col("n") / LIST_BLOCK).alias("blocks"))
+    several = rows.groupBy("element").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("element")
+    rows = rows.join(cells.join(several, "element"), ["element", "band", "near"])
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rep"), "blocks"))
+    return materialise(
+        rows.groupBy("element", "band", "near", "block").agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.max("rest").alias("rest"),
+            F.collect_list(F.struct("rep", "low", "high", "rest")).alias("members"),
+        )
+    )
+
+
+def block_pairs(blocks: DataFrame) -> DataFrame:
+    """(a, b), distinct, of members of one list that sizes and places let link; see ``list_blocks``."""
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            sides = [batch.column(k) for k in (0, 1)]
+            starts = [c.offsets.to_numpy().astype(np.int64) for c in sides]
+            fields = [[c.values.field(k).to_numpy(zero_copy_only=False) for k in range(4)] for c in sides]
+            sizes = [np.diff(s) for s in starts]
+            ends = np.cumsum(sizes[0] * sizes[1])
+            row = 0
+            while row < len(ends):
+                # Some rows at a time, of bounded pairs.
+                done = ends[row - 1] if row else 0
+                stop = max(row + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, "right")))
+                many = sizes[0][row:stop] * sizes[1][row:stop]
+                of = np.repeat(np.arange(row, stop), many)
+                k = np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                i, j = starts[0][of] + k // sizes[1][of], starts[1][of] + k % sizes[1][of]
+                (a, low_a, high_a, rest_a), (b, low_b, high_b, rest_b) = ([x[at] for x in f] for f, at in zip(fields, (i, j)))
+                need = -(-PERCENT * (low_a + low_b) // (100 + PERCENT))
+                may = (a != b) & (PERCENT * np.maximum(low_a, low_b) <= 100 * np.minimum(high_a, high_b))
+                may &= np.minimum(rest_a, rest_b) >= need
+                yield distinct_pairs(a[may], b[may])
+                row = stop
+
+    per_list = blocks.groupBy("element").agg(F.ceil(F.count(F.lit(1)) / BLOCKS_AT_ONCE).alias("deals"))
+    dealt = blocks.join(per_list, "element")
+    left, right = (dealt.select("element", "deals", *(F.col(c).alias(f"{c}_{s}") for c in blocks.columns[1:])) for s in "xy")
+    left = left.withColumn("deal", F.pmod(F.xxhash64("band_x", "near_x", "block_x"), "deals")).drop("deals")
+    left = left.withColumn("band_y", F.explode(F.array("band_x", F.col("band_x") + 1)))
+    right = right.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1))).drop("deals")
+    once = (F.col("band_x") < F.col("band_y")) | (F.struct("near_x", "block_x") <= F.struct("near_y", "block_y").cast("struct<near_x:bigint,block_x:bigint>"))
+    close = PERCENT * F.greatest("low_x", "low_y") <= 100 * F.least("high_x", "high_y")
+    reach = (100 + PERCENT) * F.least("rest_x", "rest_y") >= PERCENT * (F.col("low_x") + F.col("low_y"))
+    met = left.join(right, ["element", "band_y", "deal"]).where(once & close & reach).select("members_x", "members_y")
+    return _exploded(met.mapInArrow(lambda batches: _pair_batches(pairs(batches)), "a long, others array<long>"))
+
+
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component: that with the smallest doc_id; null ids stay."""
     found = similar_components(docs.select("doc_id", "text"))

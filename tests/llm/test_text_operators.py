@@ -147,6 +147,37 @@ def test_similarity_join(spark, odd_documents, no_documents):
     assert jaccard_join.similar_components(no_documents).collect() == []
 
 
+def test_every_link_of_the_join(spark, odd_documents, no_documents, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "LIST_BLOCK", 3)
+    monkeypatch.setattr(jaccard_join, "BLOCKS_AT_ONCE", 2)
+    rng = np.random.default_rng(9)
+    rows = [(r.doc_id, r.text) for r in odd_documents.where("doc_id <> 9").collect()]
+    base = [f"w{k}" for k in range(150)]
+    for k in range(60):  # near copies of one text, all in one part after a few neighbours
+        words = list(base)
+        for at in rng.integers(0, 150, rng.integers(0, 4)):
+            words[at] = f"v{rng.integers(4)}"
+        rows.append((100 + k, " ".join(words[: 150 - int(rng.integers(0, 45))])))
+    rows += [(200, "a b c d e f"), (201, "a b c d e f g"), (202, "a b c d e f g h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    members, found = jaccard_join.similar_links(docs)
+    class_of = {r.doc_id: r.class_id for r in members.collect()}
+    links_of = {(r.a, r.b): (r.shared, r.total) for r in found.collect()}
+    sets = {}
+    for doc_id, text in rows:
+        w = (text or "").lower().split()
+        if w and doc_id is not None:
+            sets[doc_id] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
+    least = {d: min(e for e in sets if sets[e] == sets[d]) for d in sets}
+    assert class_of == least
+    linked = lambda x, y: 100 * len(x & y) >= 75 * len(x | y)
+    want = {(a, b): (len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a in set(least.values()) for b in set(least.values()) if a < b and linked(sets[a], sets[b])}
+    assert len(want) > 500 and links_of == want
+    counts = {r.doc_id: r.n_links for r in jaccard_join.link_counts(docs).collect()}
+    assert counts == {d: sum(linked(sets[d], sets[e]) for e in sets if e != d) for d in sets}
+    assert [x.collect() for x in jaccard_join.similar_links(no_documents)] == [[], []]
+
+
 def test_bounds_of_the_join_hold():
     rng = np.random.default_rng(2)
     for _ in range(300):
