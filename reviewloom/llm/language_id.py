@@ -20,16 +20,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewloom.plans.storage import materialise
 
 SAMPLE_DOCUMENTS = 3_000
-MAX_LANGUAGES = 256
+# The most common entries of each language are kept, whatever the other languages have.
 WORD_ENTRIES, GRAM_ENTRIES = 160_000, 80_000
 GRAM_SIZES = (4, 3, 2, 1)
-CACHED_WORDS = 200_000
+CACHED_WORDS, CACHED_BYTES = 200_000, 1 << 26
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -45,6 +45,26 @@ def grams_of(word: str, size: int) -> list[str]:
     return [padded[k : k + size] for k in range(len(padded) - size + 1)]
 
 
+@dataclass
+class LogTable:
+    """Rows of log frequencies; a language without the entry has the default of the entry's kind."""
+
+    defaults: np.ndarray
+    kinds: np.ndarray
+    starts: np.ndarray
+    places: np.ndarray
+    values: np.ndarray
+
+    def _row(self, at: int) -> np.ndarray:
+        row = self.defaults[self.kinds[at]].copy()
+        own = slice(self.starts[at], self.starts[at + 1])
+        row[self.places[own]] = self.values[own]
+        return row
+
+    def __getitem__(self, at: int | list[int]) -> np.ndarray:
+        return np.stack([self._row(k) for k in at]) if isinstance(at, list) else self._row(at)
+
+
 @dataclass
 class Model:
     """Log frequencies by language; entry 0 of ``table`` is no evidence."""
@@ -52,7 +72,7 @@ class Model:
     languages: list[str]
     words: dict[str, int] = field(default_factory=dict)
     grams: dict[str, int] = field(default_factory=dict)
-    table: np.ndarray = field(default_factory=lambda: np.zeros((1, 0), np.float32))
+    table: np.ndarray | LogTable = field(default_factory=lambda: np.zeros((1, 0), np.float32))
 
     def vector(self, word: str) -> np.ndarray:
         at = self.words.get(word)
@@ -71,7 +91,8 @@ class _Judge(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
-        self.rows = np.zeros((CACHED_WORDS, len(model.languages)), np.float64)
+        self.most = max(4, min(CACHED_WORDS, CACHED_BYTES // (8 * max(1, len(model.languages)))))
+        self.rows = np.zeros((self.most, len(model.languages)), np.float64)
 
     def __missing__(self, word: str) -> int:
         at = self[word] = len(self)
@@ -85,9 +106,9 @@ class _Judge(dict):
         if not any(any(map(str.isalpha, w)) for w in words):
             return UNKNOWN, 0.0
         total = np.zeros(len(self.model.languages))
-        for k in range(0, len(words), CACHED_WORDS // 4):
-            part = words[k : k + CACHED_WORDS // 4]
-            if len(self) + len(part) > CACHED_WORDS:
+        for k in range(0, len(words), self.most // 4):
+            part = words[k : k + self.most // 4]
+            if len(self) + len(part) > self.most:
                 self.clear()
             total += self.rows[list(map(self.__getitem__, part))].sum(axis=0)
         best = int(total.argmax())
@@ -101,14 +122,10 @@ def training_row(doc_id: Column) -> Column:
 
 def sample(labelled: DataFrame, per_language: int) -> DataFrame:
     """About ``per_language`` rows of each language, by a hash of the id; all of a smaller one."""
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
-        return labelled.limit(0)
-    shares = F.create_map(
-        *(F.lit(x) for r in counts for x in (r["lang"], min(1.0, per_language / r["count"])))
-    )
+    counts = labelled.groupBy("lang").count().select("lang", (F.lit(float(per_language)) / F.col("count")).alias("_share"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    return labelled.where(place < F.coalesce(shares[F.col("lang")], F.lit(0.0)))
+    shares = counts.where("lang IS NOT NULL")
+    return labelled.join(F.broadcast(shares), "lang").where(place < F.col("_share")).select(*labelled.columns)
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -141,7 +158,7 @@ def _counts(rows: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> Model:
     """A model from rows (doc_id, text, lang); rows without text or language are left out.
 
-    Its size has a fixed bound: at most 256 languages, 160,000 words and 80,000 n-grams, the most common.
+    Every language is learned, with its 160,000 most common words and 80,000 most common n-grams.
     """
     rows = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
     counts = _counts(sample(rows, per_language))
@@ -150,34 +167,47 @@ def fit(labelled: DataFrame, per_language: int = SAMPLE_DOCUMENTS) -> Model:
         .agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("by_language"))
         .where("total > 1 OR NOT is_word")
     )
-    best = [
-        entries.where(F.col("is_word") == is_word).orderBy(F.desc("total"), "entry").limit(bound)
-        for is_word, bound in ((True, WORD_ENTRIES), (False, GRAM_ENTRIES))
-    ]
-    found = best[0].unionByName(best[1]).toArrow()
+    found = _most_common(entries).select("is_word", "entry", "by_language").toArrow()
     if not len(found):
         return Model([])
-    languages = sorted({lang for lang in found["by_language"].combine_chunks().flatten().field("lang").to_pylist()})
-    model = Model(languages)
+    by_language = found["by_language"].combine_chunks()
+    starts = np.append(0, np.cumsum([len(x) for x in by_language.to_pylist()])).astype(np.int64)
+    names, n = by_language.flatten().field("lang").to_pylist(), by_language.flatten().field("n").to_numpy()
+    languages = sorted(set(names))
     place = {lang: k for k, lang in enumerate(languages)}
-    table = np.full((len(found) + 1, len(languages)), 0.5)
-    kinds: list[int] = [-1]
-    for at, (is_word, entry, by_language) in enumerate(
-        zip(*(found[c].to_pylist() for c in ("is_word", "entry", "by_language"))), 1
-    ):
+    places = np.array([place[x] for x in names], np.int32)
+    model = Model(languages)
+    # Kind 0 is words, others are n-grams by length; the last is entry 0.
+    kinds = [1 + max(GRAM_SIZES)]
+    for at, (is_word, entry) in enumerate(zip(found["is_word"].to_pylist(), found["entry"].to_pylist()), 1):
         (model.words if is_word else model.grams)[entry] = at
         kinds.append(0 if is_word else len(entry))
-        for x in by_language:
-            table[at, place[x["lang"]]] += x["n"]
-    kinds_of = np.array(kinds)
-    for kind in {*kinds} - {-1}:
-        here = kinds_of == kind
-        table[here] = np.log(table[here] / table[here].sum(axis=0))
-    table[0] = 0.0
-    model.table = table.astype(np.float32)
+    kind_of = np.array(kinds)
+    of_value = np.repeat(kind_of[1:], np.diff(starts))
+    sums = np.repeat(0.5 * np.bincount(kind_of, minlength=kinds[0] + 1)[:, None], len(languages), axis=1)
+    np.add.at(sums, (of_value, places), n)
+    defaults = np.log(0.5 / np.maximum(sums, 0.5))
+    defaults[kinds[0]] = 0.0
+    values = np.log((n + 0.5) / sums[of_value, places])
+    model.table = LogTable(
+        defaults.astype(np.float32), kind_of, np.append(0, starts), places, values.astype(np.float32)
+    )
     return model
 
 
+def _most_common(entries: DataFrame) -> DataFrame:
+    """The ``entries`` that are among the most common of one of their languages."""
+    bound = F.when(F.col("is_word"), WORD_ENTRIES).otherwise(GRAM_ENTRIES)
+    flat = entries.select("is_word", "entry", F.inline("by_language"))
+    sizes = flat.groupBy("is_word", "lang").count()
+    if sizes.where(F.col("count") > bound).isEmpty():
+        return entries
+    # Few rows: those of the sample's words, by language.
+    ranked = Window.partitionBy("is_word", "lang").orderBy(F.desc("n"), "entry")
+    kept = flat.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= bound)
+    return entries.join(kept.select("is_word", "entry").distinct(), ["is_word", "entry"], "left_semi")
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score instead of its text; only ``text`` is looked at.
 

@@ -262,6 +262,22 @@ def test_language_identification(spark, odd_documents, no_documents):
     assert language_id.predict(no_documents, model).collect() == []
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    words = {f"l{k:03d}": ["".join(rng.choice(list("abcdefghij"), 9)) for _ in range(3)] for k in range(300)}
+    rows = [(10 * k + n, " ".join(w), lang) for k, (lang, w) in enumerate(words.items()) for n in range(2)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = spark.createDataFrame([(lang, w[0]) for lang, w in words.items()], "lang string, text string")
+    judged = language_id.predict(texts, model).collect()
+    assert len(judged) == 300 and all(r.lang == r.lang_pred for r in judged)
+    monkeypatch.setattr(language_id, "WORD_ENTRIES", 5)
+    monkeypatch.setattr(language_id, "GRAM_ENTRIES", 5)
+    rows = [(k, " ".join(f"{a}{b}" for a in "abcde" for b in "fghij") + " seltsam", "big") for k in range(20)]
+    rows += [(100, "klein wenig klein wenig", "small"), (101, None, "small"), (102, "x", None)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert {"klein", "wenig"} <= set(model.words) and len(model.words) == 7 and model.languages == ["big", "small"]
+
+
 def test_word_first_then_shorter_grams():
     table = np.arange(12, dtype=np.float32).reshape(6, 2)
     model = language_id.Model(["a", "b"], {"known": 1}, {" unk": 2, "ow": 3, "q": 4}, table)
