@@ -6,7 +6,8 @@ elements. So sets are indexed by these elements, rare ones first. Two relations
 * Equal sets are one class; near-equal sets form families. A set whose least hash of some kind equals a leader's is
   compared with the leader; if they link, it follows the leader in the index. A list of the index holds a family
   once, whatever its size, with the range of its sizes. Lists are sorted by size, and what lies beyond the sizes
-  that can reach the threshold, or too far behind in its sets by position, is skipped as a block.
+  that can reach the threshold is skipped as a block; the position is tested pair by pair (``similar_links`` skips
+  blocks by both). A list is one task's.
 * Neighbours in a list are compared first. What their links connect is one part; only pairs of families between
   parts follow, so a large group of near copies costs few pairs.
 * The answer of a family is derived from its leader's: the symmetric difference of two members lies within that of
