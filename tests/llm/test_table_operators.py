@@ -138,3 +138,32 @@ def test_pipeline(spark, odd_documents, tmp_path):
     assert counts == [12, 11, 9, 9]
     pieces = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in pieces.select("doc_id").distinct().collect()} == {r.doc_id for r in rows.collect()}
+
+
+def test_pipeline_against_brute_force(spark, odd_documents, tmp_path):
+    sys.path.insert(0, ".")
+    import corpus_pipeline
+    from tests.llm.test_text_operators import brute_components, library_ids
+
+    odd_documents.write.parquet(str(tmp_path / "documents.parquet"))
+    rows = [(r.doc_id, r.text) for r in odd_documents.collect() if any(map(str.isalpha, r.text or ""))]
+    last = {text: max((d for d, t in rows if t == text and d is not None), default=None) for _, text in rows}
+    rows = [(d, t) for d, t in rows if d == last[t]]
+    gone = {d for d, _, least in brute_components(rows) if d is not None and d != least}
+    rows = [(d, t) for d, t in rows if d not in gone]
+    seen, cut = set(), {}
+    for doc_id, text in sorted(dict(rows).items(), key=lambda r: (r[0] is not None, r[0] or 0)):
+        data, keep = text.encode(), np.ones(len(text.encode()), bool)
+        for k in range(len(data) - 99):
+            if data[k : k + 100] in seen:
+                keep[k : k + 100] = False
+            seen.add(data[k : k + 100])
+        cut[doc_id] = bytes(np.frombuffer(data, np.uint8)[keep]).decode("utf-8", "ignore")
+    assert any(cut[d] != t for d, t in rows)
+    ids = {d: x + [0] for d, x in zip(cut, library_ids(list(cut.values())))}
+    got, used = Counter(), Counter()
+    for p in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        got.update((p.doc_id, p.start + k, int(x)) for k, x in enumerate(np.frombuffer(bytes(p.ids), "<u4")))
+        used.update((p.sequence_id, p.offset + k) for k in range(p.length))
+    assert got == Counter((d, k, x) for d, _ in rows for k, x in enumerate(ids[d]))
+    assert max(used.values()) == 1
