@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, chat, chunk_dedup, jaccard_join, language_id, packing, suffix_dedup, token_file, topk, warc
+from reviewloom.llm import bpe, chat, chunk_dedup, jaccard_join, language_id, packing, suffix_dedup, token_file, topk, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -153,3 +153,9 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.digests(docs, "doc_id", "text", tokenizer_path(RANKS_FILE))
+
+
+@_query()
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
