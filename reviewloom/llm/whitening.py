@@ -1,9 +1,9 @@
 """Embedding whitening by Golub-Kahan-Lanczos bidiagonalisation on Spark.
 
 Entries become integers x = floor(scale * c) + offset, and rows are centred in integers before anything is
-rounded. The centred rows X then stay where they are, packed in blocks, while X v and X'u alternate: a step finds
-u from X v and v from X'u, each orthogonalised twice against all earlier ones, so that U'XV is an upper
-bidiagonal matrix B on the driver. B has at most one row a dimension, whatever the number of rows; its singular
+rounded. The centred rows X then stay where they are, packed in blocks, while X v and X'u alternate, one pass a
+step: it finds u from X v and v from X'u, each orthogonalised twice against all earlier ones, so that U'XV is an
+upper bidiagonal matrix B on the driver. B has at most one row a dimension, whatever the number of rows; its singular
 value decomposition gives components and standard deviations. Left vectors have one entry a row and are never
 kept: u_i = X w_i with W = V / B, so every task finds its part of all of them again from its rows, and a lost
 executor loses nothing. What a task returns are sums over its rows, added up by a grouped aggregate.
@@ -183,38 +183,35 @@ def bidiagonalise(rows: Rows, wanted: int, seed: int = 0) -> tuple[np.ndarray, n
         return np.zeros(0), np.zeros((0, dims))
     scale = np.sqrt(size / np.sqrt(dims))
     right: list[np.ndarray] = []
+    backs: list[np.ndarray] = []
     b = np.zeros((dims, dims))
     while True:
         k = len(right)
         # Column i of w gives u_i = X w_i.
         w = np.linalg.solve(b[:k, :k].T, np.array(right)).T if k else np.zeros((dims, 0))
 
-        # Sums of the first look: U'y and y'y for y = X v; orthogonalise, and look again.
-        def seen(x, w=w, v=v):
-            u, y = x @ w, x @ v
-            return np.append(u.T @ y, y @ y)
+        # U'(X v) is known from the X'u of earlier steps; what is left of it in y shows in the same pass.
+        h = np.array(backs) @ v if k else np.zeros(0)
 
-        h = rows.total(seen)[:-1]
-
-        def again(x, w=w, v=v, h=h):
+        def both(x, w=w, v=v, h=h):
             u = x @ w
             y = x @ v - u @ h
-            return np.append(u.T @ y, y @ y)
+            return np.concatenate([u.T @ y, [y @ y], x.T @ y])
 
-        *more, square = rows.total(again)
-        h, alpha = h + np.array(more), np.sqrt(max(square - float(np.dot(more, more)), 0.0))
+        found = rows.total(both)
+        more, square, moved = found[:k], found[k], found[k + 1 :]
+        h, alpha = h + more, np.sqrt(max(square - float(more @ more), 0.0))
         if alpha <= LEAST_DEVIATION * scale:
             break
+        if k:
+            moved = moved - more @ np.array(backs)
+        backs.append(moved / alpha)
         b[:k, k], b[k, k] = h, alpha
         right.append(v)
         scale = max(scale, float(np.linalg.norm(b[: k + 1, : k + 1], 2)))
         if len(right) == dims:
             break
-
-        def back(x, w=w, v=v, h=h, alpha=alpha):
-            return x.T @ ((x @ v - (x @ w) @ h) / alpha)
-
-        v, beta = _unit_against(rows.total(back), right)
+        v, beta = _unit_against(backs[-1], right)
         left, sizes, _ = np.linalg.svd(b[: k + 1, : k + 1])
         if len(sizes) >= wanted and (np.abs(beta * left[-1, :wanted]) <= CONVERGED * sizes[0]).all():
             break
