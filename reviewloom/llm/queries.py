@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewloom.llm import bpe, chat, chunk_dedup, jaccard_join, language_id, packing, suffix_dedup, token_file, topk, warc, whitening
+from reviewloom.llm import (
+    bpe, chat, chunk_dedup, hard_negatives, jaccard_join, language_id, packing, suffix_dedup, token_file, topk, warc, whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -159,3 +161,33 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = whitening.whiten(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
     return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@_query("""
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+           CAST(list_sum(list_transform(list_zip(a.c, c.c), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id <> c.vec_id
+    WHERE a.vec_id % 100 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+    SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS place
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+     AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE place <= 10
+""")
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)

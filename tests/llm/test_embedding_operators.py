@@ -6,7 +6,7 @@ from fractions import Fraction
 import numpy as np
 import pytest
 
-from reviewloom.llm import whitening
+from reviewloom.llm import cover_tree, hard_negatives, whitening
 
 
 def brute_white(rows, components):
@@ -81,3 +81,90 @@ def test_whitening_of_large_entries(spark):
     assert Counter(int(r.deviation) for r in got) == Counter(deviations)
     with pytest.raises(Exception, match="row 9"):
         whitening.whiten(vectors_of(spark, [*rows, (9, [1e30, 0.0])])).collect()
+
+
+def brute_negatives(rows, positives=5, negatives=10):
+    usable = []
+    for i, v, label in dict.fromkeys((i, None if v is None else tuple(v), label) for i, v, label in rows):
+        if i is not None and label is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            usable.append((i, [int(np.floor(256 * x)) for x in v], label))
+    out = Counter()
+    for a, va, la in usable:
+        if a % 20:
+            continue
+        scored = [(-sum(x * y for x, y in zip(va, v)), i, label) for i, v, label in usable if i != a]
+        for p, i, _ in sorted(x for x in scored if x[2] == la)[:positives]:
+            below = sorted((s, n) for s, n, label in scored if label != la and 30 * -p <= 100 * -s <= 90 * -p)
+            for r, (s, n) in enumerate(below[:negatives], 1):
+                out[a, i, r, n, -p, -s] += 1
+    return out
+
+
+def labelled_vectors(spark, rows):
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    return frame.selectExpr("*", "1 AS id", "2 AS score", "'x' AS h", "3 AS cell")
+
+
+@pytest.mark.parametrize("tree_rows", [12, 2048])
+def test_hard_negatives(spark, monkeypatch, tree_rows):
+    monkeypatch.setattr(hard_negatives, "TREE_ROWS", tree_rows)
+    monkeypatch.setattr(hard_negatives, "ANCHORS_AT_ONCE", 3)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(6, 8))
+    rows = [(k, [float(x) for x in centres[k % 6] * rng.uniform(0.2, 2) + rng.normal(size=8) / 3], f"l{k % 4}") for k in range(240)]
+    rows[60] = (60, rows[61][1], "l1")
+    rows += [rows[40], rows[41], (40, rows[3][1], "l2"), (45, rows[3][1], "l0"), (80, [0.0] * 8, "l0"), (81, [], "l0"), (300, [1.0, 2.0], "l1"), (320, None, "l1")]
+    rows += [(340, [None] * 8, "l1"), (360, [float("nan")] * 8, "l1"), (380, rows[0][1], None), (None, rows[0][1], "l1"), (400, rows[2][1], "alone"), (420, [-0.0] * 8, "l0")]
+    vectors = labelled_vectors(spark, rows)
+    got = hard_negatives.mine(vectors, vectors["vec_id"] % 20 == 0).collect()
+    assert Counter(map(tuple, got)) == brute_negatives(rows)
+    assert hard_negatives.mine(vectors.limit(0), vectors["vec_id"] % 20 == 0).collect() == []
+    assert hard_negatives.mine(vectors, vectors["vec_id"] < 0).collect() == []
+
+
+def test_hard_negatives_of_large_components(spark):
+    rows = [(20 * k, [2.0**20 * k, 2.0**21 + k], "ab"[k % 2]) for k in range(12)]
+    vectors = labelled_vectors(spark, rows)
+    got = hard_negatives.mine(vectors, vectors["vec_id"] % 20 == 0).collect()
+    assert Counter(map(tuple, got)) == brute_negatives(rows) and got
+    huge = labelled_vectors(spark, [(20, [1e30], "a"), (21, [1e30], "a"), (22, [1e29], "b")])
+    with pytest.raises(Exception, match="anchor 20"):
+        hard_negatives.mine(huge, huge["vec_id"] % 20 == 0).collect()
+    with pytest.raises(Exception, match="row 21"):
+        wide = labelled_vectors(spark, [(20, [1.0], "a"), (21, [1.0, 1e200], "a")])
+        hard_negatives.mine(wide, wide["vec_id"] % 20 == 0).collect()
+
+
+def test_cover_tree_invariants_and_skips():
+    rng = np.random.default_rng(9)
+    points = np.floor(np.repeat(rng.normal(size=(40, 6)) * 200, 50, axis=0) + rng.normal(size=(2000, 6)) * 4)
+    tree = cover_tree.build(np.arange(2000), [str(k % 3) for k in range(2000)], points)
+    assert sorted(tree.ids.tolist()) == list(range(2000)) and len(tree.centre) > 20
+    moved = tree.points.astype(float)
+    assert (moved == points[tree.ids]).all()
+    full = np.column_stack([moved, np.sqrt(np.maximum(tree.mass**2 - (moved**2).sum(axis=1), 0))]) / tree.mass
+
+    def below(node):
+        rows = list(range(*tree.bucket[node]))
+        return rows + [r for child in range(*tree.children[node]) for r in below(child)]
+
+    for node in range(len(tree.centre)):
+        angles = np.arccos(np.clip(full[below(node)] @ full[tree.centre[node]], -1, 1))
+        assert angles.max() <= tree.angle[node] + 1e-7
+        # Centres of one parent's children are farther apart than the radius that covers them.
+        centres = full[tree.centre[slice(*tree.children[node])]]
+        if len(centres) > 1:
+            apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))[~np.eye(len(centres), dtype=bool)].min()
+            inner = max(2 * np.sin(min(a, np.pi) / 2) for a in tree.angle[slice(*tree.children[node])])
+            assert apart >= inner - 1e-5
+    verified = []
+    seen = cover_tree.Window.add
+    try:
+        cover_tree.Window.add = lambda self, ids, scores: (verified.append(len(ids)), seen(self, ids, scores))[1]
+        window = cover_tree.Window(-(10**9), 10**9, 5)
+        tree.search(-1, points[7], "1", True, [window])
+    finally:
+        cover_tree.Window.add = seen
+    scores = sorted(((-int(points[7] @ p), k) for k, p in enumerate(points) if k % 3 == 1))[:5]
+    assert [(-int(s), int(i)) for i, s in zip(window.ids, window.scores)] == scores
+    assert sum(verified) < 700  # most nodes are skipped
