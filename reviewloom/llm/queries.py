@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewloom.llm import (
-    bpe, chat, chunk_dedup, hard_negatives, jaccard_join, language_id, packing, suffix_dedup, token_file, topk, warc, whitening,
+    bpe, chat, chunk_dedup, hard_negatives, jaccard_join, language_id, packing, quality, suffix_dedup, token_file, topk, warc, whitening,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +163,18 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("deviation", F.col("deviation").cast("long"))
 
 
+@_query()
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    labels = _table(spark, sf_dir, "labels", "doc_id", F.col("quality").alias("label"))
+    # The column's magnitude is what may generalise.
+    docs = docs.withColumn("n_chars", F.floor(F.log2(F.col("n_chars") + 1)))
+    learns = quality.training_row(F.col("doc_id"))
+    model = quality.fit(docs, labels.where(learns), ["n_chars"])
+    held_out = F.coalesce(~learns, F.lit(False)).alias("held_out")
+    return quality.score(docs.select("doc_id", "text", "n_chars", held_out), model, ["doc_id", "held_out"], ["n_chars"])
+
+
 @_query("""
 WITH v AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
