@@ -374,3 +374,81 @@ def test_byte_pairs(odd_documents, no_documents):
     pairs = bpe.byte_pairs(RANKS)
     for piece in (b"a" * 3000, b"ab" * 900, bytes(rng.integers(0, 256, 2000).astype(np.uint8))):
         assert pairs.encode(piece) == library._core_bpe.encode_single_piece(piece)
+
+
+def test_language_against_brute_force(spark, odd_documents):
+    """Predictions and scores from counts made in plain Python."""
+    import math
+
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    learnt = [r for r in table.where(language_id.training_row(table["doc_id"])).collect() if r.lang and r.text is not None]
+    languages = sorted({r.lang for r in learnt})
+    words = {lang: Counter() for lang in languages}
+    for r in learnt:
+        words[r.lang].update(re.findall(r"[^\W\d_]+", r.text.lower()))
+    everywhere = sum(words.values(), Counter())
+    grams = {size: {lang: Counter() for lang in languages} for size in (4, 3, 2, 1)}
+
+    def cut(word, size):
+        padded = f" {word} " if size > 1 else word
+        return [padded[k : k + size] for k in range(len(padded) - size + 1)]
+
+    for size, tables in grams.items():
+        for lang in languages:
+            for word, n in words[lang].items():
+                tables[lang].update({g: n * m for g, m in Counter(cut(word, size)).items()})
+    known = {w for w, n in everywhere.items() if n > 1}
+
+    def logs(tables, entries, entry):
+        out = []
+        for lang in languages:
+            total = sum(tables[lang][e] for e in entries) + 0.5 * len(entries)
+            out.append(math.log((tables[lang][entry] + 0.5) / total))
+        return out
+
+    entries_of = {size: set().union(*tables.values()) for size, tables in grams.items()}
+    cached = {}
+
+    def vector(word):
+        if word in known:
+            return logs(words, known, word)
+        for size in (4, 3, 2, 1):
+            found = [logs(grams[size], entries_of[size], g) for g in cut(word, size) if g in entries_of[size]]
+            if found:
+                return [sum(c) / len(found) for c in zip(*found)]
+        return [0.0] * len(languages)
+
+    texts = ["the anunseenword here", "straße étrangement ñandú", "x", "zzzzqqq 中文", "12", None, "Der das und thatthe"]
+    texts += [r.text[:400] for r in learnt[:6]] + [r.text[:400] for r in odd_documents.collect() if r.text]
+    judged = language_id.predict(
+        spark.createDataFrame(list(enumerate(texts)), "n int, text string"), language_id.fit(table.where(language_id.training_row(table["doc_id"])))
+    )
+    got = {r.n: r for r in judged.collect()}
+    for n, text in enumerate(texts):
+        own = re.findall(r"[^\W\d_]+", (text or "").lower())
+        if not own:
+            assert (got[n].lang_pred, got[n].score) == ("und", 0.0)
+            continue
+        for word in own:
+            if word not in cached:
+                cached[word] = vector(word)
+        sums = [sum(cached[w][k] for w in own) for k in range(len(languages))]
+        best = max(range(len(languages)), key=lambda k: sums[k])
+        assert got[n].lang_pred == languages[best]
+        assert abs(got[n].score - 1 / sum(math.exp(s - sums[best]) for s in sums)) < 1e-4
+
+
+def test_lookup_agrees_with_the_model_word_by_word(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    pool = ["".join(rng.choice(list("abcéß中"), rng.integers(1, 7))) for _ in range(300)]
+    rows = [(k, " ".join(rng.choice(pool[:200], 30)), f"l{k % 5}") for k in range(40)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    lookup = language_id.Lookup(model)
+    asked = [*pool, "q", "qa", "é", "𝒳", "𝒳a"]
+    want = np.array([model.vector(w) for w in asked])
+    assert np.allclose(lookup.vectors(asked), want, atol=1e-5)
+    texts = [" ".join(rng.choice(pool, 50)) for _ in range(9)] + [None, "", "7", pool[0]]
+    whole = language_id._Judge(lookup).judge(texts)
+    monkeypatch.setattr(language_id, "CACHED_WORDS", 60)
+    again = language_id._Judge(lookup).judge(texts)
+    assert whole[0] == again[0] and np.allclose(whole[1], again[1])
