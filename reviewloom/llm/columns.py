@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -26,3 +29,17 @@ def lists(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Arra
     offsets = np.zeros(len(lengths) + 1, np.int32)
     np.cumsum(lengths, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch, so that few of its texts are Python strings at a time."""
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def give_back() -> None:
+    """Returns what earlier tasks of this worker have freed to the system, before a task takes memory of its own."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

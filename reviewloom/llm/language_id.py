@@ -24,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import utf8
+from reviewloom.llm.columns import give_back, slices, utf8
 from reviewloom.llm.hashes import prefix_hashes, span_hashes
+from reviewloom.plans.joins import lookup_join
 from reviewloom.plans.storage import materialise
 
 SAMPLE_DOCUMENTS = 3_000
@@ -35,6 +36,7 @@ WORD_ENTRIES, GRAM_ENTRIES = 160_000, 80_000
 ALL_ENTRIES = 2_000_000
 GRAM_SIZES = (4, 3, 2, 1)
 CACHED_WORDS, CACHED_BYTES = 200_000, 1 << 26
+TEXTS_AT_ONCE = 500
 UNKNOWN = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -236,12 +238,13 @@ def sample(labelled: DataFrame, per_language: int) -> DataFrame:
     counts = rows.groupBy("lang").count().select("lang", (F.lit(float(per_language)) / F.col("count")).alias("_share"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     shares = counts.where("lang IS NOT NULL")
-    return rows.join(shares, "lang").where(place < F.col("_share")).select("text", "lang")
+    return lookup_join(rows, shares, "lang").where(place < F.col("_share")).select("text", "lang")
 
 
 def _counts(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        give_back()
+        for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             by_language: dict[str, Counter] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 by_language.setdefault(lang, Counter()).update(words_of(text))
@@ -330,8 +333,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         judge = _Judge(shared.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             names, scores = judge.judge(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
@@ -348,8 +352,9 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         judge = _Judge(shared.value)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             kept = [name != UNKNOWN for name in judge.judge(batch.column(at).to_pylist())[0]]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
