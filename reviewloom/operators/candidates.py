@@ -1,16 +1,22 @@
-"""Model families on hashed text features, trained with Spark ML."""
+"""Model families on hashed text features, trained with Spark ML, for two or more classes."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewloom.functions.labels import argmax
 from reviewloom.functions.tokens import words
-from reviewloom.operators import bayes
-from reviewloom.operators.classification import MetricRegistry, auc_hard, confusion
+from reviewloom.operators import bayes, encoding
+from reviewloom.operators.classification import MetricRegistry, auc_one_vs_rest, confusion, weighted_area
+from reviewloom.plans.joins import lookup_join
 from reviewloom.plans.storage import materialise
 
 HASH_FEATURES = 1 << 16
@@ -22,12 +28,10 @@ def with_words(df: DataFrame, text: str, label: str) -> DataFrame:
 
 def with_balance(train: DataFrame, label: str = "label") -> DataFrame:
     """Adds a weight that gives every class the same total."""
-    sizes = train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
-    total = sum(row["n"] for row in sizes)
-    weight = F.lit(None).cast("double")
-    for row in sizes:
-        weight = F.when(F.col(label) == row[label], total / (len(sizes) * row["n"])).otherwise(weight)
-    return train.withColumn("weight", weight)
+    sizes = materialise(train.groupBy(label).agg(F.count(F.lit(1)).alias("__n")))
+    total, classes = sizes.agg(F.sum("__n"), F.count(F.lit(1))).first()
+    weights = sizes.select(label, (F.lit(total) / (classes * F.col("__n"))).alias("weight"))
+    return lookup_join(train, weights, label)
 
 
 def fit_features(train: DataFrame) -> PipelineModel:
@@ -36,10 +40,43 @@ def fit_features(train: DataFrame) -> PipelineModel:
     return Pipeline(stages=[hashed, IDF(inputCol="tf", outputCol="features")]).fit(train)
 
 
-def fit_family(train: DataFrame, family: str, max_iter: int = 20):
-    """``family`` is lr, lr_balanced or svc; ``train`` has features, label and, if balanced, weight."""
+@dataclass(frozen=True)
+class OneVsRest:
+    """A binary model per class index; the score of a class is its own model's margin.
+
+    With two classes a single model decides, and its margin counts for one and against the other.
+    """
+
+    models: list[LinearSVCModel]
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the array ``scores``; all models are applied in one projection."""
+        own = rows.columns
+        for place, model in enumerate(self.models):
+            rows = model.copy().setRawPredictionCol(f"__raw_{place}").setPredictionCol("").transform(rows)
+        margins = [vector_to_array(f"__raw_{place}")[1] for place in range(len(self.models))]
+        if len(margins) == 1:
+            margins = [-margins[0], margins[0]]
+        return rows.select(*own, F.array(*margins).alias("scores"))
+
+
+def one_vs_rest(train: DataFrame, classes: int, fit: Callable[[DataFrame], LinearSVCModel]) -> OneVsRest:
+    """Reduces ``classes`` label indices to a binary problem each, over the one stored feature table."""
+    told_apart = [1] if classes == 2 else range(classes)
+    return OneVsRest(
+        [fit(train.withColumn("label", (F.col("label") == place).cast("double"))) for place in told_apart]
+    )
+
+
+def fit_family(train: DataFrame, family: str, max_iter: int = 20, classes: int = 2):
+    """``family`` is lr, lr_balanced or svc; ``train`` has features, label and, if balanced, weight.
+
+    Labels are the indices from 0 to ``classes`` - 1, each with a row at least.
+    """
+    if classes < 2:
+        raise ValueError("a classifier needs two classes")
     if family == "svc":
-        return LinearSVC(maxIter=max_iter, regParam=0.01).fit(train)
+        return one_vs_rest(train, classes, LinearSVC(maxIter=max_iter, regParam=0.01).fit)
     classifier = LogisticRegression(maxIter=max_iter, regParam=0.01)
     if family == "lr_balanced":
         classifier = classifier.setWeightCol("weight")
@@ -56,25 +93,41 @@ def featured(train: DataFrame, judged: DataFrame, key: str, text: str, label: st
 
 
 def predictions(model, rows: DataFrame, key: str) -> DataFrame:
-    return model.transform(rows).select(
-        key, F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("pred")
-    )
+    """(key, label, pred, scores): a score per class index, and the first best index."""
+    if isinstance(model, OneVsRest):
+        scored = model.transform(rows)
+    else:
+        scored = model.transform(rows).withColumn("scores", vector_to_array("rawPrediction"))
+    label = F.col("label").cast("int").alias("label")
+    return scored.select(key, label, argmax(F.col("scores")).cast("int").alias("pred"), "scores")
 
 
 def family_scores(train: DataFrame, judged: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """(family, accuracy, f1_weighted, auc_weighted) of every model family on ``judged``."""
-    model = bayes.train(train, text, label)
-    together = bayes.predict(judged, key, text, model, [label]).select(
-        F.lit("naive_bayes").alias("family"), F.col(label).cast("int").alias("label"), "pred"
+    """(family, accuracy, f1_weighted, auc_weighted) of every model family on ``judged``.
+
+    Labels may be of any type and number. The area is that of each class's score against the rest, weighted by
+    the classes' rows. A judged label that training did not have is never predicted: its rows count as misses.
+    """
+    label_map = materialise(encoding.fit_label_map(train, label))
+    classes = label_map.count()
+    if classes < 2:
+        raise ValueError("a classifier needs two classes")
+    known = encoding.encode_labels(train, label_map, label, "__idx", "skip").drop(label)
+    shown = encoding.encode_labels(judged.filter(F.col(label).isNotNull()), label_map, label, "__idx", "keep")
+    shown = shown.drop(label).withColumn("__idx", F.coalesce("__idx", F.lit(-1)))
+    model = bayes.train(known, text, "__idx")
+    together = bayes.predict(shown, key, text, model, ["__idx"]).select(
+        F.lit("naive_bayes").alias("family"), F.col("__idx").cast("int").alias("label"), "pred", "scores"
     )
-    rows, shown = featured(train, judged, key, text, label)
-    shown = materialise(shown)
+    rows, others = featured(known, shown, key, text, "__idx")
+    rows, others = materialise(rows), materialise(others)
     for family in ("lr", "lr_balanced", "svc"):
-        predicted = predictions(fit_family(rows, family), shown, key)
-        together = together.unionByName(predicted.select(F.lit(family).alias("family"), "label", "pred"))
+        predicted = predictions(fit_family(rows, family, classes=classes), others, key)
+        together = together.unionByName(predicted.select(F.lit(family).alias("family"), "label", "pred", "scores"))
+    together = materialise(together)
     counts = materialise(confusion(together, "label", "pred", by=["family"]))
     metrics = MetricRegistry().compute(counts, ["accuracy", "f1_weighted"], by=["family"])
-    area = auc_hard(counts, by=["family"]).select("family", F.col("auc").alias("auc_weighted"))
+    area = weighted_area(auc_one_vs_rest(together, "label", "scores", by=["family"]), by=["family"])
     return metrics.join(area, "family")
 
 

@@ -181,6 +181,35 @@ def auc_rank(df: DataFrame, label: str, score: str) -> DataFrame:
     return _area(running.withColumn("n_classes", F.lit(n_classes)), [])
 
 
+def auc_one_vs_rest(df: DataFrame, label: str, scores: str, by: Sequence[str] = ()) -> DataFrame:
+    """(``by``, cls, support, auc): exact, tie-aware AUC of each class's score for telling it from the rest.
+
+    ``scores`` is an array by class index and ``label`` the true index. Counts per distinct (class, score) go through
+    one range exchange, whatever the number of classes; a class without rows, or with all of them, has no area.
+    Rows without a truth are left out.
+    """
+    told = df.filter(F.col(label).isNotNull()).select(
+        *by, F.col(label).alias("__label"), F.posexplode(scores).alias("cls", "score")
+    )
+    own = F.col("__label") == F.col("cls")
+    per_score = told.groupBy(*by, "cls", "score").agg(
+        F.count(F.when(own, 1)).alias("pos"), F.count(F.when(~own, 1)).alias("neg")
+    )
+    running = sum_before(per_score, [*by, "cls"], [F.col("score")], "neg", "neg_before")
+    area = F.try_divide(
+        F.sum(F.col("pos") * (F.col("neg_before").cast("double") + F.col("neg") / 2)),
+        F.sum("pos").cast("double") * F.sum("neg"),
+    )
+    return running.groupBy(*by, "cls").agg(F.sum("pos").alias("support"), area.alias("auc"))
+
+
+def weighted_area(areas: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Means of the classes' areas: weighted by support, and plain. Classes without an area are left out."""
+    return areas.filter(F.col("auc").isNotNull()).groupBy(*by).agg(
+        (F.sum(F.col("auc") * F.col("support")) / F.sum("support")).alias("auc_weighted"), F.avg("auc").alias("auc_macro")
+    )
+
+
 def log_loss(df: DataFrame, logits: str, label: str) -> DataFrame:
     return df.agg(F.avg(cross_entropy(F.col(logits), F.col(label))).alias("loss"))
 

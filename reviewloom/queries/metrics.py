@@ -151,3 +151,25 @@ def pred_ref_align(spark, sf_dir):
     predictions = view(spark, sf_dir, "v_pred").select("doc_id", "pred")
     references = view(spark, sf_dir, "v_texts").dropna(subset=["text"]).select("doc_id", "label")
     return cl.align(predictions, references, "doc_id").select("doc_id", "label", "pred")
+
+
+@query(
+    "auc_one_vs_rest",
+    f"""WITH {LOGITS_SQL},
+    flat AS (SELECT label, unnest(range(10))::INTEGER AS cls, unnest(logits) AS score FROM v_logits),
+    ranked AS (SELECT cls, label = cls AS own,
+                      rank() OVER (PARTITION BY cls ORDER BY score)
+                      + (count(*) OVER (PARTITION BY cls, score) - 1) / 2.0 AS place
+               FROM flat),
+    sums AS (SELECT cls, count(*) FILTER (own) AS support, count(*) FILTER (NOT own) AS others,
+                    sum(place) FILTER (own) AS places
+             FROM ranked GROUP BY cls)
+    SELECT cls, support,
+           CASE WHEN support > 0 AND others > 0
+                THEN round((places - support * (support + 1) / 2.0) / (support::DOUBLE * others), 6) END AS auc
+    FROM sums""",
+)
+def auc_one_vs_rest(spark, sf_dir):
+    """The rank area of every class's score against the rest."""
+    areas = cl.auc_one_vs_rest(logits(spark, sf_dir), "label", "logits")
+    return areas.select("cls", "support", F.round("auc", 6).alias("auc"))
