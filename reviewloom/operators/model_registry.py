@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from urllib.parse import quote
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewloom.operators.runs import best_run, lineage, redirect_family
 from reviewloom.plans.joins import lookup_join
 from reviewloom.plans.storage import materialise
+from reviewloom.sources.manifests import entries, publish
 
 
 def latest_versions(registry: DataFrame) -> DataFrame:
@@ -32,6 +36,14 @@ def old_versions(registry: DataFrame) -> DataFrame:
     )
 
 
+def replies_of(tried: DataFrame, by: list[str]) -> DataFrame:
+    """(``by``, n_valid, n_replies) from scored sample texts: rows with a given text, and those of them with a prediction."""
+    given = F.col("text").isNotNull()
+    return tried.groupBy(*by).agg(
+        F.count(F.when(given, 1)).alias("n_valid"), F.count(F.when(given, F.col("prediction"))).alias("n_replies")
+    )
+
+
 def promotion_plan(registry: DataFrame, smoke: DataFrame) -> DataFrame:
     """What happens to every version once its model's newest one was tried on sample requests.
 
@@ -92,5 +104,16 @@ def winner_entry(
     )
 
 
-def append_registry(entry: DataFrame, path: str) -> None:
-    entry.write.mode("append").parquet(path)
+def append_registry(entry: DataFrame, path: str) -> int:
+    """Registers the one row of ``entry`` and returns its version: its own, or the next that no other writer has.
+
+    Each model has its versions in a folder of its own, so any number of writers may register at once.
+    """
+    row = entry.first().asDict(recursive=True)
+    folder = f"{path}/model={quote(row['model_name'], safe='')}"
+    return publish(entry.sparkSession, folder, row, row["version"])
+
+
+def read_registry(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All registered rows, in the columns of the entries' ``schema``."""
+    return entries(spark, f"{path}/*", schema)

@@ -253,14 +253,14 @@ def retire_old_versions(spark, sf_dir):
 @query(
     "version_name",
     f"""WITH {view_sql("v_registry")}
-    SELECT run_id, 'Sentiment-Classifier-' || strftime(created, '%Y-%m-%d-%H-%M') || '-Pipeline' AS pipeline,
+    SELECT run_id, 'Review-Labels-' || strftime(created, '%Y-%m-%d-%H-%M') || '-Pipeline' AS pipeline,
            'deployment-' || strftime(created, '%m%d%H%M%f') AS deployment FROM v_registry""",
 )
 def version_name(spark, sf_dir):
     created = F.col("created")
     return view(spark, sf_dir, "v_registry").select(
         "run_id",
-        pipeline_name("Sentiment-Classifier", created).alias("pipeline"),
+        pipeline_name("Review-Labels", created).alias("pipeline"),
         deployment_name(created).alias("deployment"),
     )
 
@@ -316,7 +316,7 @@ def register_best(spark, sf_dir):
     )
     path = scratch_path(spark, "registry")
     mr.append_registry(entry, path)
-    return spark.read.parquet(path).select(
+    return mr.read_registry(spark, path, entry.schema).select(
         "model_name", "version", "run_id", "is_automl",
         F.col("tags")["run_id"].alias("tag_run_id"), F.col("tags")["metric_name"].alias("tag_metric"),
         "train_version", "val_version", "metric",

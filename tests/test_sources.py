@@ -99,5 +99,40 @@ def test_label_map_file(spark, tmp_path):
 
 def test_time_stamped_names(spark):
     df = spark.sql("SELECT timestamp'2024-03-05 14:07:09.123456' AS t")
-    row = df.select(pipeline_name("Sentiment-Classifier", F.col("t")), deployment_name(F.col("t"))).first()
-    assert tuple(row) == ("Sentiment-Classifier-2024-03-05-14-07-Pipeline", "deployment-03051407123456")
+    row = df.select(pipeline_name("Review-Labels", F.col("t")), deployment_name(F.col("t"))).first()
+    assert tuple(row) == ("Review-Labels-2024-03-05-14-07-Pipeline", "deployment-03051407123456")
+
+
+def test_parallel_writers_get_a_version_each(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    names = ["a/b c", "a/b c", "other"]
+
+    def write(k):
+        store = DatasetStore(spark, str(tmp_path))
+        version = store.register(spark.range(k, k + 3).toDF("k"), names[k % 3], f"writer {k}")
+        return names[k % 3], version, k
+
+    with ThreadPoolExecutor(9) as pool:
+        written = list(pool.map(write, range(9)))
+    assert sorted((n, v) for n, v, _ in written) == [("a/b c", v) for v in range(1, 7)] + [("other", v) for v in range(1, 4)]
+    store = DatasetStore(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in store.registry().collect()) == sorted((n, v, f"writer {k}", 3) for n, v, k in written)
+    for name, version, k in written:
+        assert sorted(r["k"] for r in store.read(name, version).collect()) == [k, k + 1, k + 2]
+    assert store.latest_version("none") == 0 and store.registry().count() == 9
+    with pytest.raises(LookupError):
+        store.read("other", 4)
+
+
+def test_a_taken_number_is_never_written_again(spark, tmp_path):
+    from reviewloom.sources.manifests import entries, publish, put_if_absent
+
+    path = f"{tmp_path}/v/0000000001.json"
+    assert put_if_absent(spark, path, '{"a": 1, "version": 1}') and not put_if_absent(spark, path, '{"a": 2}')
+    assert publish(spark, f"{tmp_path}/v", {"a": 3}) == 2 and publish(spark, f"{tmp_path}/v", {"a": 4}, first=9) == 9
+    found = entries(spark, f"{tmp_path}/v", "a int, version int").collect()
+    assert sorted(tuple(r) for r in found) == [(1, 1), (3, 2), (4, 9)]
+    # A writer that died leaves a hidden file, which no reader takes for an entry.
+    (tmp_path / "v" / ".left.tmp").write_text('{"a": 5')
+    assert entries(spark, f"{tmp_path}/v", "a int, version int").count() == 3
