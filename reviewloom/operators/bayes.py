@@ -179,10 +179,10 @@ def _limited(model: NaiveBayes, size: int) -> NaiveBayes:
     return replace(model, tokens=tokens, classes=classes, vocabulary=min(size, model.vocabulary))
 
 
-def score_trials(
+def trial_counts(
     docs: DataFrame, key: str, text: str, label: str, model: NaiveBayes, trials: Sequence[dict]
 ) -> DataFrame:
-    """(trial_id, metric columns) of all trials from one pass over the texts.
+    """(trial_id, label, pred, n) of all trials from one pass over the texts, stored.
 
     A trial has ``alpha``, ``vocab_size`` (0 for all tokens) and ``uniform_prior``. Trials share the
     token join: each distinct setting only adds sums to the same grouped aggregate.
@@ -242,6 +242,17 @@ def score_trials(
             )
         )
     judged = per_doc.select(label, F.explode(F.array(*outcomes)).alias("o")).select(label, "o.*")
-    counts = materialise(confusion(judged, label, "pred", by=["trial_id"]))
+    return materialise(confusion(judged, label, "pred", by=["trial_id"]))
+
+
+def trial_metrics(counts: DataFrame) -> DataFrame:
+    """(trial_id, metric columns) from the counts of each trial."""
     area = auc_hard(counts, by=["trial_id"]).select("trial_id", F.col("auc").alias("auc_weighted"))
     return MetricRegistry().compute(counts, by=["trial_id"]).join(area, "trial_id")
+
+
+def score_trials(
+    docs: DataFrame, key: str, text: str, label: str, model: NaiveBayes, trials: Sequence[dict]
+) -> DataFrame:
+    """(trial_id, metric columns) of all trials from one pass over the texts."""
+    return trial_metrics(trial_counts(docs, key, text, label, model, trials))

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from reviewloom.operators import bayes, candidates, centroids, encoding, splitting, sweep
 from reviewloom.operators import classification as cl
+from reviewloom.operators import model_registry as registry_gate
 from reviewloom.operators.runs import best_child
-from reviewloom.operators.scoring import score_requests
+from reviewloom.operators.scoring import score_requests, score_texts
 from reviewloom.plans.storage import materialise, scratch_path
 from reviewloom.queries.base import query
 from reviewloom.queries.metrics import PER_CLASS_SQL
@@ -22,12 +23,16 @@ from reviewloom.queries.views import (
     with_text,
 )
 from reviewloom.sources.metric_log import append_metrics, read_metrics
-from reviewloom.sources.requests import responses
+from reviewloom.sources.requests import parse_requests, responses, result_responses
 
-TOKENS = f"""{split_sql(QUALITY_SQL, 'doc_id')},
+TOXIC_SQL = "SELECT doc_id, toxic AS label FROM labels"
+
+
+def model_sql(source):
+    """CTEs of the split, its tokens, and the counts of a model trained on it."""
+    return f"""{split_sql(source, 'doc_id')},
 tok AS (SELECT s.doc_id, s.label, s.split, unnest({tokens_sql('text')}) AS token
-        FROM split s JOIN documents d ON d.doc_id = s.doc_id)"""
-MODEL = f"""{TOKENS},
+        FROM split s JOIN documents d ON d.doc_id = s.doc_id),
 cnt AS (SELECT token, label AS idx, count(*) AS cnt FROM tok WHERE split = 'train' GROUP BY ALL),
 voc AS (SELECT DISTINCT token FROM cnt),
 dims AS (SELECT (SELECT count(*) FROM voc) AS v, (SELECT count(*) FROM split WHERE split = 'train') AS n),
@@ -36,6 +41,9 @@ classes AS (SELECT s.label AS idx, count(*) AS n_docs, any_value(t.total) AS tot
             WHERE s.split = 'train' GROUP BY s.label)"""
 
 
+MODEL = model_sql(QUALITY_SQL)
+
+
 def scores_sql(tokens, docs):
     """Class scores of ``docs`` (doc_id) from the known tokens in ``tokens`` (doc_id, token)."""
     return f"""known AS (SELECT t.doc_id, t.token FROM {tokens} t JOIN voc ON voc.token = t.token),
@@ -120,25 +128,30 @@ def metrics_all(spark, sf_dir):
     return flagship(spark, sf_dir)
 
 
-_TRAIN_SCORES = scores_sql(
-    "(SELECT doc_id, token FROM tok WHERE split = 'train')", "(SELECT doc_id FROM split WHERE split = 'train')"
+_LOGGED_SCORES = scores_sql(
+    "(SELECT doc_id, token FROM tok WHERE split <> 'val')", "(SELECT doc_id FROM split WHERE split <> 'val')"
 )
 
 
+def _logged_sql(part):
+    return f"""SELECT * FROM (WITH p AS (SELECT s.label, b.pred FROM best b JOIN split s ON s.doc_id = b.doc_id AND s.split = '{part}'),
+    {PER_CLASS_SQL} {_metric_rows_sql(part)})"""
+
+
 @query(
     "test_model",
-    f"""WITH {MODEL}, {_TRAIN_SCORES},
-    p AS (SELECT s.label, b.pred FROM best b JOIN split s ON s.doc_id = b.doc_id), {PER_CLASS_SQL}
-    SELECT 'nb' AS run_id, name, value FROM ({_metric_rows_sql('train')})""",
+    f"""WITH {MODEL}, {_LOGGED_SCORES}
+    SELECT 'nb' AS run_id, name, value FROM ({_logged_sql('train')} UNION ALL {_logged_sql('test')})""",
 )
 def test_model(spark, sf_dir):
-    """Predicts the training rows themselves and logs the metrics under the train prefix."""
-    train = _part(spark, sf_dir, _split(spark, sf_dir), "train")
-    model = bayes.train(train, "text", "label")
-    judged = bayes.predict(train, "doc_id", "text", model, ["label"])
+    """Predicts the training rows and the test rows and logs the metrics of both, under their prefixes."""
+    split = _split(spark, sf_dir)
+    model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     path = scratch_path(spark, "metrics")
-    rows = cl.evaluate(judged, "label", "pred", "train")
-    append_metrics(rows.select(F.lit("nb").alias("run_id"), "name", F.lit(0).alias("seq"), "value"), path)
+    for part in ("train", "test"):
+        judged = bayes.predict(_part(spark, sf_dir, split, part), "doc_id", "text", model, ["label"])
+        rows = cl.evaluate(judged, "label", "pred", part)
+        append_metrics(rows.select(F.lit("nb").alias("run_id"), "name", F.lit(0).alias("seq"), "value"), path)
     return read_metrics(spark, path).select("run_id", "name", F.round("value", 6).alias("value"))
 
 
@@ -172,8 +185,11 @@ def _trial_choice(name, kind):
 
 
 def _sweep_scores_sql(part):
-    """Accuracy and weighted F1 of every sampled trial on ``part``, as the table tmet."""
-    return f"""{MODEL},
+    """Accuracy and weighted F1 of every sampled trial on ``part``, as the table tmet.
+
+    The label is toxicity: its trials differ, so that a search has something to find.
+    """
+    return f"""{model_sql(TOXIC_SQL)},
 trials AS (SELECT trial_id::INTEGER AS trial_id, {_trial_choice('alpha', 'DOUBLE')}, {_trial_choice('vocab_size', 'INTEGER')},
                   {_trial_choice('uniform_prior', 'INTEGER')} FROM range({SWEEP_TRIALS}) t(trial_id)),
 ranks AS (SELECT token, row_number() OVER (ORDER BY sum(cnt) DESC, token) AS rank FROM cnt GROUP BY token),
@@ -200,6 +216,11 @@ tmet AS (SELECT trial_id, sum(hits) / sum(support) AS accuracy, avg(hits / suppo
          FROM tcls GROUP BY trial_id)"""
 
 
+def _toxic_split(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    return materialise(splitting.stratified_split(labels, "label", "doc_id"))
+
+
 def sampled_trials(spark):
     """The sampled settings as driver-side rows: a sweep has a handful of trials."""
     experiment = spark.createDataFrame([("nb",)], "experiment string")
@@ -223,7 +244,7 @@ def _sweep(spark, sf_dir, split, model, part="val"):
 )
 def sweep_run(spark, sf_dir):
     """Random search on the validation split; all trials share one pass over its texts."""
-    split = _split(spark, sf_dir)
+    split = _toxic_split(spark, sf_dir)
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     shown = [F.round(c, 6).alias(c) for c in ("accuracy", "f1_weighted", "auc_weighted")]
     return _sweep(spark, sf_dir, split, model).select(
@@ -231,6 +252,46 @@ def sweep_run(spark, sf_dir):
     )
 
 
+SWEEP_SHARES = (0.25, 0.5, 1.0)
+_ROUNDS = """tplace AS (SELECT *, ('0x' || substr(md5('0:' || doc_id), 1, 4))::BIGINT / 65536.0::DOUBLE AS place FROM tbest),
+rcls AS (SELECT r, trial_id, c AS cls, count(*) FILTER (label = c) AS support, count(*) FILTER (pred = c) AS predicted,
+                count(*) FILTER (label = c AND pred = c) AS hits
+         FROM tplace JOIN (VALUES (1, 0.25::DOUBLE), (2, 0.5::DOUBLE), (3, 1.0::DOUBLE)) t(r, share) ON place < share,
+              (SELECT idx AS c FROM classes) GROUP BY ALL),
+rmet AS (SELECT r, trial_id, sum(support)::BIGINT AS n,
+                round(sum(support * (CASE WHEN support + predicted = 0 THEN 0 ELSE 2 * hits / (support + predicted) END)) / sum(support), 9) AS f
+         FROM rcls GROUP BY ALL),
+s1 AS (SELECT * FROM rmet WHERE r = 1),
+d1 AS (SELECT trial_id FROM s1 WHERE f < (SELECT max(f) FROM s1) / 1.1::DOUBLE),
+s2 AS (SELECT * FROM rmet WHERE r = 2 AND trial_id NOT IN (SELECT trial_id FROM d1)),
+d2 AS (SELECT trial_id FROM s2 WHERE f < (SELECT max(f) FROM s2) / 1.1::DOUBLE),
+lasted AS (SELECT trial_id, CASE WHEN trial_id IN (SELECT trial_id FROM d1) THEN 1
+                                 WHEN trial_id IN (SELECT trial_id FROM d2) THEN 2 ELSE 3 END AS rounds FROM trials)"""
+
+
+@query(
+    "sweep_rounds",
+    f"""WITH {_sweep_scores_sql('val')}, {_ROUNDS}
+    SELECT trial_id, alpha, vocab_size, uniform_prior, rounds::INTEGER AS rounds, coalesce(n, 0)::BIGINT AS rows_judged,
+           round(f, 6) AS f1_weighted,
+           rounds = 3 AND trial_id = (SELECT arg_min(trial_id, (-f, trial_id)) FROM lasted l JOIN rmet m USING (trial_id)
+                                      WHERE l.rounds = 3 AND m.r = 3) AS is_best
+    FROM trials JOIN lasted USING (trial_id) LEFT JOIN rmet ON rmet.trial_id = trials.trial_id AND rmet.r = rounds""",
+)
+def sweep_rounds(spark, sf_dir):
+    """The same search in rounds on ever more rows, without the trials that fall behind."""
+    split = _toxic_split(spark, sf_dir)
+    model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
+    judged = _part(spark, sf_dir, split, "val")
+    found = sweep.search_rounds(
+        model, judged, "doc_id", "text", "label", sampled_trials(spark), "f1_weighted", shares=SWEEP_SHARES
+    )
+    return found.select(
+        "trial_id", "alpha", "vocab_size", "uniform_prior", "rounds", "rows_judged",
+        F.round("f1_weighted", 6).alias("f1_weighted"), "is_best",
+    )
+
+
 @query(
     "test_best_candidate",
     f"""WITH {_sweep_scores_sql('val')},
@@ -249,7 +310,7 @@ def sweep_run(spark, sf_dir):
 )
 def test_best_candidate(spark, sf_dir):
     """The best candidate of the search, tested by the area under the curve of its log-odds."""
-    split = _split(spark, sf_dir)
+    split = _toxic_split(spark, sf_dir)
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     scores = _sweep(spark, sf_dir, split, model)
     run_id = F.concat(F.lit("trial-"), F.col("trial_id"))
@@ -292,6 +353,53 @@ def score_batch(spark, sf_dir):
     return responses(score_requests(requests(spark, sf_dir), model, label_map))
 
 
+@query(
+    "score_batch_results",
+    f"""WITH {MODEL}, {_ALL_SCORES}
+    SELECT request_id, '{{"Results":[' || string_agg(coalesce('"' || pred || '"', 'null'), ',' ORDER BY pos) || ']}}' AS response,
+           count(*)::INTEGER AS n_items
+    FROM v_request_texts LEFT JOIN best USING (doc_id) GROUP BY request_id""",
+)
+def score_batch_results(spark, sf_dir):
+    """The same predictions in the second reply shape, as strings below Results."""
+    model, label_map = trained_on_labels(spark, sf_dir)
+    return result_responses(score_requests(requests(spark, sf_dir), model, label_map))
+
+
+@query(
+    "promotion_replies",
+    f"""WITH {MODEL}, {_ALL_SCORES},
+    tried AS (SELECT count(text) AS n_valid, count(pred) AS whole, count(pred) FILTER (pred = 0) AS partial
+              FROM v_request_texts LEFT JOIN best USING (doc_id)),
+    registry AS (SELECT * FROM (VALUES ('whole', 1, true), ('whole', 2, false), ('partial', 1, false), ('partial', 2, true)) t(model_name, version, old)),
+    gate AS (SELECT 'whole' AS model_name, n_valid, whole AS n_replies FROM tried
+             UNION ALL SELECT 'partial', n_valid, partial FROM tried)
+    SELECT model_name, version::INTEGER AS version, n_valid, n_replies, n_valid > 0 AND n_valid = n_replies AS passed,
+           CASE WHEN version = 2 AND n_valid > 0 AND n_valid = n_replies THEN 'promote' WHEN version = 2 THEN 'abort'
+                WHEN n_valid > 0 AND n_valid = n_replies THEN 'retire' ELSE 'keep' END AS action
+    FROM registry JOIN gate USING (model_name)""",
+)
+def promotion_replies(spark, sf_dir):
+    """The gate on replies that the newest version of each model gives to all sample requests.
+
+    The new version of one model comes with its whole label map; that of the other lacks a label, as a map
+    fitted on other data would, and cannot answer every text.
+    """
+    model, label_map = trained_on_labels(spark, sf_dir)
+    sent = materialise(parse_requests(requests(spark, sf_dir)))
+    maps = {"whole": label_map, "partial": label_map.filter("idx = 0")}
+    tried = None
+    for name, own in maps.items():
+        answered = sent.join(score_texts(sent, model, own), ["request_id", "pos"], "left").withColumn("model_name", F.lit(name))
+        tried = answered if tried is None else tried.unionByName(answered)
+    smoke = materialise(registry_gate.replies_of(tried, ["model_name"]).withColumn("version", F.lit(2)))
+    versions = spark.createDataFrame([(n, v) for n in maps for v in (1, 2)], "model_name string, version int")
+    plan = registry_gate.promotion_plan(versions, smoke)
+    return plan.join(smoke.drop("version"), "model_name").select(
+        "model_name", "version", "n_valid", "n_replies", "passed", "action"
+    )
+
+
 @query("lr_train")
 def lr_train(spark, sf_dir):
     """Balanced logistic regression on hashed token weights: predictions for the test split."""
@@ -299,7 +407,8 @@ def lr_train(spark, sf_dir):
     rows, test = candidates.featured(
         _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "test"), "doc_id", "text", "label"
     )
-    return candidates.predictions(candidates.fit_family(rows, "lr_balanced"), test, "doc_id")
+    model = candidates.fit_family(rows, "lr_balanced")
+    return candidates.predictions(model, test, "doc_id").select("doc_id", "label", "pred")
 
 
 @query("automl_leaderboard")
@@ -309,4 +418,15 @@ def automl_leaderboard(spark, sf_dir):
     scores = candidates.family_scores(
         _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "val"), "doc_id", "text", "label"
     )
+    return candidates.family_leaderboard(scores.drop("auc_macro"), "auc_weighted")
+
+
+@query("automl_languages")
+def automl_languages(spark, sf_dir):
+    """Model families ranked on a label with several classes: the language of a text."""
+    languages = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label")).filter("label IS NOT NULL")
+    split = materialise(splitting.stratified_split(languages, "label", "doc_id"))
+    scores = candidates.family_scores(
+        _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "val"), "doc_id", "text", "label"
+    )
     return candidates.family_leaderboard(scores, "auc_weighted")
