@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from reviewloom.plans.storage import scratch_path
 from reviewloom.queries.base import query
 from reviewloom.queries.learning import _ALL_SCORES, MODEL, trained_on_labels
-from reviewloom.queries.views import VIEWS, requests, view_sql
-from reviewloom.streaming import jobs
+from reviewloom.queries.views import VIEWS, requests, table, view_sql
+from reviewloom.streaming import jobs, partials
 from reviewloom.streaming.sink import stream_table
 from reviewloom.streaming.utilisation import utilisation_rows
 
@@ -90,3 +90,35 @@ def stream_metric_log(spark, sf_dir):
     events = stream_table(spark, f"{sf_dir}/events.parquet")
     metrics = spark.sql(VIEWS["v_metrics"], events=events).select("run_id", "name", "seq", "value")
     return jobs.stream_metric_log(metrics)
+
+
+@query("util_late", f"WITH {_MEANS} SELECT window_start, device, name, mean, n FROM means")
+def util_late(spark, sf_dir):
+    """Means from stateless partial sums, with files that each span the whole time, so most samples come late."""
+    inbox, out = scratch_path(spark, "inbox"), scratch_path(spark, "sums")
+    table(spark, sf_dir, "events").repartition(3, "event_id").write.parquet(inbox)
+    events = stream_table(spark, inbox, files_per_trigger=1)
+    partials.run_partials(spark.sql(VIEWS["v_samples"], events=events), out, scratch_path(spark, "sums-state"), 60)
+    return partials.merged_means(spark, out).select("window_start", "device", "name", "mean", "n")
+
+
+@query(
+    "stream_bandit",
+    """WITH curve AS (SELECT user_id // 10 AS experiment, user_id AS run_id, value,
+                             row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS interval_no FROM events),
+    own AS (SELECT *, max(value) OVER (PARTITION BY run_id ORDER BY interval_no) AS own_best FROM curve),
+    peak AS (SELECT experiment, interval_no, max(value) AS value FROM curve GROUP BY ALL),
+    best AS (SELECT experiment, interval_no, max(value) OVER (PARTITION BY experiment ORDER BY interval_no) AS best FROM peak),
+    behind AS (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY interval_no) AS rn
+               FROM own JOIN best USING (experiment, interval_no)
+               WHERE interval_no % 5 = 0 AND own_best < best / 1.1::DOUBLE)
+    SELECT experiment, run_id, interval_no::INTEGER AS stopped_at, own_best, best FROM behind WHERE rn = 1""",
+)
+def stream_bandit(spark, sf_dir):
+    """Ten users are the runs of an experiment, their events its reports."""
+    events = stream_table(spark, f"{sf_dir}/events.parquet")
+    reports = events.select(
+        F.floor(F.col("user_id") / 10).alias("experiment"), F.col("user_id").alias("run_id"), "ts",
+        F.col("event_id").alias("seq"), "value",
+    )
+    return jobs.stream_stops(reports)

@@ -10,6 +10,7 @@ from reviewloom.functions.metric_names import usable
 from reviewloom.operators import bayes
 from reviewloom.operators.scoring import score_requests
 from reviewloom.plans.storage import scratch_path
+from reviewloom.streaming import termination
 from reviewloom.streaming.sink import newest_rows, run_available
 from reviewloom.streaming.utilisation import window_means
 
@@ -32,6 +33,12 @@ def stream_best(reports: DataFrame) -> DataFrame:
     return newest_rows(run_available(tracked, "best", tracked.schema), ["run_id"])
 
 
+def stream_stops(reports: DataFrame, checkpoint: str | None = None, **policy) -> DataFrame:
+    """Stops of runs as their reports arrive, each emitted once."""
+    decided = termination.stops(reports, **policy)
+    return run_available(decided, "stops", decided.schema, "append", checkpoint=checkpoint).drop("epoch")
+
+
 def stream_window_means(samples: DataFrame) -> DataFrame:
     means = window_means(samples)
     written = run_available(means, "means", means.schema)
