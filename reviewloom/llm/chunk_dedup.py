@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import utf8
+from reviewloom.llm.columns import unused, utf8
 from reviewloom.plans.storage import materialise
 
 MIN_CHUNK, CUT_BITS, MAX_CHUNK = 512, 11, 16384
@@ -154,10 +154,11 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def keep_last(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    dropped = exact_groups(docs).where(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")
+    gone_id, gone_sha = (unused(name, docs.columns) for name in ("_gone_id", "_gone_sha"))
+    dropped = exact_groups(docs.select("doc_id", "text")).where(~F.col("kept")).select(
+        F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (
-        F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256) == F.col("_gone_sha")
+    same = F.col("doc_id").eqNullSafe(F.col(gone_id)) & (
+        F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256) == F.col(gone_sha)
     )
     return docs.join(dropped, same, "left_anti")

@@ -43,3 +43,11 @@ def give_back() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
+
+
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, longer by underscores until no column in ``taken`` has it."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name += "_"
+    return name

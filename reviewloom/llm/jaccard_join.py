@@ -725,7 +725,6 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
 def keep_first(docs: DataFrame) -> DataFrame:
     """One document of each component: that with the smallest doc_id; null ids stay."""
     found = similar_components(docs.select("doc_id", "text"))
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    return docs.join(found.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
 
 

@@ -17,7 +17,7 @@ Equality up to step 3 is that of 64-bit hashes of the anchor or the shared bytes
 
 A null or empty text has nothing to remove, as has one under 100 bytes. Order is by doc_id (null first), then
 start. Repeated rows of one doc_id and text are one document, which never repeats itself at the same place; each
-gets the same result. Spans of several texts under one doc_id are cut from each of them. Columns other than
+gets the same result. Several texts under one doc_id are documents of their own, in the order of their hashes. Columns other than
 doc_id and text pass through. An empty table gives an empty result.
 """
 
@@ -28,13 +28,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from reviewloom.llm.columns import utf8
+from reviewloom.llm.columns import unused, utf8
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.induced import suffix_order
+from reviewloom.plans.ordering import sorted_index
 from reviewloom.plans.storage import materialise
 
 WINDOW = 100
@@ -385,14 +386,41 @@ def merged(starts: np.ndarray, stops: np.ndarray, size: int) -> list[tuple[int,
     return [(x, y) for x, y in zip(a.tolist(), b.tolist()) if x < y]
 
 
+def _spans_by_text(docs: DataFrame) -> DataFrame:
+    """(doc_id, th, spans): ``th`` is null unless some id has several texts, told apart by their hashes."""
+    together = F.collect_list(F.struct("start", "stop")).alias("spans")
+    hashed = docs.select(F.col("doc_id").cast("long"), _text_hash().alias("th"))
+    ends = hashed.groupBy("doc_id").agg(F.min("th").alias("low"), F.max("th").alias("high"))
+    if ends.where("low <> high").isEmpty():
+        return find_spans(docs).groupBy("doc_id").agg(together).withColumn("th", F.lit(None).cast("long"))
+    # Every text gets a number of its own, in the order of ids.
+    numbers = materialise(sorted_index(hashed.distinct(), [], [F.col("doc_id").asc_nulls_first(), F.col("th")], "number"))
+    told = numbers.select(F.col("doc_id").alias("own_id"), F.col("th").alias("own_th"), "number")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("own_id")) & (_text_hash() == F.col("own_th"))
+    renumbered = docs.select("doc_id", "text").join(told, same).select(F.col("number").alias("doc_id"), "text")
+    spans = find_spans(materialise(renumbered)).groupBy("doc_id").agg(together)
+    return spans.withColumnRenamed("doc_id", "number").join(numbers, "number").select("doc_id", "th", "spans")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+
+
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` without its text; with kept (binary), n_bytes, n_removed and n_spans instead."""
-    spans = find_spans(docs).groupBy("doc_id").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
-    texts = compressed(docs)
+    """``docs`` without its text; with kept (binary), n_bytes, n_removed and n_spans instead.
+
+    No other column may have one of these four names.
+    """
     others = [c for c in docs.columns if c != "text"]
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_span_id"))
-    joined = texts.join(spans.withColumnRenamed("doc_id", "_span_id"), same, "left")
-    rows = joined.select("packed", "_spans", *others)
+    whole = docs.select("doc_id", "text", F.struct(*others).alias("rest"))
+    spans = _spans_by_text(whole.select("doc_id", "text")).select(
+        F.col("doc_id").alias("span_id"), F.col("th").alias("span_th"), "spans"
+    )
+    texts = compressed(whole.withColumn("th", _text_hash()))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("span_id")) & (
+        F.col("span_th").isNull() | (F.col("th") == F.col("span_th"))
+    )
+    rows = texts.join(spans, same, "left").select("packed", "spans", "rest")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -413,7 +441,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             kept, n_bytes, n_removed, n_spans = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [
-                    *batch.columns[2:],
+                    *batch.column(2).flatten(),
                     pa.array(kept, pa.binary()),
                     pa.array(n_bytes, pa.int64()),
                     pa.array(n_removed, pa.int64()),
@@ -445,9 +473,15 @@ def clean(docs: DataFrame) -> DataFrame:
 
     Every row stays. ``n_chars``, where present, follows the new text. A null text becomes empty.
     """
-    done = remove_repeats(docs).withColumn("text", _as_text("kept"))
-    if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*docs.columns)
-
-
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    whole = docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias(unused("_", rest))).alias("rest"))
+    done = remove_repeats(whole).withColumn("text", _as_text("kept"))
+
+    def shown(name: str) -> Column:
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        if name == "n_chars":
+            return F.length("text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("rest").getField(name).alias(name)
+
+    return done.select(*map(shown, docs.columns))

@@ -9,7 +9,8 @@ reduced once more. Nothing is broadcast, and every candidate row is scored or bo
 
 Components become floor(scale * x) with x as double; scores are exact integers. Vectors that are null or hold a
 null or non-finite component, and rows without an id, take no part; an empty vector scores 0, and components that
-a shorter vector lacks count as 0. Ties go to the smaller id. A row is never its own answer; rows of one id are
+a shorter vector lacks count as 0. A scaled component of 2**62 or more, or a score of the result beyond 64 bits,
+raises an error that names the row or the query. Ties go to the smaller id. A row is never its own answer; rows of one id are
 one vector's rows. Repeated candidate rows count each. Other columns are ignored; an empty table gives no rows.
 """
 
@@ -51,8 +52,9 @@ def _blocks(rows: DataFrame, scale: float, block_rows: int) -> DataFrame:
                 width = int(sizes.max()) if len(sizes) else 0
                 table = np.zeros((len(ids), width))
                 table[np.arange(width) < sizes[:, None]] = np.floor(scale * flat)
-                if np.abs(table).max(initial=0) >= 2.0**62:
-                    raise ValueError("a component is too large for an exact integer score")
+                large = (np.abs(table) >= 2.0**62).any(axis=1)
+                if large.any():
+                    raise ValueError(f"row {ids[large.argmax()]}: a component is too large for an exact integer score")
                 by_dimension = np.ascontiguousarray(table.T).astype("<i8")
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -146,6 +148,9 @@ def top_k(
                 found = list(
                     search(q, np.frombuffer(q_data, "<i8").reshape(-1, len(q)).T, c, np.frombuffer(data, "<i8").reshape(-1, len(c)), k)
                 )
+                for own, _, scores in found:
+                    if any(not -(1 << 63) <= int(x) < 1 << 63 for x in scores):
+                        raise ValueError(f"query {own[0]}: a score does not fit in 64 bits")
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([f[i] for f in found]).astype(np.int64)) for i in range(3)],
                     names=["query_id", "id", "score"],

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import json
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -254,36 +254,41 @@ class Reader:
         lines = [json.loads(line) for line in text.split("\n")]
         return [line[0] for line in lines], lines
 
+    def find_all(self, key: str) -> Iterator[tuple[str, int, int]]:
+        """(path, offset, length) of every record with this capture key, which may go on in further blocks."""
+        k = max(bisect_left(self.firsts, key) - 1, 0)
+        while k < len(self.index) and self.firsts[k] <= key:
+            at = self.index[k]
+            directory = self._keep(("directory", at.path), lambda at=at: self._unpacked(at.path, at.offset, at.length))
+            b = max(bisect_left(directory, key, key=lambda x: x[0]) - 1, 0)
+            while b < len(directory) and directory[b][0] <= key:
+                place = directory[b][1:]
+                keys, lines = self._keep(("block", at.path, b), lambda at=at, place=place: self._lines(at.path, *place))
+                for line in lines[bisect_left(keys, key) : bisect_right(keys, key)]:
+                    yield tuple(line[1:])
+                b += 1
+            k += 1
+
     def find(self, key: str) -> tuple[str, int, int] | None:
-        """(path, offset, length) of the record with this capture key."""
-        k = bisect_right(self.firsts, key) - 1
-        if k < 0:
-            return None
-        at = self.index[k]
-        directory = self._keep(("directory", at.path), lambda: self._unpacked(at.path, at.offset, at.length))
-        b = bisect_right(directory, key, key=lambda x: x[0]) - 1
-        if b < 0:
-            return None
-        keys, lines = self._keep(("block", at.path, b), lambda: self._lines(at.path, *directory[b][1:]))
-        n = bisect_right(keys, key) - 1
-        return tuple(lines[n][1:]) if n >= 0 and keys[n] == key else None
-
-    def record(self, key: str) -> tuple[dict[str, str], bytes] | None:
-        place = self.find(key)
-        return parse(zlib.decompress(self._read(*place), 31)) if place else None
+        """(path, offset, length) of the first record with this capture key."""
+        return next(self.find_all(key), None)
+
+    def records(self, key: str) -> Iterator[tuple[dict[str, str], bytes]]:
+        for place in self.find_all(key):
+            yield parse(zlib.decompress(self._read(*place), 31))
 
     def payload(self, lines: dict[str, str]) -> tuple[int, str]:
         """Bytes and digest of the payload that a revisit refers to, from that response."""
-        refers_to = _page(lines["WARC-Refers-To"])
+        refers_to, named = _page(lines["WARC-Refers-To"]), lines["WARC-Payload-Digest"].partition(":")[2]
         key = capture_key(lines.get("WARC-Refers-To-Target-URI"), refers_to)
 
         def measure() -> tuple[int, str]:
-            found = self.record(key)
-            if found is None:
-                raise LookupError(f"a revisit refers to page {refers_to}, which is not in the archive")
-            return len(found[1]), sha256(found[1]).hexdigest()
+            for own, payload in self.records(key):
+                if own["WARC-Type"] == "response" and (digest := sha256(payload).hexdigest()) == named:
+                    return len(payload), digest
+            raise LookupError(f"a revisit refers to page {refers_to}, which is not in the archive")
 
-        return self._keep(("payload", key), measure)
+        return self._keep(("payload", key, named), measure)
 
 
 def capture_keys(pages: DataFrame) -> DataFrame:
@@ -300,7 +305,8 @@ def capture_keys(pages: DataFrame) -> DataFrame:
 def look_up(keys: DataFrame, index: list[IndexFile]) -> DataFrame:
     """The captures with these keys, read from the archives; keys that are not there give no row.
 
-    Columns: page_id, payload_bytes, payload_digest, record_type, refers_to.
+    A key that is asked for several times, as that of several rows of one page and address, is looked up once, and gives
+    every record that has it. Columns: page_id, payload_bytes, payload_digest, record_type, refers_to.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,15 +314,12 @@ def look_up(keys: DataFrame, index: list[IndexFile]) -> DataFrame:
         for batch in batches:
             rows = []
             for key in batch.column(0).to_pylist():
-                found = reader.record(key)
-                if found is None:
-                    continue
-                lines, payload = found
-                page_id, kind = _page(lines["WARC-Record-ID"]), lines["WARC-Type"]
-                if kind == "revisit":
-                    rows.append((page_id, *reader.payload(lines), kind, _page(lines["WARC-Refers-To"])))
-                else:
-                    rows.append((page_id, len(payload), sha256(payload).hexdigest(), kind, None))
+                for lines, payload in reader.records(key):
+                    page_id, kind = _page(lines["WARC-Record-ID"]), lines["WARC-Type"]
+                    if kind == "revisit":
+                        rows.append((page_id, *reader.payload(lines), kind, _page(lines["WARC-Refers-To"])))
+                    else:
+                        rows.append((page_id, len(payload), sha256(payload).hexdigest(), kind, None))
             columns = list(zip(*rows)) if rows else [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -327,7 +330,7 @@ def look_up(keys: DataFrame, index: list[IndexFile]) -> DataFrame:
     # Sorted keys meet each block of the index once.
     # Keys are small and the records behind them are not, so partitions are not merged by size.
     parts = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = keys.select("key").repartitionByRange(parts, "key").sortWithinPartitions("key")
+    ordered = keys.select("key").distinct().repartitionByRange(parts, "key").sortWithinPartitions("key")
     return ordered.mapInArrow(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
