@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from reviewloom.llm.columns import unused, utf8
+from reviewloom.llm.columns import give_back, unused, utf8
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.induced import suffix_order
 from reviewloom.plans.ordering import sorted_index
@@ -103,6 +103,7 @@ def anchors(docs: DataFrame) -> DataFrame:
     """(h, ctx, doc_id, place) of every context; ``place`` is first window, windows - 1 (7 bits), anchor (7 bits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             found: list[tuple] = []
