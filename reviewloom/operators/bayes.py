@@ -130,28 +130,29 @@ def predict(
     """(key, carried columns, scores, pred): class scores by index, and the first best index.
 
     Documents without a known token keep the prior. A document's tokens start in one task, so its
-    sums are nearly complete before the exchange.
+    sums, one a class, are nearly complete before the one exchange.
     """
     columns = [key, *carried]
-    seen = _matched(docs.select(*columns, text), columns, text, model.tokens)
-    known = F.when(F.col("seen").isNotNull(), 1).otherwise(0)
-    spread = seen.select(
-        *columns, known.alias("known"), F.posexplode_outer("seen").alias("place", "entry")
-    )
-    first = F.coalesce(F.col("place"), F.lit(0)) == 0
-    per_class = spread.groupBy(*columns, F.col("entry.idx").alias("idx")).agg(
-        F.sum(F.log1p(F.col("entry.cnt") / F.lit(model.alpha))).alias("gain"),
-        F.sum(F.when(first, F.col("known")).otherwise(0)).alias("known"),
-    )
-    per_doc = per_class.groupBy(*columns).agg(
-        F.collect_list(F.struct("idx", "gain")).alias("gains"), F.sum("known").alias("known")
-    )
-    scores = _scores(
-        model, F.col("gains"), F.col("known"), model.alpha, model.vocabulary,
-        [c[2] for c in model.classes], model.uniform_prior,
+    # The gains of a token over the default, by class: computed once a token, not once an occurrence.
+    gains = F.transform(
+        F.array(*[F.lit(idx) for idx, _, _ in model.classes]),
+        lambda idx: F.log1p(
+            F.coalesce(F.get(F.filter("seen", lambda e: e["idx"] == idx), F.lit(0))["cnt"], F.lit(0)) / F.lit(model.alpha)
+        ),
     )
+    tokens = materialise(model.tokens.select("token", "n", gains.alias("gains")))
+    met = _matched(docs.select(*columns, text), columns, text, tokens)
+    sums = [F.sum(F.col("gains")[place]).alias(f"__gain_{place}") for place in range(len(model.classes))]
+    per_doc = met.groupBy(*columns).agg(F.count("gains").alias("__known"), *sums)
+    n = model.n_docs
+    scores = [
+        F.lit(0.0 if model.uniform_prior else math.log(docs_of / n))
+        + F.col("__known") * F.lit(math.log(model.alpha / (total + model.alpha * model.vocabulary)))
+        + F.coalesce(F.col(f"__gain_{place}"), F.lit(0.0))
+        for place, (_, docs_of, total) in enumerate(model.classes)
+    ]
     indices = F.array(*[F.lit(c[0]) for c in model.classes])
-    return per_doc.select(*columns, scores.alias("scores")).withColumn(
+    return per_doc.select(*columns, F.array(*scores).alias("scores")).withColumn(
         "pred", F.element_at(indices, argmax(F.col("scores")) + 1)
     )
 

@@ -89,7 +89,8 @@ def frequency_join(facts: DataFrame, stored: DataFrame, on: str, weight: Column)
     if cut is None:
         return skew_join(facts, stored, on, "left")
     common = stored.filter(level >= cut).withColumn("__met", F.lit(True))
-    tried = facts.join(F.broadcast(common), on, "left")
+    # Stored, as what was not met is read several times.
+    tried = materialise(facts.join(F.broadcast(common), on, "left"))
     met = tried.filter(F.col("__met").isNotNull()).drop("__met")
     rest = tried.filter(F.col("__met").isNull()).select(*facts.columns)
     return met.unionByName(skew_join(rest, stored.filter(level < cut), on, "left"))

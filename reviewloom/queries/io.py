@@ -63,6 +63,30 @@ def src_reviews_json(spark, sf_dir):
     )
 
 
+@query(
+    "src_reviews_literal",
+    f"""WITH {view_sql("v_reviews")}
+    SELECT review_id, reviewer, review_text, CASE WHEN NOT isnan(overall) THEN overall END AS overall FROM v_reviews""",
+)
+def src_reviews_literal(spark, sf_dir):
+    """Reviews as dictionary literals, with a bare None for what is missing and a bare True."""
+    path = scratch_path(spark, "reviews")
+    rows = spread(view(spark, sf_dir, "v_reviews"), "review_id")
+    quoted = F.col("review_text")
+    for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r")):
+        quoted = F.replace(quoted, F.lit(plain), F.lit(escaped))
+    text = F.coalesce(F.concat(F.lit("'"), quoted, F.lit("'")), F.lit("None"))
+    stars = F.when(F.isnan("overall"), None).otherwise(F.col("overall"))
+    line = F.concat(
+        F.lit("{'reviewerID': '"), "reviewer", F.lit("', 'verified': True, 'unixReviewTime': "), F.col("review_id").cast("string"),
+        F.lit(", 'overall': "), F.coalesce(stars.cast("string"), F.lit("None")), F.lit(", 'reviewText': "), text, F.lit("}"),
+    )
+    rows.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    return read_reviews(spark, path).select(
+        F.col("unixReviewTime").alias("review_id"), F.col("reviewerID").alias("reviewer"), F.col("reviewText").alias("review_text"), "overall"
+    )
+
+
 @query("src_split_csv", f"WITH {view_sql('v_texts')} SELECT doc_id, text, label FROM v_texts")
 def src_split_csv(spark, sf_dir):
     texts = view(spark, sf_dir, "v_texts").select("doc_id", "text", "label")

@@ -62,7 +62,17 @@ def _split(spark, sf_dir):
 
 
 def _part(spark, sf_dir, split, name):
-    return with_text(split.filter(F.col("split") == name).drop("split"), spark, sf_dir)
+    """The texts of one part of a split; of ``_split_texts`` only that part is read."""
+    rows = split.filter(F.col("split") == name).drop("split")
+    return rows if "text" in split.columns else with_text(rows, spark, sf_dir)
+
+
+def _split_texts(spark, sf_dir, split):
+    """The split with its texts, joined once and stored by part: for queries that read several parts."""
+    path = scratch_path(spark, "split-texts")
+    texts = with_text(split, spark, sf_dir)
+    texts.write.partitionBy("split").parquet(path)
+    return spark.read.schema(texts.schema).parquet(path)
 
 
 @query(
@@ -89,7 +99,7 @@ _TEST_SCORES = scores_sql(
     FROM scored JOIN best USING (doc_id) GROUP BY doc_id, pred""",
 )
 def nb_predict(spark, sf_dir):
-    split = _split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _split(spark, sf_dir))
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     predicted = bayes.predict(_part(spark, sf_dir, split, "test"), "doc_id", "text", model)
     return predicted.select(
@@ -99,7 +109,7 @@ def nb_predict(spark, sf_dir):
 
 def flagship(spark, sf_dir):
     """Labels, exact split, naive Bayes, and the metric row of the test split."""
-    split = _split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _split(spark, sf_dir))
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     judged = bayes.predict(_part(spark, sf_dir, split, "test"), "doc_id", "text", model, ["label"])
     rows = cl.evaluate(judged, "label", "pred", "test")
@@ -145,7 +155,7 @@ def _logged_sql(part):
 )
 def test_model(spark, sf_dir):
     """Predicts the training rows and the test rows and logs the metrics of both, under their prefixes."""
-    split = _split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _split(spark, sf_dir))
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     path = scratch_path(spark, "metrics")
     for part in ("train", "test"):
@@ -244,7 +254,7 @@ def _sweep(spark, sf_dir, split, model, part="val"):
 )
 def sweep_run(spark, sf_dir):
     """Random search on the validation split; all trials share one pass over its texts."""
-    split = _toxic_split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _toxic_split(spark, sf_dir))
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     shown = [F.round(c, 6).alias(c) for c in ("accuracy", "f1_weighted", "auc_weighted")]
     return _sweep(spark, sf_dir, split, model).select(
@@ -280,7 +290,7 @@ lasted AS (SELECT trial_id, CASE WHEN trial_id IN (SELECT trial_id FROM d1) THEN
 )
 def sweep_rounds(spark, sf_dir):
     """The same search in rounds on ever more rows, without the trials that fall behind."""
-    split = _toxic_split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _toxic_split(spark, sf_dir))
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     judged = _part(spark, sf_dir, split, "val")
     found = sweep.search_rounds(
@@ -310,7 +320,7 @@ def sweep_rounds(spark, sf_dir):
 )
 def test_best_candidate(spark, sf_dir):
     """The best candidate of the search, tested by the area under the curve of its log-odds."""
-    split = _toxic_split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _toxic_split(spark, sf_dir))
     model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
     scores = _sweep(spark, sf_dir, split, model)
     run_id = F.concat(F.lit("trial-"), F.col("trial_id"))
@@ -403,7 +413,7 @@ def promotion_replies(spark, sf_dir):
 @query("lr_train")
 def lr_train(spark, sf_dir):
     """Balanced logistic regression on hashed token weights: predictions for the test split."""
-    split = _split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _split(spark, sf_dir))
     rows, test = candidates.featured(
         _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "test"), "doc_id", "text", "label"
     )
@@ -414,7 +424,7 @@ def lr_train(spark, sf_dir):
 @query("automl_leaderboard")
 def automl_leaderboard(spark, sf_dir):
     """Model families trained on the training split and ranked on the validation split."""
-    split = _split(spark, sf_dir)
+    split = _split_texts(spark, sf_dir, _split(spark, sf_dir))
     scores = candidates.family_scores(
         _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "val"), "doc_id", "text", "label"
     )
@@ -425,7 +435,7 @@ def automl_leaderboard(spark, sf_dir):
 def automl_languages(spark, sf_dir):
     """Model families ranked on a label with several classes: the language of a text."""
     languages = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("label")).filter("label IS NOT NULL")
-    split = materialise(splitting.stratified_split(languages, "label", "doc_id"))
+    split = _split_texts(spark, sf_dir, splitting.stratified_split(languages, "label", "doc_id"))
     scores = candidates.family_scores(
         _part(spark, sf_dir, split, "train"), _part(spark, sf_dir, split, "val"), "doc_id", "text", "label"
     )

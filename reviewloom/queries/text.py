@@ -14,12 +14,18 @@ VOCABULARY = 5_000
 BATCH = 8
 
 _INPUT = f"list_concat(list_concat(['[CLS]'], {tokens_sql('text')}[1:510]), ['[SEP]'])"
-_VOCAB = f"""counted AS (
+
+
+def _vocab_sql(size):
+    return f"""counted AS (
     SELECT token, count(*) AS n FROM (SELECT unnest({tokens_sql('text')}) AS token FROM documents) GROUP BY token),
 vocab AS (SELECT * FROM (VALUES ('[PAD]', 0::BIGINT), ('[UNK]', 1), ('[CLS]', 2), ('[SEP]', 3)) t(token, id)
           UNION ALL
           SELECT token, row_number() OVER (ORDER BY n DESC, token) + 3 FROM counted
-          QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {VOCABULARY})"""
+          QUALIFY row_number() OVER (ORDER BY n DESC, token) <= {size})"""
+
+
+_VOCAB = _vocab_sql(VOCABULARY)
 
 
 def _ids_sql(source):
@@ -53,6 +59,15 @@ def vocab_build(spark, sf_dir):
     return _vocabulary(spark, sf_dir)
 
 
+TOP = 200
+
+
+@query("vocab_top", f"WITH {_vocab_sql(TOP)} SELECT token, id FROM vocab")
+def vocab_top(spark, sf_dir):
+    """A small vocabulary, whose counts come from a sketch and a recount of its candidates."""
+    return vocabulary.build_vocabulary(documents(spark, sf_dir), "text", TOP, tracked=500_000)
+
+
 @query(
     "vocab_extend",
     f"""WITH {_VOCAB}, fresh AS (
@@ -102,11 +117,11 @@ def mini_batches(spark, sf_dir):
            md5(array_to_string(list_resize(input_ids, longest, 0::BIGINT), ',')) AS input_ids FROM sized""",
 )
 def pad_batches(spark, sf_dir):
-    texts = documents(spark, sf_dir)
-    ids = vocabulary.token_ids(texts, "doc_id", "text", _vocabulary(spark, sf_dir))
-    batches = vocabulary.mini_batches(texts.select("doc_id"), "doc_id", BATCH).drop("row_index")
+    batches = vocabulary.padded_batches(
+        documents(spark, sf_dir), "doc_id", "text", _vocabulary(spark, sf_dir), BATCH
+    )
     total = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    return vocabulary.pad_batches(batches.join(ids, "doc_id")).select(
+    return batches.select(
         "doc_id",
         "batch_id",
         F.size("input_ids").alias("n_ids"),

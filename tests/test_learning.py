@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.tokens import words
 from reviewloom.operators import bayes, centroids, sweep, vocabulary
 from reviewloom.operators.scoring import map_text
+from reviewloom.plans.storage import materialise
 
 WORDS = ["good", "bad", "fine", "poor", "the", "a", "!", "café", "naïve", "x1"]
 
@@ -110,6 +111,45 @@ def test_token_ids_keep_whole_rows(spark, large, request):
     assert all(r["attention_mask"] == [1] * len(r["input_ids"]) for r in ids)
 
 
+def test_sketched_vocabulary_is_the_counted_one(spark):
+    rng = random.Random(4)
+    names = [f"t{k}" for k in range(400)]
+    rows = [(k, " ".join(rng.choices(names, [1 / (j + 1) for j in range(400)], k=60))) for k in range(300)]
+    df = spark.createDataFrame(rows, "k bigint, text string")
+    want = sorted(vocabulary.build_vocabulary(df, "text", 10).collect())
+    assert vocabulary.frequent_counts(df, "text", 10, 5000) is not None
+    assert sorted(vocabulary.build_vocabulary(df, "text", 10, tracked=5000).collect()) == want
+    # A small sketch, more tokens than there are, or ties prove nothing; then every token is counted.
+    ties = spark.createDataFrame([(k, f"a{k} b{k}") for k in range(50)], "k bigint, text string")
+    for rows, size, tracked in ((df, 10, 16), (df, 500, 5000), (df, 300, 5000), (ties, 7, 20), (df.limit(0), 3, 100)):
+        assert vocabulary.frequent_counts(rows, "text", size, tracked) is None or size == 300
+        got = vocabulary.build_vocabulary(rows, "text", size, tracked=tracked).collect()
+        assert sorted(got) == sorted(vocabulary.build_vocabulary(rows, "text", size).collect())
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_padded_batches_in_one_shuffle(spark, large, request):
+    if large:
+        request.getfixturevalue("tiny_limits")
+    df = _frame(spark, _texts(21) + [(100, "", 0), (101, None, 0)])
+    vocab = materialise(vocabulary.build_vocabulary(df, "text", 6))
+    ids = vocabulary.token_ids(df, "k", "text", vocab, max_length=9)
+    want = vocabulary.pad_batches(vocabulary.mini_batches(ids, "k", 8)).select("k", "batch_id", "input_ids", "attention_mask")
+    got = vocabulary.padded_batches(df, "k", "text", vocab, 8, max_length=9)
+    with_text = {r["k"] for r in ids.collect()}
+    batch_of = {r["k"]: r["batch_id"] for r in vocabulary.mini_batches(df.select("k"), "k", 8).collect()}
+    rows = got.collect()
+    assert {r["k"] for r in rows} == with_text and all(r["batch_id"] == batch_of[r["k"]] for r in rows)
+    if len(with_text) == df.count():
+        assert sorted(map(tuple, rows)) == sorted(map(tuple, want.collect()))
+    plain = {r["k"]: (r["input_ids"], r["attention_mask"]) for r in ids.collect()}
+    longest = {b: max(len(plain[r["k"]][0]) for r in rows if r["batch_id"] == b) for b in set(batch_of.values())}
+    for r in rows:
+        own, mask = plain[r["k"]]
+        gap = longest[r["batch_id"]] - len(own)
+        assert r["input_ids"] == own + [0] * gap and r["attention_mask"] == mask + [0] * gap
+
+
 def test_batches_are_padded_to_their_longest(spark):
     df = _frame(spark, _texts(21))
     ids = vocabulary.token_ids(df, "k", "text", vocabulary.build_vocabulary(df, "text", 50))

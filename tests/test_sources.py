@@ -19,12 +19,35 @@ def test_review_lines(spark, tmp_path):
     ]
     with gzip.open(tmp_path / "reviews.json.gz", "wt") as out:
         out.write("\n".join(lines))
-    rows = reviews.read_reviews(spark, str(tmp_path / "reviews.json.gz"), partitions=3).collect()
+    rows = reviews.read_reviews(spark, str(tmp_path / "reviews.json.gz"), partitions=3, literals=False).collect()
     good = sorted((r["reviewText"] or "", r["overall"]) for r in rows if r["_corrupt_record"] is None)
     assert good == [("", 2.0), ("good", 5.0), ("it's fine", 3.0)]
     assert [r["_corrupt_record"] for r in rows if r["_corrupt_record"]] == [lines[2]]
 
 
+def test_literal_review_lines(spark, tmp_path):
+    marker = tmp_path / "evaluated"
+    lines = [
+        "{'reviewText': None, 'overall': 1, 'helpful': [1, 2]}", "{'reviewText': \"it's None, 'x': True\", 'verified': True, 'overall': 4.0}",
+        '{"reviewText": "json", "overall": 5.0}', "{'reviewText': u'caf\\xe9', 'helpful': (3, 4), 'summary': 'a' 'b', 'extra': None}",
+        "{'reviewText': open('" + str(marker) + "', 'w')}", "{'reviewText': None", "[None, 1]", "{'overall': None, 'x': {None: 1}}",
+        "(" * 300 + ")" * 300, "{'unixReviewTime': 1400000000, 'reviewText': None}", "nonsense",
+    ]
+    (tmp_path / "in").mkdir()
+    for part in range(2):
+        (tmp_path / "in" / f"{part}.json").write_text("\n".join(lines[part::2]))
+    read = reviews.read_reviews(spark, str(tmp_path / "in"))
+    rows = read.collect()
+    good = [(r["reviewText"] or "", r["overall"], r["helpful"], r["summary"], r["unixReviewTime"]) for r in rows if r["_corrupt_record"] is None]
+    want = [
+        ("", None, None, None, None), ("", None, None, None, 1400000000), ("", 1.0, [1, 2], None, None), ("caf\xe9", None, [3, 4], "ab", None),
+        ("it's None, 'x': True", 4.0, None, None, None), ("json", 5.0, None, None, None),
+    ]
+    assert sorted(map(str, good)) == sorted(map(str, want))
+    assert sorted(r["_corrupt_record"] for r in rows if r["_corrupt_record"]) == sorted([lines[4], lines[5], lines[6], lines[8], lines[10]])
+    assert tuple(reviews.line_counts(read).first()) == (11, 5) and not marker.exists()
+
+
 def test_csv_keeps_every_text(spark, tmp_path):
     texts = ['say "hi"', "a\nb", "a\r\nb", "x,y", "back\\", "back\\\"q", "NA", "", None, "  pad  ", "\\N?", '"', "\t"]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
