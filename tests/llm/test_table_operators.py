@@ -3,6 +3,7 @@
 import sys
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -124,7 +125,7 @@ def test_every_operator_has_a_query():
 
 
 def test_pipeline(spark, odd_documents, tmp_path):
-    sys.path.insert(0, ".")
+    sys.path.insert(0, str(Path(__file__).parents[2]))
     import corpus_pipeline
 
     odd_documents.write.parquet(str(tmp_path / "documents.parquet"))
@@ -141,7 +142,7 @@ def test_pipeline(spark, odd_documents, tmp_path):
 
 
 def test_pipeline_against_brute_force(spark, odd_documents, tmp_path):
-    sys.path.insert(0, ".")
+    sys.path.insert(0, str(Path(__file__).parents[2]))
     import corpus_pipeline
     from tests.llm.test_text_operators import brute_components, library_ids
 
