@@ -33,18 +33,34 @@ class NaiveBayes:
     vocabulary: int
     alpha: float = 1.0
     uniform_prior: bool = False
+    gains: DataFrame | None = None
 
     @property
     def n_docs(self) -> int:
         return sum(c[1] for c in self.classes)
 
     def with_alpha(self, alpha: float) -> NaiveBayes:
-        return replace(self, alpha=alpha)
+        return replace(self, alpha=alpha, gains=None)
 
     def configured(self, trial: Mapping) -> NaiveBayes:
         """This model with a trial's ``alpha``, ``vocab_size`` (0 for all tokens) and ``uniform_prior``."""
         model = _limited(self, trial["vocab_size"]) if trial["vocab_size"] else self
-        return replace(model, alpha=trial["alpha"], uniform_prior=bool(trial["uniform_prior"]))
+        return replace(model, alpha=trial["alpha"], uniform_prior=bool(trial["uniform_prior"]), gains=None)
+
+    def prepared(self) -> NaiveBayes:
+        """This model with the gains of its tokens stored, for several predictions.
+
+        A gain is what an occurrence of the token adds to a class's score over the default; there is one a class.
+        """
+        if self.gains is not None:
+            return self
+        gains = F.transform(
+            F.array(*[F.lit(idx) for idx, _, _ in self.classes]),
+            lambda idx: F.log1p(
+                F.coalesce(F.get(F.filter("seen", lambda e: e["idx"] == idx), F.lit(0))["cnt"], F.lit(0)) / F.lit(self.alpha)
+            ),
+        )
+        return replace(self, gains=materialise(self.tokens.select("token", "n", gains.alias("gains"))))
 
     def class_table(self) -> DataFrame:
         """(idx, prior, default_logp): class prior, and the score of a token unseen in the class."""
@@ -133,15 +149,7 @@ def predict(
     sums, one a class, are nearly complete before the one exchange.
     """
     columns = [key, *carried]
-    # The gains of a token over the default, by class: computed once a token, not once an occurrence.
-    gains = F.transform(
-        F.array(*[F.lit(idx) for idx, _, _ in model.classes]),
-        lambda idx: F.log1p(
-            F.coalesce(F.get(F.filter("seen", lambda e: e["idx"] == idx), F.lit(0))["cnt"], F.lit(0)) / F.lit(model.alpha)
-        ),
-    )
-    tokens = materialise(model.tokens.select("token", "n", gains.alias("gains")))
-    met = _matched(docs.select(*columns, text), columns, text, tokens)
+    met = _matched(docs.select(*columns, text), columns, text, model.prepared().gains)
     sums = [F.sum(F.col("gains")[place]).alias(f"__gain_{place}") for place in range(len(model.classes))]
     per_doc = met.groupBy(*columns).agg(F.count("gains").alias("__known"), *sums)
     n = model.n_docs
@@ -177,7 +185,7 @@ def _limited(model: NaiveBayes, size: int) -> NaiveBayes:
     entries = tokens.select(F.explode("seen").alias("e")).select("e.*")
     totals = {row["idx"]: row["n"] for row in entries.groupBy("idx").agg(F.sum("cnt").alias("n")).collect()}
     classes = [(idx, docs, totals.get(idx, 0)) for idx, docs, _ in model.classes]
-    return replace(model, tokens=tokens, classes=classes, vocabulary=min(size, model.vocabulary))
+    return replace(model, tokens=tokens, classes=classes, vocabulary=min(size, model.vocabulary), gains=None)
 
 
 def trial_counts(

@@ -14,16 +14,7 @@ from reviewloom.plans.storage import materialise
 
 # The learning rates searched by default; the repeated one has double weight.
 LEARNING_RATES = (5.5e-5, 5e-5, 4.5e-5, 4e-5, 5.5e-5, 6e-5, 3.5e-5, 6.5e-5)
-DEFAULT_SPACE = {
-    "batch_size": (8,),
-    "no_epochs": (4,),
-    "learning_rate": LEARNING_RATES,
-    "warmup_steps": (0,),
-    "weight_decay": (0.0,),
-    "adam_beta1": (0.9,),
-    "adam_beta2": (0.999,),
-    "adam_epsilon": (1e-8,),
-}
+DEFAULT_SPACE = {"learning_rate": LEARNING_RATES}
 MAX_TRIALS = 20
 MAX_CONCURRENT = 3
 

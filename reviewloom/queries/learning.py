@@ -156,7 +156,7 @@ def _logged_sql(part):
 def test_model(spark, sf_dir):
     """Predicts the training rows and the test rows and logs the metrics of both, under their prefixes."""
     split = _split_texts(spark, sf_dir, _split(spark, sf_dir))
-    model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label")
+    model = bayes.train(_part(spark, sf_dir, split, "train"), "text", "label").prepared()
     path = scratch_path(spark, "metrics")
     for part in ("train", "test"):
         judged = bayes.predict(_part(spark, sf_dir, split, part), "doc_id", "text", model, ["label"])
@@ -396,6 +396,7 @@ def promotion_replies(spark, sf_dir):
     fitted on other data would, and cannot answer every text.
     """
     model, label_map = trained_on_labels(spark, sf_dir)
+    model = model.prepared()
     sent = materialise(parse_requests(requests(spark, sf_dir)))
     maps = {"whole": label_map, "partial": label_map.filter("idx = 0")}
     tried = None

@@ -51,6 +51,7 @@ def stream_scores(
     """Scores every request on arrival; the model is trained once, before the stream starts."""
     label_type = label_map.schema["label"].dataType.simpleString()
     schema = StructType.fromDDL(f"request_id bigint, pos int, prediction {label_type}")
+    model = model.prepared()
     return run_available(
         requests, "scores", schema, "append",
         lambda batch: score_requests(batch, model, label_map),
