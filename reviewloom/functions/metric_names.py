@@ -22,6 +22,11 @@ def logged_value(text: Column) -> Column:
     return text.try_cast("double")
 
 
+def first_number(text: Column) -> Column:
+    """A metric logged as text: its number, or the first one of a list of numbers; null if it is neither."""
+    return F.coalesce(logged_value(text), F.get(F.from_json(text, "array<double>"), F.lit(0)))
+
+
 def usable(value: Column) -> Column:
     return value.isNotNull() & ~F.isnan(value)
 

@@ -21,7 +21,14 @@ from reviewloom.queries.views import (
 )
 from reviewloom.sources.datasets import DatasetStore
 from reviewloom.sources.label_maps import load_label_map, save_label_map
-from reviewloom.sources.metric_log import append_metrics, metric_lists, metric_rows, read_metrics
+from reviewloom.sources.metric_log import (
+    append_metrics,
+    cast_metrics,
+    cast_report,
+    metric_lists,
+    metric_rows,
+    read_metrics,
+)
 from reviewloom.sources.requests import parse_requests, responses
 from reviewloom.sources.reviews import read_reviews, write_reviews
 from reviewloom.sources.splits import (
@@ -147,6 +154,27 @@ def sink_metrics_log(spark, sf_dir):
     return metric_lists(read_metrics(spark, path))
 
 
+@query(
+    "metric_text_cast",
+    f"""WITH {view_sql("v_metrics")}
+    SELECT name, count(*) AS n, count(*) FILTER (seq % 13 <> 0 AND value IS NULL) AS n_missing,
+           count(*) FILTER (seq % 13 = 0) AS n_rejected,
+           coalesce(sum(round(value * 100)::BIGINT) FILTER (seq % 13 <> 0), 0)::BIGINT AS hundredths
+    FROM v_metrics GROUP BY name""",
+)
+def metric_text_cast(spark, sf_dir):
+    """Metrics logged as text: most are numbers, some lists, some are no numbers and get counted."""
+    shown = F.col("value").cast("string")
+    text = (
+        F.when(F.col("seq") % 13 == 0, F.lit("n/a"))
+        .when(F.col("seq") % 11 == 0, F.concat(F.lit("["), shown, F.lit(", 0.5]")))
+        .otherwise(shown)
+    )
+    cast = cast_metrics(view(spark, sf_dir, "v_metrics").select("name", text.alias("value")))
+    hundredths = cast.groupBy("name").agg(F.coalesce(F.sum(F.round(F.col("value") * 100).cast("bigint")), F.lit(0)).alias("hundredths"))
+    return cast_report(cast, ["name"]).join(hundredths, "name")
+
+
 _EVENTS = ("click", "view", "purchase", "signup", "error")
 _LAST = ", ".join(
     f"max_by(value, seq) FILTER (name = 'test_{e}') AS test_{e}" for e in _EVENTS

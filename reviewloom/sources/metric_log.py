@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewloom.functions.metric_names import first_number
 from reviewloom.plans.ordering import sorted_index
 
 
@@ -35,3 +36,16 @@ def metric_rows(metrics: DataFrame, keys: Sequence[str], names: Sequence[str]) -
         *[F.max_by(F.when(F.col("name") == n, F.col("value")),
                    F.when(F.col("name") == n, F.col("seq"))).alias(n) for n in names]
     )
+
+
+def cast_metrics(logged: DataFrame, text: str = "value") -> DataFrame:
+    """Metrics that were logged as text, as numbers; ``rejected`` marks texts that hold none."""
+    value = first_number(F.col(text))
+    return logged.withColumn("rejected", F.col(text).isNotNull() & value.isNull()).withColumn(text, value)
+
+
+def cast_report(cast: DataFrame, by: Sequence[str], value: str = "value") -> DataFrame:
+    """(``by``, n, n_missing, n_rejected) of what ``cast_metrics`` gave: nothing is dropped unseen."""
+    rejected = F.count(F.when(F.col("rejected"), 1))
+    missing = F.count(F.when(F.col(value).isNull() & ~F.col("rejected"), 1))
+    return cast.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), missing.alias("n_missing"), rejected.alias("n_rejected"))

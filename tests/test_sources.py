@@ -159,3 +159,12 @@ def test_a_taken_number_is_never_written_again(spark, tmp_path):
     # A writer that died leaves a hidden file, which no reader takes for an entry.
     (tmp_path / "v" / ".left.tmp").write_text('{"a": 5')
     assert entries(spark, f"{tmp_path}/v", "a int, version int").count() == 3
+
+
+def test_metrics_logged_as_text(spark):
+    texts = ["0.5", " 2 ", "[0.25, 3]", "[]", "n/a", "", None, "1e3", "NaN", "[null]", '["x"]']
+    cast = metric_log.cast_metrics(spark.createDataFrame([("m", t) for t in texts], "name string, value string"))
+    rows = [(r["value"], r["rejected"]) for r in cast.collect()]
+    assert rows[:8] == [(0.5, False), (2.0, False), (0.25, False), (None, True), (None, True), (None, True), (None, False), (1000.0, False)]
+    assert rows[8][0] != rows[8][0] and rows[9:] == [(None, True), (None, True)]
+    assert tuple(metric_log.cast_report(cast, ["name"]).first()) == ("m", 11, 1, 5)
