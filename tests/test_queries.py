@@ -9,7 +9,7 @@ from tests.oracle import compare, connect
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Queries without SQL train iteratively.
-TRAINED = {"lr_train", "automl_leaderboard"}
+TRAINED = {"lr_train", "automl_leaderboard", "automl_languages"}
 # These take the ways for large tables: sorted places, hot keys, distributed quotas.
 LARGE_PATHS = (
     "stratified_split", "stratified_sample_n", "encode_labels", "decode_labels", "token_ids", "nb_predict",
