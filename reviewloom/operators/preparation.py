@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewloom.functions.labels import threshold_label
-from reviewloom.plans.ordering import sum_before
+from reviewloom.plans import quantiles
+from reviewloom.plans.joins import computed_once
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -64,9 +65,9 @@ def _is_float(df: DataFrame, column: str) -> bool:
 def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per numeric column.
 
-    NaN counts as missing. Quartiles are exact with linear interpolation: values are counted,
-    and the running counts over the distinct values tell which values hold the wanted ranks.
-    ``approx`` reads them from a sketch in the first pass instead.
+    NaN counts as missing. Quartiles are exact with linear interpolation: :func:`quantiles.at_ranks`
+    brackets them by a sketch of the first pass and counts single values inside the brackets only.
+    ``approx`` reads them from the sketch instead.
     """
     entries = [
         F.struct(
@@ -95,30 +96,24 @@ def describe(df: DataFrame, columns: Sequence[str], approx: bool = False) -> Dat
                 *[F.col("__q")[i].alias(name) for i, name in enumerate(names)], "max",
             )
         )
-    summary = values.groupBy("column_name").agg(*base)
     present = values.filter(F.col("value").isNotNull())
-    counted = present.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("copies"))
-    running = sum_before(counted, ["column_name"], [F.col("value")], "copies", "before")
-    # One row per described column, so the summary is as small as the column list.
-    ranked = running.join(F.broadcast(summary.select("column_name", "n")), "column_name")
-
-    def value_at(rank):
-        held = (F.col("before") <= rank) & (rank < F.col("before") + F.col("copies"))
-        return F.max(F.when(held, F.col("value")))
-
-    picks = []
-    for name, q in zip(names, QUARTILES):
-        place = F.lit(q) * (F.col("n") - 1)
-        low = F.floor(place)
-        picks += [
-            value_at(low).alias(f"{name}_low"),
-            value_at(F.least(low + 1, F.col("n") - 1)).alias(f"{name}_high"),
-        ]
-    found = ranked.groupBy("column_name").agg(*picks)
-    joined = summary.join(F.broadcast(found), "column_name", "left")
-    quantiles = []
-    for name, q in zip(names, QUARTILES):
-        place = F.lit(q) * (F.col("n") - 1)
+    sketch = quantiles.bracket_points("value", QUARTILES)
+    summary = computed_once(values.groupBy("column_name").agg(*base, sketch.alias("__points")))
+    place = {name: F.lit(q) * (F.col("n") - 1) for name, q in zip(names, QUARTILES)}
+    wanted = summary.select(
+        "column_name",
+        "__points",
+        *[F.floor(place[name]).alias(f"{name}_low") for name in names],
+        *[F.ceil(place[name]).alias(f"{name}_high") for name in names],
+    )
+    ends = [f"{name}_{end}" for name in names for end in ("low", "high")]
+    found = quantiles.at_ranks(present, "column_name", "value", wanted, "__points", len(names), ends)
+    # One row per described column, so both sides are as small as the column list.
+    joined = summary.drop("__points").join(F.broadcast(found), "column_name", "left")
+    shown = []
+    for name in names:
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        quantiles.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return joined.select("column_name", "n", "mean", "std", "min", *quantiles, "max")
+        # Equal ends stay as they are, so infinite values need no difference.
+        between = low + (high - low) * (place[name] - F.floor(place[name]))
+        shown.append(F.when(low == high, low).otherwise(between).alias(name))
+    return joined.select("column_name", "n", "mean", "std", "min", *shown, "max")

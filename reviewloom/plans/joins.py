@@ -23,6 +23,12 @@ def local_copy(df: DataFrame) -> DataFrame | None:
     return df.sparkSession.createDataFrame(rows, df.schema)
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """``df`` computed once: as a local relation while it is small, else as a stored table."""
+    local = local_copy(df)
+    return materialise(df) if local is None else local
+
+
 def fits_broadcast(stored: DataFrame) -> bool:
     """Size check for a stored table: its rows, and if they are few enough their written length."""
     if stored.count() > limits.BROADCAST_ROWS:

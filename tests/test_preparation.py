@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.labels import argmax, cross_entropy
 from reviewloom.functions.metric_names import logged_value
 from reviewloom.operators import encoding, preparation
+from reviewloom.plans import quantiles
 
 NAN = float("nan")
 
@@ -109,3 +110,43 @@ def test_describe_keeps_columns_without_values(spark):
     rows = {r["column_name"]: r for r in preparation.describe(df, ["a", "b", "c"]).collect()}
     assert {c: r["n"] for c, r in rows.items()} == {"a": 2, "b": 0, "c": 0}
     assert rows["a"]["p50"] == 2.0 and rows["b"]["p50"] is None and rows["c"]["max"] is None
+
+
+def _exact(values):
+    return statistics.quantiles(values, n=4, method="inclusive")
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 10, 999, 4001])
+def test_quartiles_of_any_size(spark, n):
+    values = [float((i * 7919) % 1009) - 300.5 for i in range(n)]
+    df = spark.createDataFrame([(v, -v) for v in values], "x double, y double").repartition(3)
+    rows = {r["column_name"]: r for r in preparation.describe(df, ["x", "y"]).collect()}
+    exact = _exact(values) if n > 1 else values * 3
+    assert [rows["x"][p] for p in ("p25", "p50", "p75")] == pytest.approx(exact)
+    assert [rows["y"][p] for p in ("p25", "p50", "p75")] == pytest.approx([-v for v in reversed(exact)])
+
+
+def test_quartiles_at_infinite_values(spark):
+    values = [float("-inf")] * 3 + [1.0, 2.0, 3.0] + [float("inf")] * 3
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    row = preparation.describe(df, ["x"]).first()
+    assert [row["p25"], row["p50"], row["p75"]] == [float("-inf"), 2.0, float("inf")]
+
+
+@pytest.mark.parametrize("spread, accuracy", [(0.0, 10), (0.0, 1), (0.2, 10_000)])
+def test_quartiles_without_a_proof_are_counted_again(spark, monkeypatch, spread, accuracy):
+    monkeypatch.setattr(quantiles, "SPREAD", spread)
+    monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+    df = spark.range(2000).select(((F.col("id") * 37) % 2003).cast("double").alias("x"))
+    row = preparation.describe(df, ["x"]).first()
+    values = [float(i * 37 % 2003) for i in range(2000)]
+    assert [row["p25"], row["p50"], row["p75"]] == pytest.approx(_exact(values))
+
+
+def test_only_bracketed_values_are_counted_one_by_one(spark):
+    values = spark.range(100_000).select(F.lit("x").alias("c"), F.col("id").cast("double").alias("v"))
+    bracketed = values.withColumn("__low0", F.lit(499.0)).withColumn("__high0", F.lit(502.0))
+    rows = quantiles._counted(bracketed, "c", "v", 1).collect()
+    inside = {r["v"]: r["__copies"] for r in rows if r["__inside"]}
+    assert inside == {499.0: 1, 500.0: 1, 501.0: 1, 502.0: 1}
+    assert sorted(r["__copies"] for r in rows if not r["__inside"]) == [499, 99_497]
