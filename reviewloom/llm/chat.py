@@ -1,7 +1,7 @@
 r"""Chat formatting as a relational job: Spark expressions only.
 
-The turns of a conversation are collected as structs and sorted; neighbours of the same role share one header;
-the text is one concatenation. Layout, per run of turns of one role::
+The turns of a conversation are collected as structs and sorted; neighbours of the same role are merged into runs,
+each with one header and the array of its texts; the text is one concatenation of the runs. Layout, per run of turns of one role::
 
     ### Role:
     text</turn>text</turn>
@@ -48,6 +48,35 @@ def _read_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\n"), F.lit("\n")))
 
 
+def _runs(turns: Column) -> Column:
+    """Neighbours of the same role merged: an array of (role, texts), from one slice a run."""
+    places = F.sequence(F.lit(0), F.size(turns) - 1)
+    first = F.filter(places, lambda i: (i == 0) | (F.get(turns, i - 1)["role"] != F.get(turns, i)["role"]))
+    # The end of a run is the start of the next, or the end of the turns.
+    bounds = F.arrays_zip(first.alias("start"), F.concat(F.slice(first, 2, F.size(turns)), F.array(F.size(turns))).alias("end"))
+
+    def merged(bound: Column) -> Column:
+        run = F.slice(turns, bound["start"] + 1, bound["end"] - bound["start"])
+        texts = F.transform(run, lambda t: t["text"])
+        return F.struct(F.get(run, F.lit(0))["role"].alias("role"), texts.alias("texts"))
+
+    return F.transform(bounds, merged)
+
+
+def _run_segments(run: Column) -> Column:
+    """(text, loss) pieces of a merged run: its header once, then every text with its end mark."""
+
+    def piece(text: Column, loss: Column) -> Column:
+        return F.struct(text.alias("text"), loss.alias("loss"))
+
+    header = F.concat(F.lit(HEADER), _role(run["role"]), F.lit(":\n"))
+    marked = F.transform(
+        run["texts"],
+        lambda t: F.array(piece(escape(t), run["role"] == LOSS_ROLE), piece(F.lit(TURN_END), F.lit(False))),
+    )
+    return F.concat(F.array(piece(header, F.lit(False))), F.flatten(marked))
+
+
 def format_conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, segments, formatted) of each conversation in ``turns`` (conv_id, turn, role, text).
 
@@ -59,18 +88,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list("t")).alias("turns")
     )
 
-    def segment(t: Column, i: Column) -> Column:
-        before = F.get(F.col("turns"), i - 1)["role"]
-        header = F.concat(F.lit(HEADER), _role(t["role"]), F.lit(":\n"))
-        headed = F.when(before.eqNullSafe(t["role"]), empty).otherwise(header)
-        loss = t["role"] == LOSS_ROLE
-        return F.array(
-            F.struct(headed.alias("text"), F.lit(False).alias("loss")),
-            F.struct(escape(t["text"]).alias("text"), loss.alias("loss")),
-            F.struct(F.lit(TURN_END).alias("text"), F.lit(False).alias("loss")),
-        )
-
-    segments = F.filter(F.flatten(F.transform("turns", segment)), lambda s: s["text"] != "")
+    texts = F.transform(_runs(F.col("turns")), _run_segments)
+    segments = F.filter(F.flatten(texts), lambda s: s["text"] != "")
     return sorted_turns.select("conv_id", segments.alias("segments")).withColumn(
         "formatted", F.array_join(F.transform("segments", lambda s: s["text"]), "")
     )
