@@ -10,6 +10,9 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewloom.operators.centroid_blocks import predict_in_blocks
+from reviewloom.plans.joins import small_rows
+
 
 def fit_centroids(df: DataFrame, vector: str, label: str) -> DataFrame:
     """(label, centroid): one mean vector per class, as partial sums per task."""
@@ -25,12 +28,16 @@ def predict_centroid(
 ) -> DataFrame:
     """Adds the class of the nearest centroid and the squared distance; ties go to the smaller label.
 
-    The model is one vector per class, held by every task; rows are compared in Arrow batches, so
-    the table is neither joined nor shuffled.
+    The model is one vector per class, held by every task while there are few; rows are then compared
+    in Arrow batches, so the table is neither joined nor shuffled. More classes than the driver should
+    hold give the same result by :func:`centroid_blocks.predict_in_blocks`.
     """
     import numpy as np
 
-    model = sorted((row["label"], row["centroid"]) for row in centroids.collect())
+    rows = small_rows(centroids)
+    if rows is None:
+        return predict_in_blocks(df, vector, centroids, carried)
+    model = sorted((row["label"], row["centroid"]) for row in rows)
     labels = np.array([m[0] for m in model])
     means = np.array([m[1] for m in model], dtype="float64")
     label_type = centroids.schema["label"].dataType.simpleString()

@@ -3,14 +3,17 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.classification import NaiveBayes as LibraryBayes
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import functions as F
 
 from reviewloom.functions.tokens import words
-from reviewloom.operators import bayes, centroids, sweep, vocabulary
+from reviewloom.operators import bayes, centroid_blocks, centroids, sweep, vocabulary
 from reviewloom.operators.scoring import map_text
+from reviewloom.plans import limits
 from reviewloom.plans.storage import materialise
 
 WORDS = ["good", "bad", "fine", "poor", "the", "a", "!", "café", "naïve", "x1"]
@@ -178,6 +181,34 @@ def test_nearest_centroid(spark):
     assert {r["k"]: r["pred"] for r in got.collect()} == {1: 0, 2: 0, 3: 1}
 
 
+@pytest.mark.parametrize("spread", [0.05, 3.0])
+def test_nearest_centroid_in_blocks_equals_the_one_copy(spark, monkeypatch, spread):
+    generator = np.random.default_rng(3)
+    centres = generator.normal(size=(20, 6))
+    means = np.vstack([centres[i % 20] + spread * generator.normal(size=6) for i in range(900)])
+    means[7] = means[450]  # a tie between two labels
+    points = np.vstack([means[generator.integers(900, size=300)] + 0.01, means[[7] * 400]])
+    model = spark.createDataFrame([(f"c{i:04d}", m.tolist()) for i, m in enumerate(means)], "label string, centroid array<double>")
+    rows = spark.createDataFrame([(i, i % 3, p.tolist()) for i, p in enumerate(points)], "k long, pred_in int, v array<double>")
+    whole = centroids.predict_centroid(rows, "v", model, ["k", "pred_in"]).orderBy("k").collect()
+    for name, value in (("BLOCK_ROWS", 16), ("PIVOTS", 8), ("BATCH_ROWS", 32), ("BATCHES_A_TASK", 2)):
+        monkeypatch.setattr(centroid_blocks, name, value)
+    monkeypatch.setattr(limits, "SMALL_ROWS", 100)
+    got = centroids.predict_centroid(rows, "v", model, ["k", "pred_in"]).orderBy("k").collect()
+    assert got == whole
+    assert {r["pred"] for r in got[300:]} == {"c0007"}
+    brute = [((points[i] - means) ** 2).sum(axis=1).argmin() for i in range(len(points))]
+    assert [r["pred"] for r in got] == [f"c{i:04d}" for i in brute]
+
+
+def test_blocks_away_from_a_row_are_not_visited(spark, monkeypatch):
+    monkeypatch.setattr(centroid_blocks, "BLOCK_ROWS", 4)
+    known = pd.DataFrame([(0, 0, 0.0, 1.0), (256, 0, 5.0, 9.0), (1, 1, 0.0, 2.0)], columns=["block", "pivot", "near", "far"])
+    rows = spark.createDataFrame([(0, [0.5, 0.0]), (1, [99.0, 0.0])], "__row long, v array<double>")
+    visits = centroid_blocks._visits(rows, "v", np.array([[0.0, 0.0], [100.0, 0.0]]), known).collect()
+    assert {(v["block"], i) for v in visits for i in np.frombuffer(v["ids"], "int64")} == {(0, 0), (1, 1)}
+
+
 def test_user_function_over_batches(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     got = map_text(df, lambda frame: frame.assign(double=frame["k"] * 2), "k bigint, double bigint")
