@@ -7,15 +7,17 @@ Arrow batch at once from the classes of its characters.
 
 from __future__ import annotations
 
+import struct
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 LETTER, DIGIT, SPACE, OTHER = 0, 1, 2, 3
 CONTRACTIONS = (b"'s", b"'t", b"'re", b"'ve", b"'m", b"'ll", b"'d")
 CACHED_PIECES = 200_000
-# Documents are split together up to so many bytes, which stay in a core's own cache.
-CHUNK_BYTES = 1 << 18
+# Documents are split together up to so many bytes.
+CHUNK_BYTES = 1 << 20
 
 
 @lru_cache(1)
@@ -99,25 +101,47 @@ def encode_batch(data: np.ndarray, offsets: np.ndarray, ids_of) -> list[np.ndarr
 
 def _encode(data: np.ndarray, offsets: np.ndarray, ids_of) -> list[np.ndarray]:
     starts = piece_starts(data, offsets)
-    text = data.tobytes()
-    cuts = starts.tolist()
-    pieces = [text[a:b] for a, b in zip(cuts, cuts[1:] + [len(text)])]
-    parts = list(map(ids_of.__getitem__, pieces))
-    at = np.searchsorted(starts, offsets).tolist()
-    return [np.frombuffer(b"".join(parts[a:b]), "<u4") for a, b in zip(at, at[1:])]
+    if not len(starts):
+        return [np.zeros(0, "<u4")] * (len(offsets) - 1)
+    # Arrow numbers equal pieces, so that each is looked up once and the ids are gathered by number.
+    bounds = np.append(starts, len(data)).astype(np.int32)
+    pieces = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+    coded = pieces.dictionary_encode()
+    number = coded.indices.to_numpy()
+    parts = list(map(ids_of.__getitem__, coded.dictionary.to_pylist()))
+    known = np.frombuffer(b"".join(parts), "<u4")
+    sizes = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
+    firsts = np.cumsum(sizes, dtype=np.int32) - sizes
+    many = sizes[number]
+    ends = np.append(0, np.cumsum(many))
+    place = np.repeat(firsts[number] - ends[:-1], many)
+    place += np.arange(len(place))
+    ids = known[place]
+    cuts = ends[np.searchsorted(starts, offsets)].tolist()
+    return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 class PieceCache(dict):
-    """Ids by piece; ``encode`` is asked once for each piece, and the cache is emptied when full."""
+    """Ids by piece; ``encode`` is asked for a piece that is not there.
+
+    When half full the pieces become the older half, in place of the one before; a piece found there is kept again,
+    so common pieces stay.
+    """
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, piece: bytes) -> bytes:
-        if len(self) >= CACHED_PIECES:
+        if len(self) >= CACHED_PIECES // 2:
+            self.older = dict(self)
             self.clear()
-        ids = self[piece] = np.array(self.encode(piece), "<u4").tobytes()
+        ids = self.older.pop(piece, None)
+        if ids is None:
+            found = self.encode(piece)
+            ids = struct.pack(f"<{len(found)}I", *found)
+        self[piece] = ids
         return ids
 
 

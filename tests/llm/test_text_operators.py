@@ -452,3 +452,32 @@ def test_lookup_agrees_with_the_model_word_by_word(spark, monkeypatch):
     monkeypatch.setattr(language_id, "CACHED_WORDS", 60)
     again = language_id._Judge(lookup).judge(texts)
     assert whole[0] == again[0] and np.allclose(whole[1], again[1])
+
+
+def test_piece_cache_keeps_common_pieces(monkeypatch):
+    from reviewloom.llm import pieces
+
+    monkeypatch.setattr(pieces, "CACHED_PIECES", 8)
+    asked = Counter()
+
+    def encode(piece):
+        asked[piece] += 1
+        return [len(piece), 7]
+
+    cache = pieces.PieceCache(encode)
+    for k in range(40):
+        assert cache[b"common"] == np.array([6, 7], "<u4").tobytes()
+        assert cache[b"rare%d" % k] == np.array([len(b"rare%d" % k), 7], "<u4").tobytes()
+        assert len(cache) + len(cache.older) <= 9
+    assert asked[b"common"] == 1
+    # Equal pieces of a batch are looked up once.
+    class Looked(dict):
+        times = 0
+
+        def __getitem__(self, piece):
+            Looked.times += 1
+            return np.array([len(piece)], "<u4").tobytes()
+
+    text = b"and so and so and so"
+    found = pieces.encode_batch(np.frombuffer(text + text, np.uint8), np.array([0, 0, len(text), 2 * len(text), 2 * len(text)]), Looked())
+    assert [x.tolist() for x in found] == [[], [3, 3, 4, 3, 4, 3], [3, 3, 4, 3, 4, 3], []] and Looked.times == 3
