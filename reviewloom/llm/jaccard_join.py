@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import lists
+from reviewloom.llm.columns import give_back, lists, slices
 from reviewloom.llm.components import components
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.suffix_dedup import compressed
@@ -57,6 +57,8 @@ FOLDED_BYTES = 512
 BLOCK_MEMBERS = 32
 _KEYS = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 _CHUNK_BYTES = 1 << 17
+# So many rows of a batch are Python objects at a time.
+ROWS_AT_ONCE = 512
 
 
 def shingle_sets(texts: list[bytes | None]) -> Iterator[np.ndarray]:
@@ -148,20 +150,24 @@ def profiles(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n, digest (of the set), keys (least hashes), bitmap; and rows (h, df) of counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
-            rows: list[tuple] = []
             every: list[np.ndarray] = []
             seen: set[bytes] = set()
-            for elements in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist()):
-                digest = xxhash.xxh3_128_digest(elements.tobytes())
-                keys = [int(mix(elements * k).min().view(np.int64)) for k in _KEYS] if len(elements) else []
-                rows.append((len(elements), digest, keys, parity_bitmap(elements)))
-                if digest not in seen:
-                    seen.add(digest)
-                    every.append(elements)
-            n, digests, keys, bitmaps = zip(*rows) if rows else ((),) * 4
-            yield _profile_batch(batch.column(0), n, digests, keys, bitmaps, None, None)
-            flat = np.sort(np.concatenate(every)) if every else np.zeros(0, np.uint64)
+            for part in slices(batch, ROWS_AT_ONCE):
+                rows: list[tuple] = []
+                for elements in shingle_sets(part.column(1).cast(pa.binary()).to_pylist()):
+                    digest = xxhash.xxh3_128_digest(elements.tobytes())
+                    keys = [int(mix(elements * k).min().view(np.int64)) for k in _KEYS] if len(elements) else []
+                    rows.append((len(elements), digest, keys, parity_bitmap(elements)))
+                    if digest not in seen:
+                        seen.add(digest)
+                        every.append(elements)
+                n, digests, keys, bitmaps = zip(*rows)
+                yield _profile_batch(part.column(0), n, digests, keys, bitmaps, None, None)
+            flat = np.concatenate(every) if every else np.zeros(0, np.uint64)
+            every.clear()
+            flat.sort()
             starts = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
             counts = np.diff(np.append(starts, len(flat)))
             common = counts >= COMMON_IN_BATCH
@@ -207,7 +213,8 @@ def _bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs with low, a lower bound of the sets' difference, and most, what linked sets may differ by."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        give_back()
+        for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             x, y = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
             n, m = batch.column(len(names) + 2).to_pylist(), batch.column(len(names) + 3).to_pylist()
             low = [least_difference(a, b) for a, b in zip(x, y)]
@@ -229,10 +236,11 @@ def compare(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, differ, linked) of pairs of doc ids, from their whole texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         import zstandard
 
         unpacker = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             sets: dict[int, np.ndarray] = {}
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             packed = dict(zip(a, batch.column(2).to_pylist())) | dict(zip(b, batch.column(3).to_pylist()))
@@ -269,8 +277,9 @@ def prefixes(docs: DataFrame, common: list[tuple[int, int]]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((known[:, 0].copy(), known[:, 1].copy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         often, counts = shared.value
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             n, bodies = [], []
             for elements in shingle_sets(batch.column(1).cast(pa.binary()).to_pylist()):
                 size = int(prefix_size(np.int64(len(elements)))) if len(elements) else 0
@@ -298,6 +307,7 @@ def index_entries(indexed: DataFrame) -> DataFrame:
     """(entry, leader, part) for each indexing element of each set (leader, n, elements, part)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             n = batch.column(1).to_numpy(zero_copy_only=False)
             rows = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
@@ -419,6 +429,7 @@ def neighbour_pairs(entries: DataFrame) -> DataFrame:
     """(a, b) of leaders of different parts that are neighbours in a list and that their sizes let link."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        give_back()
         for batch in _whole_lists(batches, 24):
             element, leaders, *rest = list_members(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
             yield _joined([distinct_pairs(leaders[i], leaders[j]) for i, j in close_places(element, *rest, nearest=True)])
@@ -434,6 +445,7 @@ def meeting_members(entries: DataFrame) -> DataFrame:
     """(element, leader, part, low, high, place) of the members of lists that are close to one of another part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         names = ["element", "leader", "part", "low", "high", "place"]
         for batch in _whole_lists(batches, 24):
             members = list_members(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
@@ -449,6 +461,7 @@ def _folded_bitmaps(rows: DataFrame) -> DataFrame:
     """``rows`` (a key, bitmap, more columns) with the bitmaps folded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             bitmaps = pa.array([folded(b) for b in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), bitmaps, *batch.columns[2:]], names=batch.schema.names)
@@ -464,6 +477,7 @@ def family_pairs(members: DataFrame, families: DataFrame) -> DataFrame:
     """
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        give_back()
         for batch in _whole_lists(batches, 0):
             element, low, leaders, parts, high, place, spread, largest = (
                 c.to_numpy(zero_copy_only=False) for c in batch.columns[:8]
@@ -592,6 +606,7 @@ def member_pairs(apart: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFram
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             found = []
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -687,6 +702,7 @@ def block_pairs(blocks: DataFrame) -> DataFrame:
     """(a, b), distinct, of members of one list that sizes and places let link; see ``list_blocks``."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        give_back()
         for batch in batches:
             sides = [batch.column(k) for k in (0, 1)]
             starts = [c.offsets.to_numpy().astype(np.int64) for c in sides]

@@ -481,3 +481,21 @@ def test_piece_cache_keeps_common_pieces(monkeypatch):
     text = b"and so and so and so"
     found = pieces.encode_batch(np.frombuffer(text + text, np.uint8), np.array([0, 0, len(text), 2 * len(text), 2 * len(text)]), Looked())
     assert [x.tolist() for x in found] == [[], [3, 3, 4, 3, 4, 3], [3, 3, 4, 3, 4, 3], []] and Looked.times == 3
+
+
+def test_profiles_hold_few_rows_at_a_time(spark, monkeypatch):
+    """A batch of Spark's size is read in parts, each its own batch of profiles."""
+    sizes = []
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(1500), pa.int64()), pa.array([f"a b c d e f{k % 700}" for k in range(1500)])], names=["doc_id", "text"])]
+
+    class Docs:
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return [b for b in run(iter(batches))]
+
+    for batch in jaccard_join.profiles(Docs()):
+        if batch.column("n").null_count == 0:
+            sizes.append(batch.num_rows)
+    assert sum(sizes) == 1500 and max(sizes) <= 512
