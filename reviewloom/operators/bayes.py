@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from reviewloom.functions.labels import argmax
 from reviewloom.functions.tokens import words
 from reviewloom.operators.classification import MetricRegistry, auc_hard, confusion
-from reviewloom.plans.joins import frequency_join
+from reviewloom.plans.joins import common_and_rare, frequency_join, skew_join
 from reviewloom.plans.storage import materialise
 
 
@@ -96,22 +96,19 @@ def train(df: DataFrame, text: str, label: str, alpha: float = 1.0) -> NaiveBaye
         F.count("token").alias("cnt"),
         F.count(F.when(F.coalesce("pos", F.lit(0)) == 0, 1)).alias("docs"),
     )
-    stored = materialise(
-        counts.groupBy("token").agg(
-            F.sum("cnt").alias("n"),
-            F.sort_array(F.collect_list(F.struct("idx", "cnt"))).alias("seen"),
-            F.collect_list(F.struct("idx", "docs")).alias("starts"),
-        )
-    )
-    classes: dict[int, list[int]] = {}
-    for column, field, place in (("starts", "docs", 0), ("seen", "cnt", 1)):
-        entries = stored.select(F.explode(column).alias("e")).select("e.*")
-        for row in entries.groupBy("idx").agg(F.sum(field).alias("n")).collect():
-            classes.setdefault(row["idx"], [0, 0])[place] = row["n"]
-    tokens = stored.filter(F.col("token").isNotNull()).select("token", "n", "seen")
-    return NaiveBayes(
-        tokens, [(i, *classes[i]) for i in sorted(classes)], tokens.count(), alpha
-    )
+    counts = materialise(counts)
+    totals = counts.groupBy("idx").agg(F.sum("docs").alias("docs"), F.sum("cnt").alias("cnt")).collect()
+    classes = sorted((row["idx"], row["docs"], row["cnt"]) for row in totals)
+    # A plain sum for each class keeps few numbers a token; lists of classes would be collected token by token.
+    own = [F.sum(F.when(F.col("idx") == idx, F.col("cnt"))).alias(f"__cnt_{place}") for place, (idx, _, _) in enumerate(classes)]
+    summed = counts.filter(F.col("token").isNotNull()).groupBy("token").agg(F.sum("cnt").alias("n"), *own)
+    entries = [
+        F.when(F.col(f"__cnt_{place}").isNotNull(), F.struct(F.lit(idx).alias("idx"), F.col(f"__cnt_{place}").alias("cnt")))
+        for place, (idx, _, _) in enumerate(classes)
+    ]
+    seen = F.filter(F.array(*entries).cast("array<struct<idx:int,cnt:bigint>>"), lambda e: e.isNotNull())
+    tokens = materialise(summed.select("token", "n", seen.alias("seen")))
+    return NaiveBayes(tokens, classes, tokens.count(), alpha)
 
 
 def _matched(docs: DataFrame, carried: Sequence[str], text: str, stored: DataFrame) -> DataFrame:
@@ -140,6 +137,33 @@ def _scores(model: NaiveBayes, gains: Column, known: Column, alpha: float, vocab
     )
 
 
+def _summed_gains(docs: DataFrame, columns: Sequence[str], text: str, stored: DataFrame, classes: int) -> DataFrame:
+    """(columns, __known, __gain_i): per document its known tokens, and the sum of their gains for each class.
+
+    Common tokens are summed where they are. Of a document only its distinct other tokens, with their number, are
+    stored and go through the exchange to the rare ones.
+    """
+    places = [f"__gain_{place}" for place in range(classes)]
+    sums = [F.sum(F.col("gains")[place]).alias(name) for place, name in enumerate(places)]
+    tokens = docs.select(*columns, F.explode_outer(words(F.col(text))).alias("token"))
+    common, rare = common_and_rare(stored, F.col("n"))
+    if rare is None:
+        met = tokens.join(F.broadcast(common), "token", "left")
+        return met.groupBy(*columns).agg(F.count("gains").alias("__known"), *sums)
+    tried = tokens.join(F.broadcast(common), "token", "left")
+    left = F.when(F.col("gains").isNull(), F.col("token")).alias("__left")
+    parts = materialise(
+        tried.groupBy(*columns, left).agg(F.count(F.lit(1)).alias("__times"), F.count("gains").alias("__known"), *sums)
+    )
+    rest = parts.filter(F.col("__left").isNotNull()).select(*columns, F.col("__left").alias("token"), "__times")
+    found = skew_join(rest, rare, "token").select(
+        *columns, F.col("__times").alias("__known"),
+        *[(F.col("gains")[place] * F.col("__times")).alias(name) for place, name in enumerate(places)],
+    )
+    both = parts.select(*columns, "__known", *places).unionByName(found)
+    return both.groupBy(*columns).agg(F.sum("__known").alias("__known"), *[F.sum(p).alias(p) for p in places])
+
+
 def predict(
     docs: DataFrame, key: str, text: str, model: NaiveBayes, carried: Sequence[str] = ()
 ) -> DataFrame:
@@ -149,9 +173,7 @@ def predict(
     sums, one a class, are nearly complete before the one exchange.
     """
     columns = [key, *carried]
-    met = _matched(docs.select(*columns, text), columns, text, model.prepared().gains)
-    sums = [F.sum(F.col("gains")[place]).alias(f"__gain_{place}") for place in range(len(model.classes))]
-    per_doc = met.groupBy(*columns).agg(F.count("gains").alias("__known"), *sums)
+    per_doc = _summed_gains(docs, columns, text, model.prepared().gains, len(model.classes))
     n = model.n_docs
     scores = [
         F.lit(0.0 if model.uniform_prior else math.log(docs_of / n))

@@ -70,12 +70,8 @@ def stored_lookup_join(facts: DataFrame, stored: DataFrame, on: str, how: str =
     return skew_join(facts, stored, on, how)
 
 
-def frequency_join(facts: DataFrame, stored: DataFrame, on: str, weight: Column) -> DataFrame:
-    """Left join to a stored dimension, one row per key, whose ``weight`` tells how common a key is.
-
-    The most common keys that fit the broadcast bounds meet nearly all rows where they are; only
-    the rows left over are shuffled, by :func:`skew_join`. Every row is in one of the two parts.
-    """
+def common_and_rare(stored: DataFrame, weight: Column) -> tuple[DataFrame, DataFrame | None]:
+    """The most common rows of a stored table that fit the broadcast bounds, by ``weight``, and the others if any."""
     level = F.floor(F.log2(weight))
     length = F.octet_length(F.to_json(F.struct(*stored.columns)))
     sizes = stored.groupBy(level.alias("level")).agg(
@@ -91,12 +87,21 @@ def frequency_join(facts: DataFrame, stored: DataFrame, on: str, weight: Column)
             break
         cut = size["level"]
     else:
-        return facts.join(F.broadcast(stored), on, "left")
-    if cut is None:
-        return skew_join(facts, stored, on, "left")
-    common = stored.filter(level >= cut).withColumn("__met", F.lit(True))
+        return stored, None
+    return (stored.limit(0), stored) if cut is None else (stored.filter(level >= cut), stored.filter(level < cut))
+
+
+def frequency_join(facts: DataFrame, stored: DataFrame, on: str, weight: Column) -> DataFrame:
+    """Left join to a stored dimension, one row per key, whose ``weight`` tells how common a key is.
+
+    The most common keys that fit the broadcast bounds meet nearly all rows where they are; only
+    the rows left over are shuffled, by :func:`skew_join`. Every row is in one of the two parts.
+    """
+    common, rare = common_and_rare(stored, weight)
+    if rare is None:
+        return facts.join(F.broadcast(common), on, "left")
     # Stored, as what was not met is read several times.
-    tried = materialise(facts.join(F.broadcast(common), on, "left"))
+    tried = materialise(facts.join(F.broadcast(common.withColumn("__met", F.lit(True))), on, "left"))
     met = tried.filter(F.col("__met").isNotNull()).drop("__met")
     rest = tried.filter(F.col("__met").isNull()).select(*facts.columns)
-    return met.unionByName(skew_join(rest, stored.filter(level < cut), on, "left"))
+    return met.unionByName(skew_join(rest, rare, on, "left"))

@@ -213,3 +213,24 @@ def test_user_function_over_batches(spark):
     df = spark.range(10).withColumnRenamed("id", "k")
     got = map_text(df, lambda frame: frame.assign(double=frame["k"] * 2), "k bigint, double bigint")
     assert sorted(tuple(r) for r in got.collect()) == [(i, 2 * i) for i in range(10)]
+
+
+def test_prediction_stores_no_row_a_token(spark, monkeypatch):
+    """With a vocabulary beyond the broadcast, what a prediction stores grows with documents and rare tokens only."""
+    rows = [(i, f"good good bad bad the the rare{i}", i % 2) for i in range(60)] + [(60, "new new", 0), (61, "", 1), (62, None, 1)]
+    frame = _frame(spark, rows)
+    whole = bayes.train(frame, "text", "y").prepared()
+    want = {r["k"]: r for r in bayes.predict(frame, "k", "text", whole).collect()}
+    monkeypatch.setattr(limits, "BROADCAST_ROWS", 5)
+    stored = []
+
+    def counted(df):
+        kept = materialise(df)
+        stored.append(kept.count())
+        return kept
+
+    for module in ("reviewloom.operators.bayes", "reviewloom.plans.joins"):
+        monkeypatch.setattr(f"{module}.materialise", counted)
+    got = bayes.predict(frame, "k", "text", whole).collect()
+    assert len(got) == len(rows) and all(r["scores"] == pytest.approx(want[r["k"]]["scores"]) and r["pred"] == want[r["k"]]["pred"] for r in got)
+    assert stored and max(stored) <= 2 * len(rows)
