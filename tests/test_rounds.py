@@ -91,3 +91,15 @@ def test_registered_versions(spark, tmp_path):
     assert [model_registry.append_registry(entry, path) for _ in range(2)] == [4, 5]
     rows = model_registry.read_registry(spark, path, entry.schema).orderBy("version").collect()
     assert [(r["model_name"], r["version"], r["tags"], r["metric"]) for r in rows] == [("m/1", v, {"a": "b"}, 0.5) for v in (4, 5)]
+
+
+def test_replies_by_several_maps_score_texts_once(spark, monkeypatch):
+    """The gate on two label maps reads the texts through the model once."""
+    from reviewloom.operators import bayes
+    from reviewloom.queries import queries
+
+    calls = []
+    predict = bayes.predict
+    monkeypatch.setattr(bayes, "predict", lambda *a, **k: calls.append(1) or predict(*a, **k))
+    assert queries()["promotion_replies"](spark, "/root/testdata/sf0.001").count() == 4
+    assert len(calls) == 1
