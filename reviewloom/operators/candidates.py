@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LinearSVCModel, LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -34,12 +33,6 @@ def with_balance(train: DataFrame, label: str = "label") -> DataFrame:
     return lookup_join(train, weights, label)
 
 
-def fit_features(train: DataFrame) -> PipelineModel:
-    """Hashed, weighted token counts; the width is fixed, whatever the vocabulary."""
-    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=HASH_FEATURES)
-    return Pipeline(stages=[hashed, IDF(inputCol="tf", outputCol="features")]).fit(train)
-
-
 @dataclass(frozen=True)
 class OneVsRest:
     """A binary model per class index; the score of a class is its own model's margin.
@@ -84,12 +77,17 @@ def fit_family(train: DataFrame, family: str, max_iter: int = 20, classes: int =
 
 
 def featured(train: DataFrame, judged: DataFrame, key: str, text: str, label: str):
-    """Training rows with features and weight, stored for the passes to come, and judged rows."""
-    shown = with_words(train, text, label).select("words", "label")
-    features = fit_features(shown)
-    stored = materialise(features.transform(shown).select("label", "features"))
-    others = features.transform(with_words(judged, text, label).select(key, "words", "label"))
-    return with_balance(stored), others.select(key, "label", "features")
+    """Training rows with features and weight, and judged rows.
+
+    Features are hashed, weighted token counts; the width is fixed, whatever the vocabulary. The counts of training
+    texts are stored for the passes to come, so texts are cut into words and hashed once.
+    """
+    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=HASH_FEATURES)
+    counted = materialise(hashed.transform(with_words(train, text, label).select("words", "label")).select("label", "tf"))
+    weighted = IDF(inputCol="tf", outputCol="features").fit(counted)
+    rows = weighted.transform(counted).select("label", "features")
+    others = weighted.transform(hashed.transform(with_words(judged, text, label).select(key, "words", "label")))
+    return materialise(with_balance(rows)), others.select(key, "label", "features")
 
 
 def predictions(model, rows: DataFrame, key: str) -> DataFrame:
@@ -120,7 +118,7 @@ def family_scores(train: DataFrame, judged: DataFrame, key: str, text: str, labe
         F.lit("naive_bayes").alias("family"), F.col("__idx").cast("int").alias("label"), "pred", "scores"
     )
     rows, others = featured(known, shown, key, text, "__idx")
-    rows, others = materialise(rows), materialise(others)
+    others = materialise(others)
     for family in ("lr", "lr_balanced", "svc"):
         predicted = predictions(fit_family(rows, family, classes=classes), others, key)
         together = together.unionByName(predicted.select(F.lit(family).alias("family"), "label", "pred", "scores"))

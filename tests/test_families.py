@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reviewloom.operators import candidates, classification
+from reviewloom.plans.storage import materialise
 
 OWN = {"de": "und das ist", "en": "and the is", "fr": "et le est", "es": "y el es"}
 
@@ -100,3 +101,14 @@ def test_area_of_each_class_against_the_rest(spark):
             assert abs(got[f, c]["auc"] - want[c]) < 1e-12
         assert abs(means[f]["auc_weighted"] - sum(want[c] * support[c] for c in want) / sum(support.values())) < 1e-12
         assert abs(means[f]["auc_macro"] - sum(want.values()) / len(want)) < 1e-12
+
+
+def test_texts_are_stored_as_counts_before_the_passes(spark, monkeypatch):
+    """Weights are learned from stored counts, so no pass cuts training texts into words again."""
+    kept = []
+    monkeypatch.setattr(candidates, "materialise", lambda df: kept.append(df.columns) or materialise(df))
+    rows = spark.createDataFrame([(i, f"word{i % 3} other", i % 2) for i in range(12)], "k int, text string, label int")
+    train, _ = candidates.featured(rows, rows, "k", "text", "label")
+    assert kept[0] == ["label", "tf"]
+    assert "regexp" not in train._jdf.queryExecution().optimizedPlan().toString()
+    assert train.columns == ["label", "features", "weight"] and train.count() == 12
