@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import give_back, slices, unused, utf8
+from reviewloom.llm.columns import gives_back, slices, unused, utf8
 from reviewloom.plans.storage import materialise
 
 MIN_CHUNK, CUT_BITS, MAX_CHUNK = 512, 11, 16384
@@ -67,8 +67,8 @@ def chunk_ends(cuts: np.ndarray, start: int, stop: int) -> list[int]:
 def recipes(docs: DataFrame) -> DataFrame:
     """(doc_id, text_sha256, n_bytes, chunks) of every row; a chunk is (fp, digest)."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             data, offsets = utf8(batch.column(1))
             cuts = cut_points(data) if len(data) else np.zeros(0, np.int64)

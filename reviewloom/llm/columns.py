@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,13 +38,24 @@ def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
 
 
 def give_back() -> None:
-    """Returns what earlier tasks of this worker have freed to the system, before a task takes memory of its own."""
+    """Returns what this worker has freed to the system."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def gives_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a task's function, returning freed memory before and after: workers that wait keep none of it."""
+
+    def tidy(batches: Iterator) -> Iterator:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
 def unused(name: str, taken: list[str]) -> str:
     """``name``, longer by underscores until no column in ``taken`` has it."""
     known = {c.lower() for c in taken}

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import give_back, lists, slices
+from reviewloom.llm.columns import gives_back, lists, slices
 from reviewloom.llm.components import components
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.suffix_dedup import compressed
@@ -149,8 +149,8 @@ def most_difference(n: int, m: int, percent: int = PERCENT) -> int:
 def profiles(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n, digest (of the set), keys (least hashes), bitmap; and rows (h, df) of counts."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in batches:
             every: list[np.ndarray] = []
             seen: set[bytes] = set()
@@ -212,8 +212,8 @@ def family_candidates(reps: DataFrame) -> DataFrame:
 def _bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs with low, a lower bound of the sets' difference, and most, what linked sets may differ by."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             x, y = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
             n, m = batch.column(len(names) + 2).to_pylist(), batch.column(len(names) + 3).to_pylist()
@@ -235,8 +235,8 @@ def _bounded(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def compare(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """(a, b, differ, linked) of pairs of doc ids, from their whole texts."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         import zstandard
 
         unpacker = zstandard.ZstdDecompressor()
@@ -276,8 +276,8 @@ def prefixes(docs: DataFrame, common: list[tuple[int, int]]) -> DataFrame:
     known = np.array(sorted((h & ((1 << 64) - 1), df) for h, df in common), np.uint64).reshape(-1, 2)
     shared = docs.sparkSession.sparkContext.broadcast((known[:, 0].copy(), known[:, 1].copy()))
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         often, counts = shared.value
         for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             n, bodies = [], []
@@ -306,8 +306,8 @@ _LARGE = (1 << 16) - 1
 def index_entries(indexed: DataFrame) -> DataFrame:
     """(entry, leader, part) for each indexing element of each set (leader, n, elements, part)."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in batches:
             n = batch.column(1).to_numpy(zero_copy_only=False)
             rows = [np.frombuffer(x, np.uint64) for x in batch.column(2).to_pylist()]
@@ -428,8 +428,8 @@ def _exploded(met: DataFrame) -> DataFrame:
 def neighbour_pairs(entries: DataFrame) -> DataFrame:
     """(a, b) of leaders of different parts that are neighbours in a list and that their sizes let link."""
 
+    @gives_back
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        give_back()
         for batch in _whole_lists(batches, 24):
             element, leaders, *rest = list_members(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
             yield _joined([distinct_pairs(leaders[i], leaders[j]) for i, j in close_places(element, *rest, nearest=True)])
@@ -444,8 +444,8 @@ def _by_list(entries: DataFrame) -> DataFrame:
 def meeting_members(entries: DataFrame) -> DataFrame:
     """(element, leader, part, low, high, place) of the members of lists that are close to one of another part."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         names = ["element", "leader", "part", "low", "high", "place"]
         for batch in _whole_lists(batches, 24):
             members = list_members(*(c.to_numpy(zero_copy_only=False) for c in batch.columns))
@@ -460,8 +460,8 @@ def meeting_members(entries: DataFrame) -> DataFrame:
 def _folded_bitmaps(rows: DataFrame) -> DataFrame:
     """``rows`` (a key, bitmap, more columns) with the bitmaps folded."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in batches:
             bitmaps = pa.array([folded(b) for b in batch.column(1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), bitmaps, *batch.columns[2:]], names=batch.schema.names)
@@ -476,8 +476,8 @@ def family_pairs(members: DataFrame, families: DataFrame) -> DataFrame:
     within what the largest members may differ by and both spreads.
     """
 
+    @gives_back
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        give_back()
         for batch in _whole_lists(batches, 0):
             element, low, leaders, parts, high, place, spread, largest = (
                 c.to_numpy(zero_copy_only=False) for c in batch.columns[:8]
@@ -605,8 +605,8 @@ def member_pairs(apart: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFram
     Members travel in blocks, so a large family beside many others costs a row a block and not one a pair.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in batches:
             found = []
             for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -701,8 +701,8 @@ def list_blocks(entries: DataFrame) -> DataFrame:
 def block_pairs(blocks: DataFrame) -> DataFrame:
     """(a, b), distinct, of members of one list that sizes and places let link; see ``list_blocks``."""
 
+    @gives_back
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        give_back()
         for batch in batches:
             sides = [batch.column(k) for k in (0, 1)]
             starts = [c.offsets.to_numpy().astype(np.int64) for c in sides]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewloom.llm.columns import give_back, slices, utf8
+from reviewloom.llm.columns import gives_back, slices, utf8
 from reviewloom.llm.hashes import prefix_hashes, span_hashes
 from reviewloom.plans.joins import lookup_join
 from reviewloom.plans.storage import materialise
@@ -242,8 +242,8 @@ def sample(labelled: DataFrame, per_language: int) -> DataFrame:
 
 
 def _counts(rows: DataFrame) -> DataFrame:
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             by_language: dict[str, Counter] = {}
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -332,8 +332,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Lookup(model))
     others = [c for c in docs.columns if c != "text"]
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         judge = _Judge(shared.value)
         for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             names, scores = judge.judge(batch.column(0).to_pylist())
@@ -351,8 +351,8 @@ def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(Lookup(model))
     at = docs.columns.index("text")
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         judge = _Judge(shared.value)
         for batch in (part for whole in batches for part in slices(whole, TEXTS_AT_ONCE)):
             kept = [name != UNKNOWN for name in judge.judge(batch.column(at).to_pylist())[0]]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from reviewloom.llm.columns import give_back, utf8
+from reviewloom.llm.columns import gives_back, utf8
 from reviewloom.llm.pieces import encode_batch, library_ids
 
 SEQUENCE_TOKENS = 1024
@@ -72,8 +72,8 @@ def pack_documents(
     offset. ``sequence_id`` holds the partition in its upper bits.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         cache = library_ids(tokenizer_path)
         end = np.array([end_id], "<u4")
         first = TaskContext.get().partitionId() << 36

@@ -8,9 +8,9 @@
 3. An anchor whose contexts exceed a shard is split: its windows are dealt by their place in the context, in ever
    narrower ranges, and by the bytes that all windows of the range cover, so equal windows still meet. Step 2 is
    repeated on the pieces. In the narrowest range those are the whole windows, and nothing is left to sort.
-4. The contexts of these are read from the texts and form shards by anchor, each of less than twice the bound. A
-   shard is suffix-sorted by induction with common-prefix values (``induced``): suffixes that share 100 bytes stand
-   side by side, and all but the earliest are repeats.
+4. The contexts of these are read from the texts and form shards by anchor, each of less than one and a half times
+   the bound. A shard is suffix-sorted by induction with common-prefix values (``induced``): suffixes that share 100
+   bytes stand side by side, and all but the earliest are repeats.
 5. The spans found are joined back to the documents and cut out.
 
 Equality up to step 3 is that of 64-bit hashes of the anchor or the shared bytes and of the context. Texts travel compressed.
@@ -26,13 +26,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from reviewloom.llm.columns import give_back, unused, utf8
+from reviewloom.llm.columns import gives_back, slices, unused, utf8
 from reviewloom.llm.hashes import mix, prefix_hashes, span_hashes
 from reviewloom.llm.induced import suffix_order
 from reviewloom.plans.ordering import sorted_index
@@ -46,6 +44,8 @@ SHARD_BYTES = 1 << 21
 # Anchors above that are split by ranges of so many places of the anchor in the window, one after the other.
 RANGES = (32, 8, 1)
 CONTEXTS_AT_ONCE = 1 << 13
+# So many rows of a batch are Python objects at a time.
+ROWS_AT_ONCE = 512
 SEPARATOR = 0xFF  # occurs in no UTF-8 text
 
 _PLACE_BITS = 24
@@ -102,24 +102,20 @@ def _parts(offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
 def anchors(docs: DataFrame) -> DataFrame:
     """(h, ctx, doc_id, place) of every context; ``place`` is first window, windows - 1 (7 bits), anchor (7 bits)."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        give_back()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            found: list[tuple] = []
             for row, stop, a, b in _parts(offsets):
                 inner = np.clip(offsets[row : stop + 1], a, b) - a
                 local, h, ctx, first, last, anchor = contexts(data[a:b], inner)
                 start = first + a - offsets[row:stop][local]
                 place = (start << 14) | ((last - first) << 7) | (anchor - first)
-                found.append((h.astype(np.uint64), ctx.astype(np.uint64), local + row, place))
-            if found:
-                h, ctx, rows, place = (np.concatenate(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(h.view(np.int64)),
-                        pa.array(ctx.view(np.int64)),
-                        batch.column(0).take(pa.array(rows)),
+                        pa.array(h.astype(np.uint64).view(np.int64)),
+                        pa.array(ctx.astype(np.uint64).view(np.int64)),
+                        batch.column(0).take(pa.array(local + row)),
                         pa.array(place),
                     ],
                     names=["h", "ctx", "doc_id", "place"],
@@ -139,6 +135,7 @@ def repeats(found: DataFrame) -> DataFrame:
     Reads each partition in the order of anchor, context and place, and holds one context back.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = None  # the last row, and the context that waits for the next one of its anchor
         held: tuple | None = None
@@ -195,9 +192,10 @@ def compressed(docs: DataFrame) -> DataFrame:
 
     others = [c for c in docs.columns if c != "text"]
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             packed = [None if x is None else packer.compress(x) for x in batch.column(0).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(packed, pa.binary())], names=[*others, "packed"])
 
@@ -207,6 +205,7 @@ def compressed(docs: DataFrame) -> DataFrame:
 def context_texts(chosen: DataFrame, docs: DataFrame) -> DataFrame:
     """(h, doc_id, place, bytes) of chosen contexts (h, doc_id, place), read from the texts."""
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, h, place, body in _read_contexts(batches):
             yield pa.RecordBatch.from_arrays(
@@ -234,7 +233,7 @@ def _read_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int | No
     import zstandard
 
     unpacker = zstandard.ZstdDecompressor()
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
         wanted = batch.column(1)
         at = wanted.offsets.to_numpy()
         hs, places = (wanted.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -252,6 +251,7 @@ def pieces(chosen: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     ``h`` is the hash of the former one, the range of places and the bytes that all windows of the range cover.
     """
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, h, place, body in _read_contexts(batches):
             h, ctx, place = cut_contexts(h, place, body, width)
@@ -354,12 +354,13 @@ def sorted_repeats(texts: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFram
             names=["doc_id", "start", "stop"],
         )
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         held = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held >= shard_bytes and row[0] != rows[-1][0]:
+                if held >= shard_bytes // 2 and row[0] != rows[-1][0]:
                     yield sort_shard(rows)
                     rows, held = [], 0
                 rows.append(row)
@@ -407,10 +408,11 @@ def _text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, as_text: bool = False) -> DataFrame:
     """``docs`` without its text; with kept (binary), n_bytes, n_removed and n_spans instead.
 
-    No other column may have one of these four names.
+    No other column may have one of these four names. With ``as_text`` kept is a string, without the characters that
+    are cut in half.
     """
     others = [c for c in docs.columns if c != "text"]
     whole = docs.select("doc_id", "text", F.struct(*others).alias("rest"))
@@ -423,11 +425,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     )
     rows = texts.join(spans, same, "left").select("packed", "spans", "rest")
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         unpacker = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, ROWS_AT_ONCE)):
             spans = batch.column(1)
             at = spans.offsets.to_numpy()
             starts, stops = (spans.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
@@ -438,12 +441,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 runs = merged(starts[here], stops[here], len(text))
                 edges = [0, *(x for run in runs for x in run), len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                out.append((kept, len(text), len(text) - len(kept), len(runs)))
+                removed = len(text) - len(kept)
+                out.append((kept.decode("utf-8", "ignore") if as_text else kept, len(text), removed, len(runs)))
             kept, n_bytes, n_removed, n_spans = zip(*out) if out else ((),) * 4
             yield pa.RecordBatch.from_arrays(
                 [
                     *batch.column(2).flatten(),
-                    pa.array(kept, pa.binary()),
+                    pa.array(kept, pa.string() if as_text else pa.binary()),
                     pa.array(n_bytes, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                     pa.array(n_spans, pa.int64()),
@@ -452,7 +456,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             )
 
     schema = docs.select(*others).schema
-    for name, kind in (("kept", "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")):
+    for name, kind in (("kept", "string" if as_text else "binary"), ("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long")):
         schema = schema.add(name, kind)
     return rows.mapInArrow(run, schema)
 
@@ -464,11 +468,6 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf(StringType())
-def _as_text(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-
 def clean(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of the texts; characters cut in half are dropped.
 
@@ -476,7 +475,7 @@ def clean(docs: DataFrame) -> DataFrame:
     """
     rest = [c for c in docs.columns if c not in ("doc_id", "text")]
     whole = docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias(unused("_", rest))).alias("rest"))
-    done = remove_repeats(whole).withColumn("text", _as_text("kept"))
+    done = remove_repeats(whole, as_text=True).withColumnRenamed("kept", "text")
 
     def shown(name: str) -> Column:
         if name in ("doc_id", "text"):

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 import public_tokenizers as tokens
 
-from reviewloom.llm import bpe, chunk_dedup, id_coder, induced, jaccard_join, language_id, packing, suffix_dedup, token_file
+from reviewloom.llm import bpe, chunk_dedup, columns, id_coder, induced, jaccard_join, language_id, packing, suffix_dedup, token_file
 from reviewloom.llm.pieces import piece_starts
 
 JSON, RANKS = tokens.path("byte_bpe_50k.json"), tokens.path("byte_bpe_50k.tiktoken")
@@ -215,6 +215,28 @@ def test_lists_across_batches_stay_whole():
         assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
 
 
+def test_cleaning_takes_one_worker_a_task_and_drops_half_characters(spark):
+    passage = " ".join(f"word{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, "\u00e9" + passage, 9), (2, "\u0169" + passage, 9), (3, None, 9)], "doc_id long, text string, n_chars int")
+    cleaned = suffix_dedup.clean(docs)
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "ArrowEvalPython" not in plan
+    assert sorted(map(tuple, cleaned.collect())) == [(1, "\u00e9" + passage, len(passage) + 1), (2, "", 0), (3, "", 0)]
+
+
+def test_tasks_return_memory_before_their_workers_wait(monkeypatch):
+    events = []
+    monkeypatch.setattr(columns, "give_back", lambda: events.append("back"))
+
+    @columns.gives_back
+    def run(batches):
+        for batch in batches:
+            events.append(batch)
+            yield batch
+
+    assert list(run(iter([1, 2]))) == [1, 2] and events == ["back", 1, 2, "back"]
+
+
 @pytest.mark.parametrize("largest", [1, 16, 50_257, 2**32 - 1])
 def test_range_coder_round_trip(largest):
     rng = np.random.default_rng(3)
