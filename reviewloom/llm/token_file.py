@@ -2,14 +2,16 @@
 
 A file holds the documents of one range of ids in ascending order::
 
-    magic "RLID1\\n", nibbles per id (1 byte)
-    blocks of at most BLOCK_IDS ids, across documents:
+    magic "RLID2\\n", nibbles per id (1 byte)
+    groups of at most LANES blocks of at most BLOCK_IDS ids each, across documents; first the group's shares:
+        0 (u32), payload bytes (u32), CRC-32 of the payload (u32), payload
+    then its blocks:
         ids (u32), payload bytes (u32), CRC-32 of the payload (u32), payload
     index, zlib: documents' tokens (i64 each) after their ids (i64 each) and marks of missing ids (1 byte each)
     index bytes (u32), CRC-32 of the index (u32), ids in the file (u64), magic
 
-Each block is coded from the same start and checked by itself, so a damaged block is found and the others stay
-readable. Files are named by the task that wrote them and known by the manifest (one row a file); the place of
+Each block of a group is coded from the same start and checked by itself, so a damaged block is found and the others
+stay readable with the group's shares (how often each id occurs in it). Files are named by the task that wrote them and known by the manifest (one row a file); the place of
 a document among all ids follows from the manifest's sums.
 
 A null or empty text is the end id alone. Rows of equal ids are ordered by text; a null id comes first. Other
@@ -33,8 +35,8 @@ from reviewloom.llm.columns import utf8
 from reviewloom.llm.pieces import encode_batch, library_ids
 from reviewloom.plans.storage import materialise, scratch_path
 
-MAGIC = b"RLID1\n"
-BLOCK_IDS = 2048
+MAGIC = b"RLID2\n"
+BLOCK_IDS = 1024
 _BLOCK, _TAIL = struct.Struct("<III"), struct.Struct("<IIQ6s")
 
 
@@ -66,11 +68,16 @@ class Writer:
         blocks = [ids[a : min(a + BLOCK_IDS, whole)] for a in range(0, whole, BLOCK_IDS)]
         for k in range(0, len(blocks), id_coder.LANES):
             part = blocks[k : k + id_coder.LANES]
-            for block, payload in zip(part, id_coder.encode_blocks(part, self.nibbles)):
-                self.out.write(_BLOCK.pack(len(block), len(payload), zlib.crc32(payload)) + payload)
+            shares = id_coder.shares_of(np.concatenate(part))
+            self._put(0, id_coder.pack_shares(shares))
+            for block, payload in zip(part, id_coder.encode_blocks(part, self.nibbles, shares)):
+                self._put(len(block), payload)
         self.waiting = [ids[whole:]]
         self.n_waiting = len(ids) - whole
 
+    def _put(self, n: int, payload: bytes) -> None:
+        self.out.write(_BLOCK.pack(n, len(payload), zlib.crc32(payload)) + payload)
+
     def close(self) -> None:
         self._flush(last=True)
         missing = np.array([x is None for x in self.doc_ids], np.uint8)
@@ -119,17 +126,27 @@ def read(path: str) -> Iterator[tuple[int | None, int, np.ndarray]]:
 
 
 def _blocks(source, nibbles: int, end: int, path: str) -> np.ndarray:
+    """The ids of the next group."""
     payloads: list[bytes] = []
     sizes: list[int] = []
-    while len(sizes) < id_coder.LANES and source.tell() < end:
+    shares = None
+    while source.tell() < end:
+        at = source.tell()
         n, length, crc = _BLOCK.unpack(source.read(_BLOCK.size))
-        payloads.append(source.read(length))
-        sizes.append(n)
-        if zlib.crc32(payloads[-1]) != crc:
+        if not n and shares is not None:
+            source.seek(at)
+            break
+        payload = source.read(length)
+        if zlib.crc32(payload) != crc or (n and shares is None):
             raise ValueError(f"damaged block before byte {source.tell()} of {path}")
+        if n:
+            payloads.append(payload)
+            sizes.append(n)
+        else:
+            shares = id_coder.unpack_shares(payload)
     if not sizes:
         raise ValueError(f"too few blocks in {path}")
-    return np.concatenate(id_coder.decode_blocks(payloads, sizes, nibbles))
+    return np.concatenate(id_coder.decode_blocks(payloads, sizes, nibbles, shares))
 
 
 def write_documents(docs: DataFrame, tokenizer_path: str, end_id: int = 2, folder: str | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 import pytest
 import public_tokenizers as tokens
 
@@ -248,6 +249,44 @@ def test_range_coder_round_trip(largest):
     assert id_coder.encode_blocks(blocks[2:3], nibbles)[0] == id_coder.encode_blocks(blocks, nibbles)[2]
 
 
+@pytest.mark.parametrize("largest", [1, 300, 50_257, 2**32 - 1])
+def test_shares_are_whole_and_code_ids_in_one_step(largest):
+    rng = np.random.default_rng(6)
+    ids = np.append(np.minimum(rng.zipf(1.2, 5000), largest), [largest, 0]).astype("<u4")
+    shares = id_coder.shares_of(ids)
+    again = id_coder.unpack_shares(id_coder.pack_shares(shares))
+    assert shares.widths.sum() == 1 << id_coder.SHARE_BITS and shares.widths.min() > 0
+    assert (again.ids == shares.ids).all() and (again.widths == shares.widths).all()
+    # Ids that the shares do not know are coded too.
+    other = rng.integers(0, largest + 1, 700).astype("<u4")
+    blocks, nibbles = [*np.array_split(ids, 7), other], id_coder.nibbles_for(largest)
+    coded = id_coder.encode_blocks(blocks, nibbles, shares)
+    read = id_coder.decode_blocks(coded, [len(b) for b in blocks], nibbles, again)
+    assert all((a == b).all() for a, b in zip(blocks, read, strict=True))
+    assert id_coder.encode_blocks(blocks[:1], nibbles, shares) == coded[:1]
+    alone = id_coder.encode_blocks(blocks[:7], nibbles)
+    assert largest < 300 or sum(map(len, coded[:7])) < 0.8 * sum(map(len, alone))
+
+
+def test_groups_of_a_token_file(tmp_path, monkeypatch):
+    monkeypatch.setattr(id_coder, "LANES", 3)
+    monkeypatch.setattr(token_file, "BLOCK_IDS", 8)
+    rng = np.random.default_rng(7)
+    docs = [(k, rng.integers(0, 50, n).astype("<u4")) for k, n in enumerate([5, 0, 200, 1, 24, 24, 7, 0])]
+    path = str(tmp_path / "groups.ids")
+    writer = token_file.Writer(open(path, "wb"), 2)
+    for doc_id, ids in docs:
+        writer.add(doc_id, ids)
+    writer.close()
+    monkeypatch.setattr(token_file.files, "_at", lambda p: (pafs.LocalFileSystem(), p))
+    assert [(d, list(ids)) for d, _, ids in token_file.read(path)] == [(d, list(ids)) for d, ids in docs]
+    damaged = bytearray(open(path, "rb").read())
+    damaged[7 + 12 + 3] ^= 1
+    (tmp_path / "damaged.ids").write_bytes(damaged)
+    with pytest.raises(ValueError, match="damaged"):
+        list(token_file.read(str(tmp_path / "damaged.ids")))
+
+
 def test_token_files(odd_documents, no_documents, tmp_path):
     manifest = token_file.write_documents(odd_documents, JSON)
     got = sorted(token_file.read_documents(manifest).collect(), key=lambda r: r.start)
